@@ -62,7 +62,7 @@ def _search(queries: DataFrame, corpus: DataFrame, query_key: str, corpus_key: s
             cosines = np.round(vectors @ matrix.T, digits) + 0.0  # no negative zero
             for q, key in enumerate(keys):
                 best = np.lexsort((ids, -cosines[:, q]))[:k]
-                yield pd.DataFrame({"q": key, "c": ids[best], "cosine": cosines[best, q]})
+                yield pd.DataFrame({query_key: key, corpus_key: ids[best], "cosine": cosines[best, q]})
 
     schema = T.StructType([
         T.StructField(query_key, queries.schema[query_key].dataType),
