@@ -97,18 +97,25 @@ def hot_keys(df: DataFrame, mark: Column, share: float) -> dict[int, float]:
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", *, share: float | None = None
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    *,
+    share: float | None = None,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join on equally named columns in which the left side's hot keys are spread out.
 
-    ``how`` is one of inner, left, left_semi, left_anti.
+    ``how`` is one of inner, left, left_semi, left_anti. ``probe`` is a frame with the left side's keys that
+    is cheaper to look through for hot keys than the left side itself.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how!r} join")
     keys = _key_list(on)
     share = _share_limit(left) if share is None else share
     left_mark, right_mark = _key_mark(left, right, keys), _key_mark(right, left, keys)
-    hot = hot_keys(left, left_mark, share)
+    hot = hot_keys(left if probe is None else probe, left_mark, share)
     if not hot:
         return left.join(right, keys, how)
     copies = min(_MAX_COPIES, max(2, int(max(hot.values()) / share) + 1))
@@ -130,22 +137,24 @@ def attach_all(
     """Join the left side with several ``(frame, key columns, how)`` lookups.
 
     All lookups are measured in one job. The small ones are joined first, by broadcast and without moving
-    the left rows; the others follow as spread joins. A lookup keyed on a column that an earlier lookup
-    brings in therefore has to be at least as small as that one.
+    the left rows; the others follow as spread joins. A large lookup must find its key in the left side or
+    in a lookup that comes before it and is not postponed itself.
     """
     sizes = measured_bytes(*[frame for frame, _, _ in lookups])
-    small = [l for l, size in zip(lookups, sizes) if size <= broadcast_bytes]
-    large = [l for l, size in zip(lookups, sizes) if size > broadcast_bytes]
-    waiting, out = [], left
-    for frame, on, how in small:
-        if set(_key_list(on)) <= set(out.columns):
-            out = out.join(F.broadcast(frame), _key_list(on), how)
+    waiting, large, out = [], [], left
+    for (frame, on, how), size in zip(lookups, sizes):
+        keys = _key_list(on)
+        if size > broadcast_bytes:
+            large.append((frame, keys, how))
+        elif set(keys) <= set(out.columns):
+            out = out.join(F.broadcast(frame), keys, how)
         else:
-            waiting.append((frame, on, how))
-    for frame, on, how in large:
-        out = spread_join(out, frame, on, how)
-    for frame, on, how in waiting:
-        out = out.join(F.broadcast(frame), _key_list(on), how)
+            waiting.append((frame, keys, how))
+    for frame, keys, how in large:
+        probe = left if set(keys) <= set(left.columns) else None
+        out = spread_join(out, frame, keys, how, probe=probe)
+    for frame, keys, how in waiting:
+        out = out.join(F.broadcast(frame), keys, how)
     return out
 
 
@@ -156,6 +165,13 @@ def attach(
     how: str = "inner",
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
-    """Join with one lookup: by broadcast if it measures small, else as a spread join."""
-    return attach_all(left, [(right, on, how)], broadcast_bytes=broadcast_bytes)
+    """Join with one lookup: by broadcast if it measures small, else as a spread join.
+
+    ``size`` is the lookup's measured size, if it has been measured already.
+    """
+    size = measured_bytes(right)[0] if size is None else size
+    if size <= broadcast_bytes:
+        return left.join(F.broadcast(right), _key_list(on), how)
+    return spread_join(left, right, on, how)

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.functions.draws import draw, pick
-from stratalake.operators.joins import BROADCAST_BYTES, attach
+from stratalake.operators.joins import BROADCAST_BYTES, attach, measured_bytes
 from stratalake.operators.sequence import ROWS_PER_BUCKET, cumulative_bounds, index_in_group, pool_index
+from stratalake.sources.shared import checkpointed
 
 #: Interval widths of one level differ by at most this factor.
 _LEVEL_BASE = 32
+#: Up to so many intervals of narrower levels share the cells of a wider one.
+_FEW = 32
 
 
 def pool_lookup(
@@ -31,14 +35,24 @@ def pool_lookup(
         values = sorted(pool)
         return df.withColumn(column, pick(values, draw(key, multiplier, len(values))))
     indexed = pool_index(pool, column, "__at")
-    size = indexed.count()
-    at = df.withColumn("__at", draw(key, multiplier, size))
+    at = df.withColumn("__at", F.pmod(F.col(key).cast("bigint") * multiplier, indexed.agg(F.count(F.lit(1))).scalar()))
     return attach(at, indexed, "__at", "left", broadcast_bytes=broadcast_bytes).drop("__at")
 
 
-def _level(span: Column, unit: float) -> Column:
-    """Level of an interval: its span is at most ``unit * base ** (level + 1)``."""
-    return F.greatest(F.ceil(F.log(float(_LEVEL_BASE), span.cast("double") / F.lit(float(unit)))) - 1, F.lit(0)).cast("int")
+def _levels(spans: dict[int, int]) -> dict[int, int]:
+    """Level of intervals -> level whose cells they use: a level with few intervals joins the next one up.
+
+    That adds at most ``_FEW`` intervals to a cell and spares each point a look.
+    """
+    used, carried, present = {}, [], sorted(spans)
+    total = 0
+    for level in present:
+        total += spans[level]
+        carried.append(level)
+        if total > _FEW or level == present[-1]:
+            used.update(dict.fromkeys(carried, level))
+            carried, total = [], 0
+    return used
 
 
 def range_join(
@@ -50,25 +64,28 @@ def range_join(
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner join of points with the half-open intervals ``[low, high)`` that hold them.
+    """Inner join of points with the half-open intervals ``[low, high)`` that hold them; bounds must be finite.
 
-    Intervals are sorted into levels by their span, and each level has cells about as wide as its widest
-    interval, so an interval touches two cells or so whatever its span. Points look into one cell per level.
-    What remains is an equi-join on (level, cell) and the exact test.
+    Intervals are sorted into levels by their span, and each level has cells at least as wide as its widest
+    interval, so an interval touches two cells whatever its span. Points look into one cell per level. What
+    remains is an equi-join on (level, cell) and the exact test.
     """
     usable = intervals.where(F.col(low) < F.col(high))
-    span = F.col(high) - F.col(low)
-    unit = usable.agg(F.min(span).alias("unit")).first().unit
-    if unit is None:  # no usable interval: no match, same columns
+    span = (F.col(high) - F.col(low)).cast("double")
+    own = F.floor(F.log(float(_LEVEL_BASE), span)).cast("int")
+    spans = {r.level: r.n for r in  # one row per power of the base between the narrowest and the widest span
+             usable.groupBy(own.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not spans:  # no usable interval: no match, same columns
         absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in intervals.schema.fields]
         return points.select("*", *absent).where(F.lit(False))
-    leveled = usable.withColumn("__level", _level(span, unit))
-    levels = sorted(r[0] for r in leveled.select("__level").distinct().collect())  # log of the widest / narrowest span
+    used = _levels(spans)
+    levels = sorted(set(used.values()))
 
     def cell(at: Column, level: Column) -> Column:
-        return F.floor(at.cast("double") / (F.lit(float(unit)) * F.pow(F.lit(float(_LEVEL_BASE)), level + 1)))
+        return F.floor(at.cast("double") / F.pow(F.lit(float(_LEVEL_BASE)), level + 1))
 
-    cells = leveled.withColumn(
+    level = reduce(lambda ladder, x: ladder.when(own <= x, F.lit(x)), levels, F.when(F.lit(False), F.lit(0)))
+    cells = usable.withColumn("__level", level).withColumn(
         "__cell", F.explode(F.sequence(cell(F.col(low), F.col("__level")), cell(F.col(high), F.col("__level")))))
     if len(levels) == 1:
         looking = points.withColumn("__level", F.lit(levels[0]))
@@ -96,9 +113,11 @@ def weighted_draw(
     """
     chosen = weights.select(item, F.col(weight).cast("bigint").alias("__weight")).where(F.col("__weight") > 0)
     bounds = cumulative_bounds(chosen, item, "__weight", "__lower", "__upper", rows_per_bucket=rows_per_bucket)
-    total = chosen.agg(F.sum("__weight").alias("total")).first().total
+    n_items, total = chosen.agg(F.count(F.lit(1)), F.sum("__weight")).first()
     if not total:
         raise ValueError("weighted_draw needs at least one positive weight")
+    if n_items > rows_per_bucket:
+        bounds = checkpointed(bounds)  # read three times below
     drawn = df.withColumn("__drawn", draw(key, multiplier, total))
     found = range_join(drawn, "__drawn", bounds.drop("__weight"), "__lower", "__upper", broadcast_bytes=broadcast_bytes)
     return found.drop("__drawn", "__lower", "__upper")
@@ -123,9 +142,13 @@ def pick_in_group(
     """
     numbered = index_in_group(options, group, order, "__at", "__size", rows_per_bucket=rows_per_bucket)
     sizes = options.groupBy(group).agg(F.count(F.lit(1)).alias("__size"))
-    sized = attach(df, sizes, group, "left", broadcast_bytes=broadcast_bytes)
+    # Numbering adds one BIGINT to a row, so the options themselves tell the size without running it.
+    small, large = measured_bytes(sizes, options.withColumn("__at", F.lit(0).cast("bigint")))
+    sized = attach(df, sizes, group, "left", broadcast_bytes=broadcast_bytes, size=small)
     placed = sized.withColumn("__at", draw(key, multiplier, F.col("__size"))).drop("__size")
-    return attach(placed, numbered.drop("__size"), [group, "__at"], "left", broadcast_bytes=broadcast_bytes).drop("__at")
+    picked = attach(
+        placed, numbered.drop("__size"), [group, "__at"], "left", broadcast_bytes=broadcast_bytes, size=large)
+    return picked.drop("__at")
 
 
 def conditional_lookup(
@@ -144,7 +167,8 @@ def conditional_lookup(
     the place of one guarded join per kind and a COALESCE over their results.
     """
     sizes = pool.groupBy(kind).agg(F.count(F.lit(1)).alias("__size"))
-    sized = attach(df, sizes, kind, "left", broadcast_bytes=broadcast_bytes)
-    placed = sized.withColumn("__at", draw(key, multiplier, F.col("__size"))).drop("__size")
     values = pool.withColumn("__at", F.col(position).cast("bigint")).drop(position)
-    return attach(placed, values, [kind, "__at"], "left", broadcast_bytes=broadcast_bytes).drop("__at")
+    small, large = measured_bytes(sizes, values)
+    sized = attach(df, sizes, kind, "left", broadcast_bytes=broadcast_bytes, size=small)
+    placed = sized.withColumn("__at", draw(key, multiplier, F.col("__size"))).drop("__size")
+    return attach(placed, values, [kind, "__at"], "left", broadcast_bytes=broadcast_bytes, size=large).drop("__at")

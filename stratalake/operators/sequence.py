@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 #: Rows that one window partition is meant to sort.
-ROWS_PER_BUCKET = 100_000
+ROWS_PER_BUCKET = 1_000_000
 #: Most buckets for numbers and dates, and for other types, whose edges become a comparison tree.
 _MAX_NUMERIC_BUCKETS, _MAX_OTHER_BUCKETS = 4_096, 64
 _SAMPLE_PER_BUCKET = 200
@@ -81,7 +81,8 @@ def running(
     """Add the running sum of ``value`` (the running count if None) including the row itself.
 
     ``within`` restarts it per group; ``total`` names a column for the group's whole sum. A group of any
-    size is spread over the buckets of the order key.
+    size is spread over the buckets of the order key. Beyond one bucket the frame is read four times (count,
+    sample, bucket totals, numbering), so pass a table or a checkpoint rather than a long chain.
     """
     within = list(within)
     value = F.lit(1).cast("bigint") if value is None else value
@@ -92,21 +93,24 @@ def running(
         up_to_row = group.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         sums = [F.sum("__value").over(up_to_row).alias(upto)]
         return valued.select(*df.columns, *sums, *([F.sum("__value").over(group).alias(total)] if total else []))
-    marked = with_order_bucket(valued, order, rows, rows_per_bucket)
-    parts = marked.groupBy(*within, _BUCKET).agg(F.sum("__value").alias("__part"))
+    # A struct is equal to itself even where its fields are NULL, so rows of a NULL group keep their group.
+    group = ["__group"] if within else []
+    grouped = valued.withColumn("__group", F.struct(*within)) if within else valued
+    marked = with_order_bucket(grouped, order, rows, rows_per_bucket)
+    parts = marked.groupBy(*group, _BUCKET).agg(F.sum("__value").alias("__part"))
     # At most one row per group and bucket, so this window never holds more than the bucket limit per group.
-    by_bucket = Window.partitionBy(*within).orderBy(_BUCKET)
+    by_bucket = Window.partitionBy(*group).orderBy(_BUCKET)
     starts = parts.select(
-        *within, _BUCKET,
+        *group, _BUCKET,
         F.coalesce(F.sum("__part").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__part").over(Window.partitionBy(*within)).alias("__all"),
+        F.sum("__part").over(Window.partitionBy(*group)).alias("__all"),
     )
     if within:
         # Each (group, bucket) is bucket-sized, so a plain join shares its shuffle with the window below.
-        placed = marked.join(starts, within + [_BUCKET])
+        placed = marked.join(starts, group + [_BUCKET])
     else:
         placed = marked.join(F.broadcast(starts), _BUCKET)  # at most _MAX_NUMERIC_BUCKETS + 2 rows
-    inside = Window.partitionBy(*within, _BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*group, _BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     sums = [(F.sum("__value").over(inside) + F.col("__before")).alias(upto)]
     if total:
         sums.append(F.col("__all").alias(total))

@@ -22,8 +22,8 @@ def found_words(text: Column | str, words: Sequence[str]) -> Column:
     bad = [w for w in words if not _WORD.fullmatch(w)]
     if bad:
         raise ValueError(f"words must be made of a-z: {bad}")
-    pattern = "(?<![a-z])(?:" + "|".join(sorted(words)) + ")(?![a-z])"
-    return F.coalesce(F.regexp_extract_all(F.lower(col(text)), F.lit(pattern), F.lit(0)), F.array().cast("array<string>"))
+    tokens = F.split(F.lower(col(text)), "[^a-z]+")
+    return F.coalesce(F.filter(tokens, lambda word: word.isin(sorted(words))), F.array().cast("array<string>"))
 
 
 def lexicon_score(text: Column | str, lexicon: Mapping[str, int]) -> Column:
@@ -75,12 +75,20 @@ def tag_text(text: Column | str, rules: Mapping[str, str]) -> Column:
 def classify_text(text: Column | str, keywords: Mapping[str, Sequence[str]], default: str) -> Column:
     """Category with most keyword occurrences; ties go to the smaller name, no occurrence gives the default."""
     names = sorted(keywords)
-    scores = F.array(*[
-        F.struct(F.size(found_words(text, keywords[name])).alias("hits"), F.lit(-i).alias("rank"), F.lit(name).alias("name"))
-        for i, name in enumerate(names)
-    ])
-    best = F.array_max(scores)
-    return F.when(best["hits"] > 0, best["name"]).otherwise(F.lit(default))
+    found = found_words(text, sorted({word for name in names for word in keywords[name]}))
+
+    def hits(words: Column, name: str) -> Column:
+        return F.size(F.filter(words, lambda word: word.isin(list(keywords[name]))))
+
+    def best(words: Column) -> Column:
+        # The default stands behind no hits and ahead of any category without hits.
+        entries = [F.struct(hits(words, name).alias("hits"), F.lit(-1 - i).alias("rank"), F.lit(name).alias("name"))
+                   for i, name in enumerate(names)]
+        none = F.struct(F.lit(0).alias("hits"), F.lit(0).alias("rank"), F.lit(default).alias("name"))
+        return F.array_max(F.array(none, *entries))["name"]
+
+    # transform() over a one-element array binds the found words, so the text is searched once.
+    return F.element_at(F.transform(F.array(found), best), 1)
 
 
 def score_against_truth(df: DataFrame, predicted: Column, actual: Column) -> DataFrame:

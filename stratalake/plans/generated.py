@@ -11,10 +11,12 @@ from stratalake.functions.identifiers import WIDE_ACCENTS, digits, email_address
 from stratalake.operators.generate import id_range
 from stratalake.plans import columns as C
 from stratalake.plans import sql_parts as S
-from stratalake.plans.health import DOCTOR_FIRST, DOCTOR_LAST, FIRST_NAMES, LAST_NAMES, build_consultations, build_reviews
-from stratalake.plans.health import review_pool
+from stratalake.plans.health import (
+    CONSULTATIONS, DOCTOR_FIRST, DOCTOR_LAST, FIRST_NAMES, LAST_NAMES, build_consultations, build_reviews, review_pool)
 from stratalake.plans.registry import Tables, query
 from stratalake.plans.sql_parts import AS_OF
+from stratalake.sources.landing import scan_landing, sink_landing
+from stratalake.sources.shared import new_folder
 
 
 @query("gen_ids", """
@@ -199,7 +201,9 @@ _POOL_SQL = "(VALUES " + ", ".join(f"('{k}', {i}, '{x}')" for k, i, x in review_
     FROM classed LEFT JOIN {_POOL_SQL} ON pool.kind = classed.kind
       AND pool.idx = (seq * 13) % CASE WHEN classed.kind = 'neu' THEN 15 ELSE 25 END""")
 def build_review_sample(t: Tables):
-    return build_reviews(_sample_consultations(t), None, AS_OF)
+    # As in the demo, reviews are drawn from consultations that have landed as files.
+    path = sink_landing(_sample_consultations(t), new_folder(t.spark, "consultations"))
+    return build_reviews(scan_landing(t.spark, path, CONSULTATIONS.schema()), None, AS_OF)
 
 
 @query("scalar_tour", f"""

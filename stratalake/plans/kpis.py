@@ -29,8 +29,11 @@ def places(t: Tables) -> DataFrame:
 
 
 def sites(t: Tables) -> DataFrame:
-    by_nation = places(t).withColumnRenamed("n_nationkey", "s_nationkey")
-    return attach(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), by_nation, "s_nationkey").drop("s_nationkey")
+    """Suppliers with the names of their nation and region."""
+    return attach_all(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), [
+        (t.nation.withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey", "inner"),
+        (t.region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "inner"),
+    ]).select("s_suppkey", "s_name", "n_name", "r_name")
 
 
 def people(t: Tables) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
 
@@ -27,3 +27,9 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a folder of its own for one run; it is made by whoever writes to it."""
     return f"{shared_root(spark)}/stratalake/{purpose}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame's rows stored in the shared folder, without the work that led to them."""
+    shared_root(df.sparkSession)  # gives a local session its checkpoint folder
+    return df.checkpoint()
