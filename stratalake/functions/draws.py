@@ -62,8 +62,9 @@ def tiered(drawn: Column | str, tiers: Sequence[tuple[int, Column]]) -> Column:
 
 
 def pick(values: Sequence[str], index: Column) -> Column:
-    """Element of a literal pool at a 0-based index; needs no join."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    """Element of a literal pool at a 0-based index, NULL at a NULL index; needs no join."""
+    element = F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.when(index.isNotNull(), element)  # element_at over a literal array gives the last one for NULL
 
 
 def two_part_wait(key: Column | str, first: tuple[int, int], second: tuple[int, int], zero_when: Column) -> Column:

@@ -77,8 +77,8 @@ def _row_mark(df: DataFrame) -> Column:
 
 
 def _share_limit(df: DataFrame) -> float:
-    """Share of the rows that one reducer is meant to hold, with room for a few keys per reducer."""
-    return max(2.0 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 0.001)
+    """Share of the rows that makes a key too large for one reducer; the sketch tells shares above 0.05%."""
+    return max(2.0 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 0.0005)
 
 
 def hot_keys(df: DataFrame, mark: Column, share: float) -> dict[int, float]:

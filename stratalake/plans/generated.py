@@ -11,12 +11,9 @@ from stratalake.functions.identifiers import WIDE_ACCENTS, digits, email_address
 from stratalake.operators.generate import id_range
 from stratalake.plans import columns as C
 from stratalake.plans import sql_parts as S
-from stratalake.plans.health import (
-    CONSULTATIONS, DOCTOR_FIRST, DOCTOR_LAST, FIRST_NAMES, LAST_NAMES, build_consultations, build_reviews, review_pool)
+from stratalake.plans.health import FIRST_NAMES, LAST_NAMES
 from stratalake.plans.registry import Tables, query
 from stratalake.plans.sql_parts import AS_OF
-from stratalake.sources.landing import scan_landing, sink_landing
-from stratalake.sources.shared import new_folder
 
 
 @query("gen_ids", """
@@ -141,71 +138,6 @@ def gen_event_date(t: Tables):
     return t.orders.select("o_orderkey", C.review_date("o_orderkey", AS_OF).alias("event_date"))
 
 
-def _sample_sources(t: Tables):
-    """Hospitals, weights and codes in the demo's layout, from supplier and part."""
-    kinds = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-    hospitals = t.supplier.select(
-        F.col("s_suppkey").alias("id_hospital"), pick(kinds, draw("s_suppkey", 1, 6)).alias("especialidade"))
-    weights = t.supplier.select(F.col("s_suppkey").alias("id_hospital"), (draw("s_suppkey", 1, 7) + 1).alias("peso"))
-    codes = t.part.groupBy(F.col("p_type").alias("especialidade"), F.col("p_brand").alias("cid_10")).agg(
-        F.min("p_name").alias("diagnostico_descricao"))
-    return hospitals, weights, codes
-
-
-_SAMPLE_SQL = f"""
-    WITH keys AS (SELECT o_orderkey + 1001 AS k FROM orders),
-    bounds AS (SELECT s_suppkey, ['ECONOMY','LARGE','MEDIUM','PROMO','SMALL','STANDARD'][s_suppkey % 6 + 1] AS kind,
-        sum(1 + s_suppkey % 7) OVER (ORDER BY s_suppkey) AS hi,
-        sum(1 + s_suppkey % 7) OVER (ORDER BY s_suppkey) - (1 + s_suppkey % 7) AS lo FROM supplier),
-    total AS (SELECT max(hi) AS total FROM bounds),
-    codes AS (SELECT p_type, p_brand, min(p_name) AS name FROM part GROUP BY 1, 2),
-    numbered AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_brand) - 1 AS idx,
-        count(*) OVER (PARTITION BY p_type) AS qtd FROM codes),
-    consultas AS (SELECT CAST(k AS INTEGER) AS id_consulta,
-      CASE WHEN (k * 7) % 10 = 0 THEN NULL ELSE CAST(101 + (k * 31) % 1500 AS INTEGER) END AS id_paciente,
-      b.s_suppkey AS id_hospital, CAST(5000 + (k * 29) % 100 AS INTEGER) AS id_medico,
-      CASE WHEN (k * 29) % 2 = 0 THEN 'Dr. ' ELSE 'Dra. ' END || {S.strings(DOCTOR_FIRST)}[CAST((k * 29) % 16 AS INTEGER) + 1]
-        || ' ' || {S.strings(DOCTOR_LAST)}[CAST((k * 47) % 10 AS INTEGER) + 1] AS nome_medico,
-      {S.licence('k')} AS crm, {S.mode('k')} AS modalidade, {S.status('k')} AS status,
-      CAST({S.wait('k')} AS INTEGER) AS tempo_espera_minutos,
-      CASE WHEN (k * 11) % 100 < 85 THEN c.p_brand END AS cid_10,
-      CASE WHEN (k * 11) % 100 < 85 THEN c.name END AS diagnostico_descricao,
-      {S.procedure('k')} AS procedimento_realizado
-    FROM keys CROSS JOIN total JOIN bounds b ON (k * 17) % total >= b.lo AND (k * 17) % total < b.hi
-      LEFT JOIN numbered c ON c.p_type = b.kind AND c.idx = (k * 67) % c.qtd)"""
-
-
-def _sample_consultations(t: Tables):
-    keys = t.orders.select((F.col("o_orderkey") + 1001).alias("id_consulta"))
-    return build_consultations(keys, *_sample_sources(t))
-
-
-@query("build_fact_sample", _SAMPLE_SQL + " SELECT * FROM consultas")
-def build_fact_sample(t: Tables):
-    return _sample_consultations(t)
-
-
-_POOL_SQL = "(VALUES " + ", ".join(f"('{k}', {i}, '{x}')" for k, i, x in review_pool()) + ") AS pool(kind, idx, txt)"
-
-
-@query("build_review_sample", _SAMPLE_SQL + f""",
-    finished AS (SELECT *, row_number() OVER (ORDER BY id_consulta) AS seq FROM consultas WHERE status = 'finalizada'),
-    classed AS (SELECT *, {S.review_class('tempo_espera_minutos', 'seq')} AS kind FROM finished)
-    SELECT id_consulta, id_paciente, txt AS texto_avaliacao,
-      DATE '{AS_OF}' - CAST((id_consulta * 19) % 90 AS INTEGER) AS data_avaliacao,
-      CASE WHEN (id_consulta * 43) % 100 < 35 THEN 'App' WHEN (id_consulta * 43) % 100 < 65 THEN 'WhatsApp'
-        WHEN (id_consulta * 43) % 100 < 80 THEN 'SMS' WHEN (id_consulta * 43) % 100 < 92 THEN 'Site'
-        ELSE 'Quiosque' END AS canal_avaliacao,
-      (id_consulta * 71) % 100 < 15 AS avaliacao_anonima,
-      CAST({S.delay('id_consulta')} AS INTEGER) AS tempo_para_avaliar_min
-    FROM classed LEFT JOIN {_POOL_SQL} ON pool.kind = classed.kind
-      AND pool.idx = (seq * 13) % CASE WHEN classed.kind = 'neu' THEN 15 ELSE 25 END""")
-def build_review_sample(t: Tables):
-    # As in the demo, reviews are drawn from consultations that have landed as files.
-    path = sink_landing(_sample_consultations(t), new_folder(t.spark, "consultations"))
-    return build_reviews(scan_landing(t.spark, path, CONSULTATIONS.schema()), None, AS_OF)
-
-
 @query("scalar_tour", f"""
     WITH o AS (SELECT *, {S.element(FIRST_NAMES, 'o_orderkey', 31)} AS name FROM orders)
     SELECT o_orderkey, part_no, (o_orderkey * 17) % 97 AS f_pmod,

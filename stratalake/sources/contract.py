@@ -60,14 +60,18 @@ def typed(df: DataFrame, field: Field) -> Column:
     return F.col(field.name) if _same_type(df, field) else F.col(field.name).try_cast(field.type)
 
 
+def _require_columns(df: DataFrame, contract: Contract) -> None:
+    missing = [name for name in contract.names if name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing from the data: {missing}")
+
+
 def judged(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
     """Declared columns in declared types plus ``_reasons``: why the row breaks the contract, empty if it holds.
 
     One projection, nothing is moved. ``keep`` names further columns to carry along.
     """
-    missing = [f.name for f in contract.fields if f.name not in df.columns]
-    if missing:
-        raise ValueError(f"columns missing from the data: {missing}")
+    _require_columns(df, contract)
     reasons = []
     for f in contract.fields:
         given, value = F.col(f.name), typed(df, f)
@@ -81,8 +85,8 @@ def judged(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataF
 
 def enforce(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """Rows that meet the contract, typed; and the other rows as given, with ``_reasons``."""
-    raw = [F.struct(*[F.col(n) for n in contract.names]).alias("__raw")]
-    both = judged(df.select("*", *raw), contract, keep=["__raw"])
+    _require_columns(df, contract)
+    both = judged(df.withColumn("__raw", F.struct(*contract.names)), contract, keep=["__raw"])
     good = both.where(F.size(REASONS) == 0).select(*contract.names)
     quarantine = both.where(F.size(REASONS) > 0).select("__raw.*", REASONS)
     return good, quarantine
