@@ -7,6 +7,7 @@ end. The order key must be unique within its group, or the numbering is not dete
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -58,7 +59,7 @@ def with_order_bucket(df: DataFrame, key: str, rows: int, rows_per_bucket: int =
         out = df.withColumn(_BUCKET, _comparison_tree(F.col(key), edges))
     else:
         cuts = F.percentile_approx("k", [i / buckets for i in range(1, buckets)], 10 * buckets)
-        edges = sorted(set(keys.agg(cuts.alias("cuts")).first().cuts or []))
+        edges = sorted({e for e in keys.agg(cuts.alias("cuts")).first().cuts or [] if math.isfinite(e)})
         splits = [float("-inf"), *edges, float("inf")]
         if len(splits) < 3:
             return df.withColumn(_BUCKET, F.lit(0))

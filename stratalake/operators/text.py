@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratalake.functions.draws import col
 from stratalake.operators.joins import BROADCAST_BYTES, attach, measured_bytes
@@ -93,8 +93,7 @@ def classify_text(text: Column | str, keywords: Mapping[str, Sequence[str]], def
 
 def score_against_truth(df: DataFrame, predicted: Column, actual: Column) -> DataFrame:
     """Confusion counts with the overall accuracy on every row."""
-    judged = df.select(predicted.alias("predicted"), actual.alias("actual"))
-    right = F.count_if(F.col("predicted").eqNullSafe(F.col("actual")))
-    accuracy = judged.agg(F.round(F.try_divide(right, F.count(F.lit(1))), 6)).scalar()
-    counts = judged.groupBy("predicted", "actual").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("accuracy", accuracy)
+    counts = df.groupBy(predicted.alias("predicted"), actual.alias("actual")).agg(F.count(F.lit(1)).alias("n"))
+    everything = Window.partitionBy()  # one row per pair of classes
+    right = F.sum(F.when(F.col("predicted").eqNullSafe(F.col("actual")), F.col("n")).otherwise(0)).over(everything)
+    return counts.withColumn("accuracy", F.round(F.try_divide(right, F.sum("n").over(everything)), 6))

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from stratalake.functions.draws import draw
 from stratalake.plans import sql_parts as S
 from stratalake.plans.registry import Tables, query
 from stratalake.sources.contract import Contract
@@ -81,8 +80,10 @@ def incremental_ingest(t: Tables):
     base = new_folder(t.spark, "ingest")
     landing = f"{base}/landing"
     ingest = IncrementalIngest(t.spark, landing, f"{base}/bronze", f"{base}/checkpoint", EVENTS)
-    for drop in range(3):  # three deliveries that together hold every event
-        delivered = t.events.where(draw("event_id", 1, 3) == drop)
-        sink_landing(delivered.select(*EVENTS.names), landing, append=True)
+    first, last = t.events.agg(F.min("ts"), F.max("ts")).first()
+    third = (last - first) / 3
+    delivery = F.when(F.col("ts") < F.lit(first + third), 0).when(F.col("ts") < F.lit(first + 2 * third), 1).otherwise(2)
+    for number in range(3):  # deliveries by time that together hold every event
+        sink_landing(t.events.where(delivery == number).select(*EVENTS.names), landing, append=True)
         ingest.run()
     return ingest.good().drop("batch_id")
