@@ -229,19 +229,23 @@ def landed_reviews(lake: Lake) -> DataFrame:
 # ---- pipelines ---------------------------------------------------------------------------------------
 
 
+def _landed_text(lake: Lake, name: str, contract: Contract) -> DataFrame:
+    """Landed fields as text, with whole lines kept where they do not fit."""
+    return scan_landing(lake.spark, lake.landing(name), contract.raw_schema("_linha"), corrupt="_linha")
+
+
 def ingest_consultations(lake: Lake) -> tuple[DataFrame, DataFrame]:
     """Pipeline 1: landing -> silver.consultas without NULL patients and cancelled rows; broken rows aside."""
-    raw = scan_landing(lake.spark, lake.landing("consultas"), CONSULTATIONS.raw_schema())
-    good, broken = enforce(raw, CONSULTATIONS)
+    good, broken = enforce(_landed_text(lake, "consultas", CONSULTATIONS), CONSULTATIONS, "_linha")
     clean = silver_clean(good, "id_paciente", "status", V.CANCELLED)
     clean = clean.withColumn("em_aberto", F.col("status") == V.RUNNING)
     return (lake.promote(clean, "silver", "consultas"), lake.promote(broken, "silver", "consultas_quarentena"))
 
 
 def ingest_reviews(lake: Lake) -> DataFrame:
-    """Pipeline 2: landing -> bronze.avaliacoes."""
-    raw = scan_landing(lake.spark, lake.landing("avaliacoes"), REVIEWS.raw_schema())
-    good, _ = enforce(raw, REVIEWS)
+    """Pipeline 2: landing -> bronze.avaliacoes; broken rows aside."""
+    good, broken = enforce(_landed_text(lake, "avaliacoes", REVIEWS), REVIEWS, "_linha")
+    lake.promote(broken, "bronze", "avaliacoes_quarentena")
     return lake.promote(good, "bronze", "avaliacoes")
 
 

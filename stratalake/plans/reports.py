@@ -52,8 +52,13 @@ def landed_reviews(t: Tables, visits: DataFrame) -> DataFrame:
     return scan_landing(t.spark, path, H.REVIEWS.schema())
 
 
+def view_of(t: Tables, visits: DataFrame) -> DataFrame:
+    """The 360 view with the patient columns that reports use; only these are measured and sent around."""
+    return H.view_360(visits, patients(t).select("id_paciente", "idade", "sexo", "convenio"), hospitals(t))
+
+
 def view(t: Tables) -> DataFrame:
-    return H.view_360(landed_consultations(t), patients(t), hospitals(t))
+    return view_of(t, landed_consultations(t))
 
 
 _VISITS_SQL = f"""
@@ -142,7 +147,7 @@ def report_by_hospital(t: Tables):
     FROM avaliacoes JOIN (SELECT id_consulta, cidade, tempo_espera_minutos FROM visao) USING (id_consulta) GROUP BY 1, 2""")
 def report_by_channel(t: Tables):
     visits = landed_consultations(t)
-    return H.report_by_channel(landed_reviews(t, visits), H.view_360(visits, patients(t), hospitals(t)))
+    return H.report_by_channel(landed_reviews(t, visits), view_of(t, visits))
 
 
 @query("report_by_region_and_code", f"""{_VIEW_SQL}

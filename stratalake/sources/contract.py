@@ -66,13 +66,14 @@ def _require_columns(df: DataFrame, contract: Contract) -> None:
         raise ValueError(f"columns missing from the data: {missing}")
 
 
-def judged(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
+def judged(df: DataFrame, contract: Contract, keep: Sequence[str] = (), corrupt: str | None = None) -> DataFrame:
     """Declared columns in declared types plus ``_reasons``: why the row breaks the contract, empty if it holds.
 
-    One projection, nothing is moved. ``keep`` names further columns to carry along.
+    One projection, nothing is moved. ``keep`` names further columns to carry along. ``corrupt`` names the
+    column in which the reader left lines with too few or too many fields.
     """
     _require_columns(df, contract)
-    reasons = []
+    reasons = [F.when(F.col(corrupt).isNotNull(), F.lit("line does not fit"))] if corrupt else []
     for f in contract.fields:
         given, value = F.col(f.name), typed(df, f)
         if not _same_type(df, f):
@@ -83,10 +84,11 @@ def judged(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataF
     return df.select(*[typed(df, f).alias(f.name) for f in contract.fields], *keep, found.alias(REASONS))
 
 
-def enforce(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+def enforce(df: DataFrame, contract: Contract, corrupt: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows that meet the contract, typed; and the other rows as given, with ``_reasons``."""
     _require_columns(df, contract)
-    both = judged(df.withColumn("__raw", F.struct(*contract.names)), contract, keep=["__raw"])
+    given = [*contract.names, corrupt] if corrupt else contract.names
+    both = judged(df.withColumn("__raw", F.struct(*given)), contract, ["__raw"], corrupt)
     good = both.where(F.size(REASONS) == 0).select(*contract.names)
     quarantine = both.where(F.size(REASONS) > 0).select("__raw.*", REASONS)
     return good, quarantine

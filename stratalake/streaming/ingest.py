@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.sources.contract import REASONS, Contract, judged
 from stratalake.sources.landing import CSV_OPTIONS
 
+_CORRUPT = "_corrupt"
+
 
 class IncrementalIngest:
     """Landing directory -> bronze files, with the contract checked on the way.
@@ -26,8 +28,9 @@ class IncrementalIngest:
     def run(self) -> None:
         """Take all files that have arrived since the last run, then stop."""
         arriving = (
-            self.spark.readStream.schema(self.contract.raw_schema())
+            self.spark.readStream.schema(self.contract.raw_schema(_CORRUPT))
             .options(**CSV_OPTIONS)
+            .option("columnNameOfCorruptRecord", _CORRUPT)
             .option("maxFilesPerTrigger", self.files_per_batch)
             .csv(self.landing)
         )
@@ -40,8 +43,8 @@ class IncrementalIngest:
         query.awaitTermination()
 
     def _write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        raw = F.to_json(F.struct(*self.contract.names))
-        checked = judged(batch.withColumn("_raw", raw), self.contract, keep=["_raw"])
+        raw = F.coalesce(F.col(_CORRUPT), F.to_json(F.struct(*self.contract.names)))
+        checked = judged(batch.withColumn("_raw", raw), self.contract, keep=["_raw"], corrupt=_CORRUPT)
         good = F.size(REASONS) == 0
         rows = checked.withColumn("_raw", F.when(~good, F.col("_raw"))).withColumn(
             "verdict", F.when(good, "good").otherwise("quarantine"))
@@ -57,5 +60,5 @@ class IncrementalIngest:
         return self._read("good").select(*self.contract.names, "batch_id")
 
     def quarantine(self) -> DataFrame:
-        """Refused rows as JSON of the landed text, with the reasons."""
+        """Refused rows with the reasons: the landed fields as JSON, or the line itself if it has other fields."""
         return self._read("quarantine").select("_raw", REASONS, "batch_id")

@@ -20,7 +20,7 @@ def folder(spark):
     return new_folder(spark, "test")
 
 
-def test_contract_declares_the_schema():
+def test_contract_declares_the_schema(spark):
     schema = Contract.of("id int!", "day date", comments={"id": "Key"}).schema()
     assert [(f.name, f.dataType.simpleString(), f.nullable) for f in schema] == [("id", "int", False), ("day", "date", True)]
     assert schema["id"].metadata == {"comment": "Key"}
@@ -156,7 +156,7 @@ def test_incremental_equals_batch(spark, folder):
 def test_a_repeated_batch_leaves_the_same_rows(spark, folder):
     _deliver(spark, folder, 0, 60)
     ingest = _ingest(spark, folder)
-    batch = scan_landing(spark, f"{folder}/landing", EVENTS.raw_schema())
+    batch = scan_landing(spark, f"{folder}/landing", EVENTS.raw_schema("_corrupt"), corrupt="_corrupt")
     for _ in range(2):
         ingest._write_batch(batch, 5)
     assert ingest.good().count() == 57 and ingest.quarantine().count() == 3
@@ -166,3 +166,17 @@ def test_dates_and_numbers_convert_or_are_refused(spark):
     raw = spark.createDataFrame([("2024-02-30", "1"), ("2024-02-29", "99999999999")], "d string, n string")
     good, bad = enforce(raw, Contract.of("d date", "n bigint"))
     assert good.first().d == datetime.date(2024, 2, 29) and bad.first().d == "2024-02-30"
+
+
+def test_lines_with_other_fields_are_quarantined(spark, folder):
+    lines = ["id,v", "1,0.5", "2", "3,1.5,more", "4,", '5,"2.5"']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{folder}/landing")
+    ingest = _ingest(spark, folder)
+    ingest.run()
+    assert sorted((r.id, r.v) for r in ingest.good().collect()) == [(1, 0.5), (5, 2.5)]
+    refused = {r._raw: tuple(r._reasons) for r in ingest.quarantine().collect()}
+    assert refused["3,1.5,more"] == ("line does not fit",) and refused["2"][0] == "line does not fit"
+    assert refused['{"id":"4"}'] == ("v is null",)
+    raw = scan_landing(spark, f"{folder}/landing", EVENTS.raw_schema("_line"), corrupt="_line")
+    good, bad = enforce(raw, EVENTS, "_line")
+    assert good.count() == 2 and bad.count() == 3 and bad.where("_line = '3,1.5,more'").count() == 1
