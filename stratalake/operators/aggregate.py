@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalake.operators.joins import BROADCAST_BYTES, attach
+from stratalake.operators.joins import attach
 from stratalake.operators.sequence import top_k_per_group
 
 
@@ -30,7 +30,7 @@ def kpi_by_dimension(
     measures: Mapping[str, Column],
     dim: DataFrame,
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Measures per dimension row, with the dimension's attributes.
 
@@ -89,7 +89,7 @@ def rate_gap(df: DataFrame, flag: Column, condition: Column, digits: int = 6) ->
 
 def load_per_capacity(
     load: DataFrame, capacity: DataFrame, key: str, amount: str, capacity_column: str, *, digits: int = 6,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Load per unit of capacity per key; NULL where the capacity is missing or 0."""
     both = attach(load, capacity, key, "left", broadcast_bytes=broadcast_bytes)

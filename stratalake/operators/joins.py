@@ -15,8 +15,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-#: Largest measured size of a broadcast side, in bytes.
+#: Largest measured size of a broadcast side in bytes, unless the session sets BROADCAST_SETTING.
 BROADCAST_BYTES = 64 << 20
+BROADCAST_SETTING = "spark.stratalake.broadcastBytes"
 #: Most hot keys a sketch may report, and the counters it keeps.
 _HOT_KEYS, _SKETCH_ITEMS = 1_000, 10_000
 #: Most copies of a right row made for a hot key.
@@ -50,6 +51,11 @@ def measured_bytes(*frames: DataFrame) -> list[int]:
     return [found[i] for i in range(len(frames))]
 
 
+def broadcast_limit(df: DataFrame, given: int | None = None) -> int:
+    """Broadcast limit in bytes: as given, else the session's setting, else the default."""
+    return int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES))) if given is None else given
+
+
 def _key_list(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
@@ -132,7 +138,7 @@ def attach_all(
     left: DataFrame,
     lookups: Sequence[tuple[DataFrame, str | Sequence[str], str]],
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Join the left side with several ``(frame, key columns, how)`` lookups.
 
@@ -140,11 +146,11 @@ def attach_all(
     the left rows; the others follow as spread joins. A large lookup must find its key in the left side or
     in a lookup that comes before it and is not postponed itself.
     """
-    sizes = measured_bytes(*[frame for frame, _, _ in lookups])
+    sizes, limit = measured_bytes(*[frame for frame, _, _ in lookups]), broadcast_limit(left, broadcast_bytes)
     waiting, large, out = [], [], left
     for (frame, on, how), size in zip(lookups, sizes):
         keys = _key_list(on)
-        if size > broadcast_bytes:
+        if size > limit:
             large.append((frame, keys, how))
         elif set(keys) <= set(out.columns):
             out = out.join(F.broadcast(frame), keys, how)
@@ -164,7 +170,7 @@ def attach(
     on: str | Sequence[str],
     how: str = "inner",
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     size: int | None = None,
 ) -> DataFrame:
     """Join with one lookup: by broadcast if it measures small, else as a spread join.
@@ -172,6 +178,6 @@ def attach(
     ``size`` is the lookup's measured size, if it has been measured already.
     """
     size = measured_bytes(right)[0] if size is None else size
-    if size <= broadcast_bytes:
+    if size <= broadcast_limit(left, broadcast_bytes):
         return left.join(F.broadcast(right), _key_list(on), how)
     return spread_join(left, right, on, how)

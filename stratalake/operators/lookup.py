@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.functions.draws import draw, pick
-from stratalake.operators.joins import BROADCAST_BYTES, attach, measured_bytes
-from stratalake.operators.sequence import ROWS_PER_BUCKET, cumulative_bounds, index_in_group, pool_index
+from stratalake.operators.joins import attach, measured_bytes
+from stratalake.operators.sequence import bucket_rows, cumulative_bounds, index_in_group, pool_index
 from stratalake.sources.shared import checkpointed
 
 #: Interval widths of one level differ by at most this factor.
@@ -25,7 +25,7 @@ def pool_lookup(
     pool: Sequence[str] | DataFrame,
     column: str,
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Add the pool value at position ``key * multiplier mod pool size``; NULL for a NULL key.
 
@@ -62,7 +62,7 @@ def range_join(
     low: str,
     high: str,
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Inner join of points with the half-open intervals ``[low, high)`` that hold them; bounds must be finite.
 
@@ -104,8 +104,8 @@ def weighted_draw(
     item: str,
     weight: str,
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    broadcast_bytes: int | None = None,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add the item drawn for each key with probability proportional to its weight.
 
@@ -116,7 +116,7 @@ def weighted_draw(
     n_items, total = chosen.agg(F.count(F.lit(1)), F.sum("__weight")).first()
     if not total:
         raise ValueError("weighted_draw needs at least one positive weight")
-    if n_items > rows_per_bucket:
+    if n_items > bucket_rows(df, rows_per_bucket):
         bounds = checkpointed(bounds)  # read three times below
     drawn = df.withColumn("__drawn", draw(key, multiplier, total))
     found = range_join(drawn, "__drawn", bounds.drop("__weight"), "__lower", "__upper", broadcast_bytes=broadcast_bytes)
@@ -131,8 +131,8 @@ def pick_in_group(
     options: DataFrame,
     order: str,
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    broadcast_bytes: int | None = None,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add one option row of the same group, at position ``key * multiplier mod group size`` along ``order``.
 
@@ -159,7 +159,7 @@ def conditional_lookup(
     pool: DataFrame,
     *,
     position: str = "idx",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Add the pool row of the same kind at position ``key * multiplier mod size of that kind``.
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalake.operators.joins import BROADCAST_BYTES, attach
+from stratalake.operators.joins import attach
 
 
 def silver_clean(df: DataFrame, foreign_key: str, status: str, cancelled: str) -> DataFrame:
@@ -36,7 +36,7 @@ def status_audit(df: DataFrame, foreign_key: str, status: str, names: Mapping[st
 
 
 def orphan_audit(
-    fact: DataFrame, foreign_key: str, dim: DataFrame, key: str, *, broadcast_bytes: int = BROADCAST_BYTES
+    fact: DataFrame, foreign_key: str, dim: DataFrame, key: str, *, broadcast_bytes: int | None = None
 ) -> DataFrame:
     """One row: rows, NULL keys, rows and distinct keys whose parent is missing. A NULL key is no orphan.
 
@@ -56,7 +56,7 @@ def orphan_audit(
 
 
 def qualifying(
-    child: DataFrame, parent: DataFrame, on: str, condition: Column, *, broadcast_bytes: int = BROADCAST_BYTES
+    child: DataFrame, parent: DataFrame, on: str, condition: Column, *, broadcast_bytes: int | None = None
 ) -> DataFrame:
     """Child rows that have a parent which meets the condition."""
     return attach(child, parent.where(condition).select(on), on, "left_semi", broadcast_bytes=broadcast_bytes)

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-#: Rows that one window partition is meant to sort.
+#: Rows that one window partition is meant to sort, unless the session sets BUCKET_SETTING.
 ROWS_PER_BUCKET = 1_000_000
+BUCKET_SETTING = "spark.stratalake.rowsPerBucket"
 #: Most buckets for numbers and dates, and for other types, whose edges become a comparison tree.
 _MAX_NUMERIC_BUCKETS, _MAX_OTHER_BUCKETS = 4_096, 64
 _SAMPLE_PER_BUCKET = 200
@@ -22,6 +23,11 @@ _SAMPLE_PER_BUCKET = 200
 _BUCKET, _AS_NUMBER = "__bucket", "__as_number"
 
 
+def bucket_rows(df: DataFrame, given: int | None = None) -> int:
+    """Rows per bucket: as given, else the session's setting, else the default."""
+    return int(df.sparkSession.conf.get(BUCKET_SETTING, str(ROWS_PER_BUCKET))) if given is None else given
+
+
 def _as_double(df: DataFrame, key: str) -> Column | None:
     """The key as a double that never decreases when the key increases; None where there is none."""
     kind = df.schema[key].dataType
@@ -46,7 +52,7 @@ def _comparison_tree(key: Column, edges: Sequence) -> Column:
     return search(0, len(edges))
 
 
-def with_order_bucket(df: DataFrame, key: str, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def with_order_bucket(df: DataFrame, key: str, rows: int, rows_per_bucket: int) -> DataFrame:
     """Add a bucket number that never decreases along the key; NULL keys come first, as in a sort."""
     as_double = _as_double(df, key)
     most = _MAX_NUMERIC_BUCKETS if as_double is not None else _MAX_OTHER_BUCKETS
@@ -77,7 +83,7 @@ def running(
     within: Sequence[str] = (),
     upto: str = "upto",
     total: str | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add the running sum of ``value`` (the running count if None) including the row itself.
 
@@ -88,7 +94,7 @@ def running(
     within = list(within)
     value = F.lit(1).cast("bigint") if value is None else value
     valued = df.withColumn("__value", value)
-    rows = df.count()
+    rows, rows_per_bucket = df.count(), bucket_rows(df, rows_per_bucket)
     if rows <= rows_per_bucket:
         group = Window.partitionBy(*within)
         up_to_row = group.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -119,7 +125,7 @@ def running(
 
 
 def global_seq(
-    df: DataFrame, key: str, out: str = "seq", *, start: int = 1, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, key: str, out: str = "seq", *, start: int = 1, rows_per_bucket: int | None = None
 ) -> DataFrame:
     """Dense BIGINT numbers along a unique key: ``row_number() OVER (ORDER BY key)`` at any size."""
     numbered = running(df, key, upto="__upto", rows_per_bucket=rows_per_bucket)
@@ -133,7 +139,7 @@ def index_in_group(
     out: str = "idx",
     size: str = "qtd",
     *,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """0-based position of each row within its group along a key, and the size of the group."""
     groups = [group] if isinstance(group, str) else list(group)
@@ -148,14 +154,14 @@ def cumulative_bounds(
     lower: str = "lower",
     upper: str = "upper",
     *,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Half-open interval ``[lower, upper)`` of each weight in the running total along a unique order."""
     summed = running(df, order, F.col(weight).cast("bigint"), upto=upper, rows_per_bucket=rows_per_bucket)
     return summed.select(*df.columns, (F.col(upper) - F.col(weight)).alias(lower), upper)
 
 
-def pool_index(values: DataFrame, column: str, out: str = "idx", *, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def pool_index(values: DataFrame, column: str, out: str = "idx", *, rows_per_bucket: int | None = None) -> DataFrame:
     """Distinct non-NULL values of a column with a dense 0-based index in sort order."""
     distinct = values.select(column).where(F.col(column).isNotNull()).distinct()
     return global_seq(distinct, column, out, start=0, rows_per_bucket=rows_per_bucket)

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratalake.functions.draws import col
-from stratalake.operators.joins import BROADCAST_BYTES, attach, measured_bytes
+from stratalake.operators.joins import attach, broadcast_limit, measured_bytes
 
 _WORD = re.compile(r"[a-z]+")
 
@@ -45,7 +45,7 @@ def score_text(
     key: str,
     lexicon: Mapping[str, int] | DataFrame,
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Score and polarity per key, with a row for texts that hold no lexicon word.
 
@@ -56,11 +56,12 @@ def score_text(
         scored = df.select(key, lexicon_score(text, lexicon).alias("score"))
     else:
         words = df.select(key, F.explode_outer(F.split(F.lower(F.col(text)), "[^a-z]+")).alias("word"))
-        if measured_bytes(lexicon)[0] > broadcast_bytes:
+        size = measured_bytes(lexicon)[0]
+        if size > broadcast_limit(df, broadcast_bytes):
             words = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("times"))
         else:
             words = words.withColumn("times", F.lit(1))
-        hits = attach(words, lexicon.select("word", "score"), "word", "left", broadcast_bytes=broadcast_bytes)
+        hits = attach(words, lexicon.select("word", "score"), "word", "left", broadcast_bytes=broadcast_bytes, size=size)
         points = F.coalesce(F.col("score"), F.lit(0)) * F.col("times")
         scored = hits.groupBy(key).agg(F.sum(points).cast("bigint").alias("score"))
     return scored.select(key, "score", polarity("score").alias("polarity"))

@@ -1,8 +1,9 @@
-"""Every registered query against its SQL; TEST_SF picks the table size."""
+"""Every registered query against its SQL and for what its plan may not hold; TEST_SF picks the table size."""
 
 import os
 
 import pytest
+from conftest import plan_of
 from oracle import compare, duck
 
 import __spark_entry__ as registered
@@ -21,7 +22,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query(spark, con, name):
-    assert compare(registered.queries()[name](spark, FOLDER), con, registered.oracle_sql()[name]) is None
+    df = registered.queries()[name](spark, FOLDER)
+    plan = plan_of(df)
+    for operator in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
+        assert operator not in plan
+    assert compare(df, con, registered.oracle_sql()[name]) is None
 
 
 def test_entry(spark):
