@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.operators.joins import attach
 
@@ -96,12 +96,14 @@ def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
     Exact distinct counts go through one (column, value) grouping rather than one distinct aggregate per
     column; ``exact=False`` uses a sketch within the same pass as the other figures.
     """
-    fields = [f for f in df.schema.fields]
+    fields = df.schema.fields
     figures = []
     for f in fields:
         c = F.col(f"`{f.name}`")
+        ordered = F.lit(None).cast("string") if isinstance(f.dataType, T.MapType) else c  # maps have no order
         figures += [F.count(c).alias(f"{f.name}__non_null"), F.count_if(c.isNull()).alias(f"{f.name}__nulls"),
-                    F.min(c).cast("string").alias(f"{f.name}__min"), F.max(c).cast("string").alias(f"{f.name}__max")]
+                    F.min(ordered).cast("string").alias(f"{f.name}__min"),
+                    F.max(ordered).cast("string").alias(f"{f.name}__max")]
         if not exact:
             figures.append(F.approx_count_distinct(c).alias(f"{f.name}__distinct"))
     wide = df.agg(*figures)

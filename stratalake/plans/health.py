@@ -270,8 +270,9 @@ def analyse_reviews(reviews: DataFrame) -> DataFrame:
 
 def review_consultations(lake: Lake) -> DataFrame:
     """Pipeline 4: reviews with scores, joined with their consultation -> silver.consultas_avaliadas."""
+    # The scored side stays on the left: the right side is measured, and measuring scores would score twice.
     scored = analyse_reviews(lake.table("bronze", "avaliacoes")).drop("id_paciente")
-    joined = attach(landed_consultations(lake), scored, "id_consulta")
+    joined = attach(scored, landed_consultations(lake), "id_consulta")
     return lake.promote(joined, "silver", "consultas_avaliadas")
 
 
@@ -313,10 +314,13 @@ def report_by_hospital(view: DataFrame, *, exclude_cancelled: bool = False) -> D
     })
 
 
-def report_by_channel(reviews: DataFrame, view: DataFrame) -> DataFrame:
+def report_by_channel(reviews: DataFrame, consultations: DataFrame, hospitals: DataFrame) -> DataFrame:
     """Report 2: reviews per channel and city."""
-    visits = view.select("id_consulta", "cidade", "tempo_espera_minutos")
-    return agg.kpi(attach(reviews, visits, "id_consulta"), ["canal_avaliacao", "cidade"], {
+    placed = attach_all(reviews, [
+        (consultations.select("id_consulta", "id_hospital", "tempo_espera_minutos"), "id_consulta", "inner"),
+        (hospitals.select("id_hospital", "cidade"), "id_hospital", "inner"),
+    ])
+    return agg.kpi(placed, ["canal_avaliacao", "cidade"], {
         "total_avaliacoes": F.count("id_consulta"),
         "avg_tempo_para_avaliar": agg.mean("tempo_para_avaliar_min"),
         "taxa_anonimato": agg.ratio(F.col("avaliacao_anonima")),

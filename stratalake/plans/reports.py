@@ -52,13 +52,10 @@ def landed_reviews(t: Tables, visits: DataFrame) -> DataFrame:
     return scan_landing(t.spark, path, H.REVIEWS.schema())
 
 
-def view_of(t: Tables, visits: DataFrame) -> DataFrame:
-    """The 360 view with the patient columns that reports use; only these are measured and sent around."""
-    return H.view_360(visits, patients(t).select("id_paciente", "idade", "sexo", "convenio"), hospitals(t))
-
-
 def view(t: Tables) -> DataFrame:
-    return view_of(t, landed_consultations(t))
+    """The 360 view with the patient columns that reports use; only these are measured and sent around."""
+    people = patients(t).select("id_paciente", "idade", "sexo", "convenio")
+    return H.view_360(landed_consultations(t), people, hospitals(t))
 
 
 _VISITS_SQL = f"""
@@ -147,7 +144,7 @@ def report_by_hospital(t: Tables):
     FROM avaliacoes JOIN (SELECT id_consulta, cidade, tempo_espera_minutos FROM visao) USING (id_consulta) GROUP BY 1, 2""")
 def report_by_channel(t: Tables):
     visits = landed_consultations(t)
-    return H.report_by_channel(landed_reviews(t, visits), view_of(t, visits))
+    return H.report_by_channel(landed_reviews(t, visits), visits, hospitals(t))
 
 
 @query("report_by_region_and_code", f"""{_VIEW_SQL}
@@ -203,4 +200,4 @@ _SCORE_SQL = "(" + " + ".join(
 def report_wait_and_sentiment(t: Tables):
     visits = landed_consultations(t)
     scored = H.analyse_reviews(landed_reviews(t, visits)).select("id_consulta", "sentimento")
-    return H.wait_and_sentiment(attach(visits.select("id_consulta", "tempo_espera_minutos"), scored, "id_consulta"))
+    return H.wait_and_sentiment(attach(scored, visits.select("id_consulta", "tempo_espera_minutos"), "id_consulta"))

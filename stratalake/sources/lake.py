@@ -44,6 +44,18 @@ class Lake:
     def table(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(self.table_name(layer, name))
 
+    def use(self, layer: str) -> DataFrame:
+        """Make a layer the session's default, so its tables need no prefix; returns catalog and schema in use."""
+        self.spark.catalog.setCurrentDatabase(self.database(layer))
+        return self.spark.sql("SELECT current_catalog() AS catalog, current_schema() AS schema")
+
+    def tables(self, layer: str) -> DataFrame:
+        return self.spark.sql(f"SHOW TABLES IN {self.database(layer)}")
+
+    def describe(self, layer: str, name: str) -> DataFrame:
+        """Columns, comments and storage details of a table."""
+        return self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table_name(layer, name)}")
+
     def sink_table(
         self,
         df: DataFrame,

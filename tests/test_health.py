@@ -118,7 +118,8 @@ def test_reports(lake, view):
     by_hospital = H.report_by_hospital(view)
     assert by_hospital.agg(F.sum("total_consultas"), F.sum("cancelamentos")).first() == (1000, 100)
     assert H.report_by_hospital(view, exclude_cancelled=True).agg(F.sum("total_consultas"), F.sum("cancelamentos")).first() == (900, 0)
-    assert H.report_by_channel(H.landed_reviews(lake), view).agg(F.sum("total_avaliacoes")).first()[0] == 500
+    by_channel = H.report_by_channel(H.landed_reviews(lake), H.landed_consultations(lake), lake.table("bronze", "hospitais"))
+    assert by_channel.agg(F.sum("total_avaliacoes")).first()[0] == 500
     by_code = H.report_by_region_and_code(view)
     assert by_code.where("cid_10 is null").agg(F.sum("total_consultas")).first()[0] == 150
     demography = H.report_by_demography(view)

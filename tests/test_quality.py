@@ -67,6 +67,12 @@ def test_profile_exact_and_sketched(spark):
     assert none == {"n": 0, "s": 0}
 
 
+def test_profile_of_nested_columns(spark):
+    df = spark.createDataFrame([({"a": 1}, [2]), ({"a": 2}, [1])], "m map<string,int>, v array<int>")
+    got = {r["column"]: (r["distinct"], r["min"]) for r in Q.profile(df).collect()}
+    assert got == {"m": (2, None), "v": (2, "[1]")}
+
+
 def test_ratios_of_nothing_are_null(spark):
     empty = spark.createDataFrame([], "flag boolean, v int")
     assert tuple(agg.rate_gap(empty, F.col("flag"), F.col("v") > 0).first()) == (0, 0, None, None, None)

@@ -100,10 +100,11 @@ def test_tables_are_replaced_and_described(spark, lake):
     for n in (5, 3):
         table = lake.sink_table(spark.range(n).withColumn("v", F.lit("a")), "bronze", "things", contract, comment="It's a table")
     assert table.count() == 3 and lake.setup().table("bronze", "things").count() == 3
-    described = {r.col_name: (r.data_type, r.comment) for r in spark.sql(
-        f"DESCRIBE TABLE EXTENDED {lake.table_name('bronze', 'things')}").collect()}
+    described = {r.col_name: (r.data_type, r.comment) for r in lake.describe("bronze", "things").collect()}
     assert described["id"] == ("bigint", "Primary key") and described["Comment"][0] == "It's a table"
-    assert spark.sql(f"SHOW TABLES IN {lake.database('bronze')}").count() == 1
+    assert [r.tableName for r in lake.tables("bronze").collect()] == ["things"]
+    assert lake.use("bronze").first().schema == lake.database("bronze") and spark.table("things").count() == 3
+    spark.catalog.setCurrentDatabase("default")
 
 
 def test_tables_refuse_bad_rows_and_unknown_layers(spark, lake):
