@@ -142,25 +142,23 @@ def attach_all(
 ) -> DataFrame:
     """Join the left side with several ``(frame, key columns, how)`` lookups.
 
-    All lookups are measured in one job. The small ones are joined first, by broadcast and without moving
-    the left rows; the others follow as spread joins. A large lookup must find its key in the left side or
-    in a lookup that comes before it and is not postponed itself.
+    All lookups are measured in one job. Of those whose key is at hand, small ones come first: they are
+    broadcast and do not move the left rows. The others are spread joins. A lookup may be keyed on a column
+    that another one brings in.
     """
-    sizes, limit = measured_bytes(*[frame for frame, _, _ in lookups]), broadcast_limit(left, broadcast_bytes)
-    waiting, large, out = [], [], left
-    for (frame, on, how), size in zip(lookups, sizes):
-        keys = _key_list(on)
-        if size > limit:
-            large.append((frame, keys, how))
-        elif set(keys) <= set(out.columns):
-            out = out.join(F.broadcast(frame), keys, how)
+    limit = broadcast_limit(left, broadcast_bytes)
+    sizes = measured_bytes(*[frame for frame, _, _ in lookups])
+    remaining = [(size > limit, frame, _key_list(on), how) for (frame, on, how), size in zip(lookups, sizes)]
+    out = left
+    while remaining:
+        ready = [i for i, (_, _, keys, _) in enumerate(remaining) if set(keys) <= set(out.columns)]
+        if not ready:
+            raise ValueError(f"no lookup brings in the keys of {[keys for _, _, keys, _ in remaining]}")
+        large, frame, keys, how = remaining.pop(min(ready, key=lambda i: remaining[i][0]))
+        if large:
+            out = spread_join(out, frame, keys, how, probe=left if set(keys) <= set(left.columns) else None)
         else:
-            waiting.append((frame, keys, how))
-    for frame, keys, how in large:
-        probe = left if set(keys) <= set(left.columns) else None
-        out = spread_join(out, frame, keys, how, probe=probe)
-    for frame, keys, how in waiting:
-        out = out.join(F.broadcast(frame), keys, how)
+            out = out.join(F.broadcast(frame), keys, how)
     return out
 
 

@@ -74,6 +74,10 @@ def test_measured_bytes_follows_the_strings(spark):
 def test_attach_all_joins_a_chain_of_any_sizes(spark, fact, dim, rows):
     groups = spark.range(450).select(F.concat(F.lit("n"), "id").alias("name"), (F.col("id") % 5).alias("g"))
     plain = fact.join(dim, "k", "inner").join(groups, "name", "left")
-    for limit in (0, 12_000, 1 << 30):
-        both = J.attach_all(fact, [(dim, "k", "inner"), (groups, "name", "left")], broadcast_bytes=limit)
-        assert rows(both) == rows(plain)
+    wide = groups.withColumn("note", F.repeat(F.lit("x"), 200))
+    for limit in (0, 20_000, 1 << 30):
+        for second in (groups, wide):
+            both = J.attach_all(fact, [(second, "name", "left"), (dim, "k", "inner")], broadcast_bytes=limit)
+            assert rows(both.drop("note")) == rows(plain)
+    with pytest.raises(ValueError):
+        J.attach_all(fact, [(groups, "name", "left")])
