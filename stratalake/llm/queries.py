@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +33,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every piece of every document's tokens, with a checksum of its ids."""
+    pieces = packing.token_pieces(_table(spark, folder, "documents"))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
