@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash
+from . import packing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,19 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Place of every piece of every document's tokens, with a checksum of its ids."""
     pieces = packing.token_pieces(_table(spark, folder, "documents"))
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+@query("op5_substring_dedup", r"""
+    with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+    words as (select doc_id, unnest(w) word, generate_subscripts(w, 1) i from texts),
+    windows as (select doc_id, i, word, count(*) over f n, string_agg(word, ' ') over f s from words
+                window f as (partition by doc_id order by i rows between current row and 19 following)),
+    judged as (select doc_id, i, word, n = 20 and row_number() over (partition by n = 20, s order by doc_id, i) > 1 again from windows),
+    marked as (select doc_id, i, word, bool_or(again) over (partition by doc_id order by i rows between 19 preceding and current row) gone from judged),
+    kept as (select doc_id, string_agg(word, ' ' order by i) filter (not gone) k, count(*) filter (gone) n from marked group by doc_id)
+    select doc_id, cast(len(w) as bigint) n_words, coalesce(n, 0) n_removed, sha256(coalesce(k, '')) kept_sha256
+    from texts left join kept using (doc_id)""")
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document and how many of them repeat an earlier passage, with a digest of the rest."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return substrings.dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
