@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, substrings
+from stratalake.sources.shared import new_folder
+
+from . import packing, simhash, substrings, warc
+from .common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +59,27 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document and how many of them repeat an earlier passage, with a digest of the rest."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return substrings.dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_warc", r"""
+    with p as (select page_id, encode(coalesce(html, '')) b from pages),
+    d as (select page_id, octet_length(b) n, sha1(b) s from p),
+    r as (select *, case when n >= 1000 then max(page_id) over (partition by s, n) else page_id end last from d)
+    select page_id, cast(n as bigint) payload_bytes, s payload_digest,
+           case when page_id < last then 'revisit' else 'response' end record_type, case when page_id < last then last end refers_to
+    from r""")
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back from them."""
+    pages = _table(spark, folder, "pages")
+    archive = new_folder(spark, "warc")
+    warc.write_archive(warc.plan_records(pages).where("id is not null"), archive)
+    number = lambda c: F.regexp_extract(c, ":(-?[0-9]+)>", 1).cast("long")
+    read = warc.read_archive(spark, archive)
+    read = read.select(
+        number("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("n"), F.expr("substring(digest, 6)").alias("payload_digest"),
+        F.col("type").alias("record_type"), number("refers_to").alias("refers_to"))
+    read = stored(read, "records")
+    lengths = read.where("record_type = 'response'").groupBy(F.col("page_id").alias("of")).agg(F.max("n").alias("whole"))
+    revisits = read.where("record_type = 'revisit'").join(lengths, F.col("refers_to") == F.col("of"), "left").drop("n", "of").withColumnRenamed("whole", "n")
+    out = read.where("record_type = 'response'").unionByName(revisits)
+    return out.select("page_id", F.col("n").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
