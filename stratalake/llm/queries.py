@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.sources.shared import new_folder
 
-from . import packing, simhash, substrings, warc
+from . import packing, quality, simhash, substrings, urls, warc
 from .common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,17 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     revisits = read.where("record_type = 'revisit'").join(lengths, F.col("refers_to") == F.col("of"), "left").drop("n", "of").withColumnRenamed("whole", "n")
     out = read.where("record_type = 'response'").unionByName(revisits)
     return out.select("page_id", F.col("n").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return urls.judged(_table(spark, folder, "pages"))
+
+
+@query("op10_quality_ranking")
+def op10_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    ranking = quality.fit(docs, _table(spark, folder, "labels"))
+    return quality.scored(docs, ranking).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
