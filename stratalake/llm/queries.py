@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.sources.shared import new_folder
 
-from . import packing, quality, simhash, substrings, urls, warc
+from . import decontaminate, packing, quality, simhash, substrings, urls, warc
 from .common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def op10_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     ranking = quality.fit(docs, _table(spark, folder, "labels"))
     return quality.scored(docs, ranking).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies of benchmark items in the documents."""
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
