@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.sources.shared import new_folder
 
-from . import decontaminate, packing, quality, simhash, substrings, urls, warc
+from . import caps, decontaminate, licenses, packing, quality, sharding, simhash, substrings, urls, warc
 from .common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,31 @@ def op10_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Copies of benchmark items in the documents."""
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query("op2_embedding_dedup", r"""
+    with recursive v as (select vec_id, label, cast(embedding as double[]) e from embeddings
+        where label is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+          and len(list_filter(embedding, x -> x <> 0)) > 0),
+    p as (select a.vec_id u, b.vec_id w from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+          where list_cosine_similarity(a.e, b.e) >= 0.98),
+    r as (select vec_id u, vec_id c from embeddings union select p.w, r.c from r join p on p.u = r.u),
+    c as (select u vec_id, min(c) component_id from r group by u),
+    n as (select u vec_id, count(*) n from p group by u)
+    select vec_id, coalesce(n, 0) n_links, component_id, vec_id = component_id kept from c left join n using (vec_id)""")
+def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicates of every vector."""
+    return caps.linked(_table(spark, folder, "embeddings"))
+
+
+@query("op3_sharding")
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Slot and shard of every document among 64 shards."""
+    docs = _table(spark, folder, "documents").select("doc_id")
+    return sharding.assign(docs, ["doc_id"], [f"shard-{k:03d}" for k in range(64)])
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence passages of every document."""
+    return licenses.scan(_table(spark, folder, "documents"))
