@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +30,27 @@ RUN = 64
 SHARE = 2e-4
 #: Super-k-mers below this number in a batch cannot matter to the share: a batch holds some tens of thousands.
 _LOCAL = 4
-_CHUNK = 200_000
+_CHUNK = 50_000
+
+
+class Packing:
+    """Compresses packed strings by a dictionary learned from a few texts; what it was learned from affects their size alone."""
+
+    def __init__(self, texts: list[bytes], size: int = 16 << 10, piece: int = 180):
+        pieces = [t[i:i + piece] for t in texts for i in range(0, len(t), piece)]
+        try:
+            self.dictionary = zstandard.train_dictionary(size, pieces).as_bytes()
+        except zstandard.ZstdError:  # too little to learn from
+            self.dictionary = b""
+
+    def _options(self) -> dict:
+        return {"dict_data": zstandard.ZstdCompressionDict(self.dictionary)} if self.dictionary else {}
+
+    def packer(self):
+        return zstandard.ZstdCompressor(level=1, write_checksum=False, write_dict_id=False, **self._options()).compress
+
+    def unpacker(self):
+        return zstandard.ZstdDecompressor(**self._options()).decompress
 
 
 def _windows(w: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,21 +109,24 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     hot = np.array([r[0] for r in counted.where(F.col("n") > max(share * total, 1000)).select("least").collect()], np.int64)
     hot = np.sort(hot.view(np.uint64))  # at most 1 / share numbers
 
+    packing = Packing([r[0].encode() for r in source.select(F.substring("text", 1, 8000)).where("text is not null").limit(300).collect()])
+
     def cut(batches):
+        pack = packing.packer()
         for batch, texts in text_batches(batches, "text"):
-            yield from _super_kmers(batch, texts, window, gram, hot)
+            yield from _super_kmers(batch, texts, window, gram, hot, pack)
 
-    moved = source.mapInArrow(cut, "key long, id long, tag int, start int, n int, words binary")
+    moved = source.mapInArrow(cut, "key long, id long, place long, words binary")
     dealt = moved.repartition("key").sortWithinPartitions("key")
 
     def settle(batches):
-        yield from _settled(batches, window)
+        yield from _settled(batches, window, packing.unpacker())
 
     return dealt.mapInArrow(settle, "id long, tag int, begin int, end int").withColumnRenamed("id", id)
 
 
-def _super_kmers(batch: pa.RecordBatch, texts: list[bytes], window: int, gram: int, hot: np.ndarray):
-    """Rows for the buckets; a row without words is a run of windows that is known to be repeated."""
+def _super_kmers(batch: pa.RecordBatch, texts: list[bytes], window: int, gram: int, hot: np.ndarray, pack):
+    """Rows for the buckets; one without words is a window that is known to be repeated. ``place`` holds start and tag."""
     w = Words(texts)
     first, least, hashes = _windows(w, window, gram)
     if not len(first):
@@ -124,12 +148,11 @@ def _super_kmers(batch: pa.RecordBatch, texts: list[bytes], window: int, gram: i
     owner = np.searchsorted(w.first, firsts, side="right") - 1
     view = w.buffer.tobytes()
     spans = zip(w.start[firsts].tolist(), w.end[firsts + counts + window - 2].tolist(), known.tolist(), strict=True)
-    packed = [None if k else view[a:b] for a, b, k in spans]
-    owners = pa.array(owner)
+    packed = [None if k else pack(view[a:b]) for a, b, k in spans]
+    place = (firsts - w.first[owner] << 32) + (tags[owner].astype(np.int64) & 0xFFFFFFFF)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(keys.view(np.int64)), batch.column("id").take(owners), pa.array(tags[owner]),
-         pa.array((firsts - w.first[owner]).astype(np.int32)), pa.array(counts.astype(np.int32)), pa.array(packed, pa.binary())],
-        names=["key", "id", "tag", "start", "n", "words"])
+        [pa.array(keys.view(np.int64)), batch.column("id").take(pa.array(owner)), pa.array(place), pa.array(packed, pa.binary())],
+        names=["key", "id", "place", "words"])
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -155,7 +178,7 @@ def _repeats(w: Words, first: np.ndarray, number: np.ndarray, ids: np.ndarray, s
     return again
 
 
-def _settled(batches, window: int):
+def _settled(batches, window: int, unpack):
     """Spans of repeated windows from rows that come sorted by key; whole keys are settled together."""
     held, size = [], 0
     for batch in batches:
@@ -169,26 +192,24 @@ def _settled(batches, window: int):
         keys = rows.column("key").to_numpy()
         cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
         if cut:
-            yield from _chunk_spans(rows.slice(0, cut), window)
+            yield from _chunk_spans(rows.slice(0, cut), window, unpack)
             rows = rows.slice(cut)
         held, size = rows.to_batches(), rows.num_rows
     if held:
-        yield from _chunk_spans(pa.Table.from_batches(held), window)
+        yield from _chunk_spans(pa.Table.from_batches(held), window, unpack)
 
 
-def _chunk_spans(rows: pa.Table, window: int):
+def _chunk_spans(rows: pa.Table, window: int, unpack):
     rows = rows.combine_chunks()
     known = rows.column("words").is_null().to_numpy()
-    n = rows.column("n").to_numpy()
-    ids, tags = _ids(rows.column("id").combine_chunks()), rows.column("tag").to_numpy()
-    start = rows.column("start").to_numpy().astype(np.int64)
+    ids, place = _ids(rows.column("id").combine_chunks()), rows.column("place").to_numpy()
+    start, tags = place >> 32, (place & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
     fresh = np.flatnonzero(~known)
-    parts = [(known.nonzero()[0], start[known], start[known] + n[known] - 1)]  # rows, first and last repeated window
+    parts = [(known.nonzero()[0], start[known], start[known])]  # rows, first and last repeated window
     if len(fresh):
-        w = Words(rows.column("words").take(pa.array(fresh)).to_pylist())
-        count = n[fresh].astype(np.int64)
-        place = np.cumsum(count) - count
-        within = np.arange(count.sum()) - np.repeat(place, count)
+        w = Words([unpack(x) for x in rows.column("words").take(pa.array(fresh)).to_pylist()])
+        count = np.diff(w.first) - window + 1
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         first, owner = np.repeat(w.first[:-1], count) + within, np.repeat(fresh, count)
         number = grams(w.hashes(), window)[first]
         at = start[owner] + within
