@@ -124,7 +124,8 @@ def bucket_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) ->
 def _stars(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links from members of a bucket to the smallest member of their component in it."""
     fp = np.sort(fp)
-    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= radius
+    bits = fp.view(np.uint64)  # the bit count of a negative number is that of its absolute value
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= radius
     label = np.arange(len(fp))
     while True:
         new = np.where(near, label, len(fp)).min(axis=1)
