@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, stored
+from .common import components, stored, trim
 
 COSINE = 0.98
 #: Independent rotations, the filters a vector is expected to exceed in each, and the least it is listed in.
@@ -128,6 +128,7 @@ def linked(vectors: DataFrame, id: str = "vec_id", embedding: str = "embedding",
             out = _cell(rows, cosine)
             if out is not None:
                 yield out
+        trim()
 
     found = stored(dealt.mapInArrow(compare, "rid long, links long, root long"), "links")
     roots = components(found.where("root is not null").select(F.col("rid").alias("u"), F.col("root").alias("v")))

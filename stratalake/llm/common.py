@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 from stratalake.sources.shared import new_folder
 
 #: Bytes of text that a task turns into arrays at a time; a longer text is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -39,15 +42,24 @@ def binary(column: pa.Array) -> list[bytes]:
 def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES):
     """Slices of the batches with their texts as bytes, each slice of about ``limit`` bytes or a single row."""
     for batch in batches:
-        texts = binary(batch.column(column))
-        begin = size = 0
-        for i, text in enumerate(texts):
-            if i > begin and size + len(text) > limit:
-                yield batch.slice(begin, i - begin), texts[begin:i]
-                begin, size = i, 0
-            size += len(text)
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+        if not batch.num_rows:
+            continue
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            before = int(size[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(size, before + limit, side="right")))
+            part = batch.slice(begin, end - begin)
+            yield part, binary(part.column(column))
+            begin = end
+    trim()
+
+
+def trim() -> None:
+    """Give memory that a task has freed back to the system: Python workers live on, and so would their largest size."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class Words:

@@ -26,7 +26,7 @@ from .common import stored, text_batches
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a Python worker remembers, with and without punctuation; beyond that it starts to remember anew.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 350_000
 
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 

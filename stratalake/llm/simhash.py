@@ -24,7 +24,7 @@ WORDS = 4
 SEED = 42
 #: Different fingerprints of a bucket that one row may hold; larger buckets are linked over midpoints.
 BUCKET = 1024
-_BLOCK = 1 << 17
+_BLOCK = 1 << 14
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, grams, stored, text_batches
+from .common import Words, grams, stored, text_batches, trim
 
 WINDOW = 20
 #: Words of the n-grams that minimisers are taken from.
@@ -28,9 +28,9 @@ GRAM = 3
 RUN = 64
 #: A minimiser with more than this share of all super-k-mers is dealt by whole windows; at most 1 / SHARE are.
 SHARE = 2e-4
-#: Super-k-mers below this number in a batch cannot matter to the share: a batch holds some tens of thousands.
-_LOCAL = 4
-_CHUNK = 50_000
+#: Super-k-mers below this number in a batch cannot matter to the share: a batch holds some thousands.
+_LOCAL = 3
+_CHUNK = 16_000
 
 
 class Packing:
@@ -197,6 +197,7 @@ def _settled(batches, window: int, unpack):
         held, size = rows.to_batches(), rows.num_rows
     if held:
         yield from _chunk_spans(pa.Table.from_batches(held), window, unpack)
+    trim()
 
 
 def _chunk_spans(rows: pa.Table, window: int, unpack):
