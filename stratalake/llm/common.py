@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.sources.shared import new_folder
@@ -34,6 +35,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: it does so when the driver's JVM collects their plans."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def binary(column: pa.Array) -> list[bytes]:
     """The values of a text column as bytes; null counts as empty."""
     return [x if x is not None else b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -107,8 +107,8 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_embedding_dedup", r"""
     with recursive v as (select vec_id, label, cast(embedding as double[]) e from embeddings
-        where label is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-          and len(list_filter(embedding, x -> x <> 0)) > 0),
+        where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+          and len(list_filter(embedding, lambda x: x <> 0)) > 0),
     p as (select a.vec_id u, b.vec_id w from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
           where list_cosine_similarity(a.e, b.e) >= 0.98),
     r as (select vec_id u, vec_id c from embeddings union select p.w, r.c from r join p on p.u = r.u),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, grams, stored, text_batches, trim
+from .common import Words, grams, release_shuffles, stored, text_batches, trim
 
 WINDOW = 20
 #: Words of the n-grams that minimisers are taken from.
@@ -30,6 +30,8 @@ RUN = 64
 SHARE = 2e-4
 #: Super-k-mers below this number in a batch cannot matter to the share: a batch holds some thousands.
 _LOCAL = 3
+#: No bucket of fewer super-k-mers is dealt by windows.
+FLOOR = 1000
 _CHUNK = 16_000
 
 
@@ -106,7 +108,7 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     counted = source.select("text").mapInArrow(common, "least long, n long, rows long")
     counted = stored(counted.groupBy("least").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")), "minimisers")
     total = counted.agg(F.sum("rows")).first()[0] or 0
-    hot = np.array([r[0] for r in counted.where(F.col("n") > max(share * total, 1000)).select("least").collect()], np.int64)
+    hot = np.array([r[0] for r in counted.where(F.col("n") > max(share * total, FLOOR)).select("least").collect()], np.int64)
     hot = np.sort(hot.view(np.uint64))  # at most 1 / share numbers
 
     packing = Packing([r[0].encode() for r in source.select(F.substring("text", 1, 8000)).where("text is not null").limit(300).collect()])
@@ -242,6 +244,7 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int =
     if {"_spans", "_tag", "_id", "kept", "n_words", "n_removed"} & set(docs.columns):
         raise ValueError("_spans, _tag, _id, kept, n_words and n_removed are names of this operator")
     spans = stored(repeated_spans(docs, id, text, window, gram, share), "spans")
+    release_shuffles(docs.sparkSession)  # the super-k-mers take more disk than the texts, which are shuffled next
     spans = spans.groupBy(F.col(id).alias("_id"), F.col("tag").alias("_tag")).agg(
         F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("_spans"))  # no more than the text has words
     tagged = docs.withColumn("_hash", F.hash(text))

@@ -20,6 +20,8 @@ from .common import stored
 #: The most words that either model holds; words with the smallest counts are left out.
 VOCABULARY = 50_000
 LONGEST = 24
+#: Tokens that each class is given beforehand, spread like all tokens: a rare token then says little about either class.
+SMOOTHING = 10.0
 #: Words that mark a url to learn from.
 BLOCK_WORDS = (
     "adult", "ads", "bet", "bets", "betting", "casino", "cheap", "free", "gambling", "jackpot", "loan", "lottery", "malware", "pills",
@@ -133,7 +135,7 @@ def naive_bayes(tokenized: DataFrame, block_words=BLOCK_WORDS, most: int = VOCAB
     """Log-odds of "block" for each token, and those of a url without any.
 
     A url is an example of "block" if one of its tokens is a listed word, else of "allow". Counts are over all rows,
-    with one added for each token. If all examples are of one class, the odds of no tokens decide.
+    smoothed towards the shares of all tokens. If all examples are of one class, the odds of no tokens decide.
     """
     listed = F.array(*[F.lit(p + w) for w in block_words for p in ("", "/")])
     rows = tokenized.select("tokens", F.arrays_overlap("tokens", listed).cast("long").alias("bad"))
@@ -141,8 +143,13 @@ def naive_bayes(tokenized: DataFrame, block_words=BLOCK_WORDS, most: int = VOCAB
     n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("bad"), F.lit(0))).first()
     counts = rows.select(F.explode("tokens").alias("word"), "bad").groupBy("word").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     kept = _most_frequent(stored(counts, "tokens"), most).collect()
-    all_bad, all_good = sum(r["bad"] for r in kept) + len(kept), sum(r["n"] - r["bad"] for r in kept) + len(kept)
-    odds = {r["word"]: math.log((r["bad"] + 1) / all_bad) - math.log((r["n"] - r["bad"] + 1) / all_good) for r in kept}
+    all_bad = sum(r["bad"] for r in kept)
+    total = sum(r["n"] for r in kept)
+
+    def share(own: int, word: int, of: int) -> float:
+        return math.log((own + SMOOTHING * word / total) / (of + SMOOTHING))
+
+    odds = {r["word"]: share(r["bad"], r["n"], all_bad) - share(r["n"] - r["bad"], r["n"], total - all_bad) for r in kept}
     return odds if 0 < bad < n else {}, math.log(bad + 0.5) - math.log(n - bad + 0.5)
 
 

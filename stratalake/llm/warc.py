@@ -137,28 +137,27 @@ def read_segments(spark: SparkSession, folder: str) -> DataFrame:
     lines = spark.read.option("lineSep", _END.decode()).text(folder).select(F.col("value").cast("binary").alias("value"))
 
     def run(batches):
-        head, parts, missing, out = None, [], 0, []
+        head, parts, size, missing = None, [], 0, 1
         for batch in batches:
+            out = []
             for line in batch.column("value").to_pylist():
-                if head is None:
-                    if not line:
-                        continue
-                    head, parts, missing = _head(line), [], 0
-                    missing = int(head["content-length"])
-                    whole = False
-                    continue
-                if whole:  # the block's own empty line
-                    line = _END + line
-                parts.append(line)
-                missing, whole = missing - len(line), True
-                if missing < 0:
-                    raise ValueError("a block is longer than its Content-Length")
-                if not missing:
-                    out.append({k: head.get(v.lower()) for k, v in _FIELDS.items()} | {"block": b"".join(parts)})
-                    head = None
+                parts += [line, _END]  # the stream as it was, wherever the reader found its ends of lines
+                size += len(line) + len(_END)
+                while size >= missing:
+                    data = b"".join(parts)
+                    if head is None:  # between records: empty lines, then a head in one piece
+                        data = data.lstrip(b"\r\n")
+                        if data:
+                            first, _, data = data.partition(_END)
+                            head = _head(first)
+                            missing = max(int(head["content-length"]), 1)
+                    else:
+                        length = int(head["content-length"])
+                        out.append({k: head.get(v.lower()) for k, v in _FIELDS.items()} | {"block": data[:length]})
+                        head, data, missing = None, data[length:], 1
+                    parts, size = [data], len(data)
             if out:
                 yield _batch(out)
-                out = []
         if head is not None:
             raise ValueError("an archive ends within a record")
 
