@@ -7,11 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from stratalake.functions.draws import col, draw
+from stratalake.plans.fixed import ACCENTS, WIDE_ACCENTS  # noqa: F401
 
-#: Letters folded by default; letters outside the map pass through unchanged.
-ACCENTS = ("áéíóúâêôãõçÁÉÍÓÚÂÊÔÃÕÇ", "aeiouaeoaocAEIOUAEOAOC")
-#: The default map with the further letters of French, German and Spanish.
-WIDE_ACCENTS = (ACCENTS[0] + "àèìòùäëïöüîûñÀÈÌÒÙÄËÏÖÜÎÛÑ", ACCENTS[1] + "aeiouaeiouiunAEIOUAEIOUIUN")
 
 
 def digits(value: Column, width: int) -> Column:

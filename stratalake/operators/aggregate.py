@@ -40,9 +40,12 @@ def kpi_by_dimension(
     return attach(kpi(fact, [key], measures), dim, key, "inner", broadcast_bytes=broadcast_bytes)
 
 
-def share_of_total(df: DataFrame, columns: Sequence[str], value: str, digits: int = 8) -> DataFrame:
-    """Each row's value as a share of the whole sum and of the largest value, by scalar subqueries."""
-    exact = F.col(value).cast("decimal(18,2)")
+def share_of_total(df: DataFrame, columns: Sequence[str], value: str, digits: int = 8, scale: int | None = None) -> DataFrame:
+    """Each row's value as a share of the whole sum and of the largest value, by scalar subqueries.
+
+    ``scale``: add up as decimals with so many places, so the sum does not depend on its order; by default in the column's type.
+    """
+    exact = F.col(value) if scale is None else F.col(value).cast(f"decimal(38,{scale})")
     total = df.agg(F.sum(exact).cast("double")).scalar()
     largest = df.agg(F.max(value)).scalar()
     return df.select(

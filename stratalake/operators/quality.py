@@ -10,18 +10,19 @@ from stratalake.operators.joins import attach
 
 
 def silver_clean(df: DataFrame, foreign_key: str, status: str, cancelled: str) -> DataFrame:
-    """Rows that have their foreign key and are not cancelled."""
+    """Rows that have their foreign key and a status other than cancelled."""
     return df.where(F.col(foreign_key).isNotNull() & (F.col(status) != cancelled))
 
 
 def rejected_counts(df: DataFrame, foreign_key: str, status: str, cancelled: str) -> DataFrame:
-    """One row: all rows, rows without key, cancelled rows, kept rows."""
-    no_key, is_cancelled = F.col(foreign_key).isNull(), F.col(status) == cancelled
+    """One row: all rows, and those without key, without status, cancelled and kept; each row counts once, in this order."""
+    key, state = F.col(foreign_key), F.col(status)
     return df.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(no_key).alias("null_key"),
-        F.count_if(is_cancelled).alias("cancelled"),
-        F.count_if(~no_key & ~is_cancelled).alias("kept"),
+        F.count_if(key.isNull()).alias("null_key"),
+        F.count_if(key.isNotNull() & state.isNull()).alias("null_status"),
+        F.count_if(key.isNotNull() & (state == cancelled)).alias("cancelled"),
+        F.count_if(key.isNotNull() & (state != cancelled)).alias("kept"),
     )
 
 
@@ -90,11 +91,21 @@ def audit_distribution(df: DataFrame, column: str, declared: DataFrame, share: s
         F.round(observed - F.col("declared"), 6).alias("deviation"))
 
 
-def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
+def _told_apart(field: T.StructField) -> Column:
+    """Text that is equal for equal values of a column and differs for others."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v"))))
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))
+    return F.hex(c) if isinstance(field.dataType, T.BinaryType) else c.cast("string")
+
+
+def profile(df: DataFrame, *, exact: bool = False) -> DataFrame:
     """One row per column: type, non-NULL and NULL counts, distinct values, smallest and largest as text.
 
-    Exact distinct counts go through one (column, value) grouping rather than one distinct aggregate per
-    column; ``exact=False`` uses a sketch within the same pass as the other figures.
+    Distinct values are estimated by a sketch within the same pass as the other figures; ``exact=True`` counts them by one
+    (column, value) grouping, which shuffles every cell. Nested values are told apart by their JSON, 0.0 equals -0.0.
     """
     fields = df.schema.fields
     figures = []
@@ -120,7 +131,7 @@ def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
     if not exact:
         return rows
     values = df.select(F.inline(F.array(*[
-        F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").cast("string").alias("value")) for f in fields
+        F.struct(F.lit(f.name).alias("column"), _told_apart(f).alias("value")) for f in fields
     ]))).where(F.col("value").isNotNull())
     distinct = values.groupBy("column", "value").agg(F.lit(1).alias("one")).groupBy("column").agg(
         F.count(F.lit(1)).alias("distinct"))

@@ -35,6 +35,8 @@ def _as_double(df: DataFrame, key: str) -> Column | None:
         return F.col(key).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(key)).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(key)).cast("double")
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(F.col(key)).cast("double")
     return None
@@ -167,15 +169,15 @@ def pool_index(values: DataFrame, column: str, out: str = "idx", *, rows_per_buc
     return global_seq(distinct, column, out, start=0, rows_per_bucket=rows_per_bucket)
 
 
-def first_n(df: DataFrame, key: str, n: int, *, in_memory: int = 100_000) -> DataFrame:
-    """The first ``n`` rows along a unique key.
+def first_n(df: DataFrame, key: str, n: int, *, in_memory: int = 1_000_000) -> DataFrame:
+    """The first ``n`` rows along a unique key, in its order.
 
-    Up to ``in_memory`` rows this is a top-n per task and a merge. Beyond that the merge would be one large
-    task, so the rows are numbered in parallel and filtered.
+    A top-n per task and a merge of n rows from each task, where that is at most ``in_memory`` rows. Beyond that the merge
+    would be one large task, so the rows are numbered in parallel, filtered and sorted by ranges.
     """
-    if n <= in_memory:
+    if n * max(1, df.rdd.getNumPartitions()) <= in_memory:
         return df.orderBy(key).limit(n)
-    return global_seq(df, key, "__seq").where(F.col("__seq") <= n).drop("__seq")
+    return global_seq(df, key, "__seq").where(F.col("__seq") <= n).drop("__seq").orderBy(key)
 
 
 def top_k_per_group(

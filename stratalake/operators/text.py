@@ -1,12 +1,11 @@
 """Lexicon scores, rule tags and keyword classes over whole texts.
 
-Words are runs of the letters a-z in the lower-cased text. A literal lexicon is matched inside the row, so
+Words are runs of letters of any script in the lower-cased text. A literal lexicon is matched inside the row, so
 a text never leaves its task; a lexicon held in a DataFrame is joined with the words.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -14,15 +13,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from stratalake.functions.draws import col
 from stratalake.operators.joins import attach, broadcast_limit, measured_bytes
 
-_WORD = re.compile(r"[a-z]+")
+_BETWEEN = r"[^\p{L}]+"
 
 
 def found_words(text: Column | str, words: Sequence[str]) -> Column:
     """Every occurrence of the listed words as whole words, in order; empty for a NULL text."""
-    bad = [w for w in words if not _WORD.fullmatch(w)]
+    bad = [w for w in words if not w.isalpha() or w != w.lower()]
     if bad:
-        raise ValueError(f"words must be made of a-z: {bad}")
-    tokens = F.split(F.lower(col(text)), "[^a-z]+")
+        raise ValueError(f"words must be lower-case letters: {bad}")
+    tokens = F.split(F.lower(col(text)), _BETWEEN)
     return F.coalesce(F.filter(tokens, lambda word: word.isin(sorted(words))), F.array().cast("array<string>"))
 
 
@@ -55,7 +54,7 @@ def score_text(
     if not isinstance(lexicon, DataFrame):
         scored = df.select(key, lexicon_score(text, lexicon).alias("score"))
     else:
-        words = df.select(key, F.explode_outer(F.split(F.lower(F.col(text)), "[^a-z]+")).alias("word"))
+        words = df.select(key, F.explode_outer(F.split(F.lower(F.col(text)), _BETWEEN)).alias("word"))
         size = measured_bytes(lexicon)[0]
         if size > broadcast_limit(df, broadcast_bytes):
             words = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("times"))

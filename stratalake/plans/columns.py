@@ -52,9 +52,13 @@ def licence(key: Column | str) -> Column:
     return F.concat(F.lit("CRM/"), state, F.lit(" "), digits(number, 6))
 
 
-def patient_reference(key: Column | str) -> Column:
-    """A patient id, or NULL for one consultation in ten."""
-    return null_every(key, *V.NULL_PATIENT_DRAW, draw(key, *V.PATIENT_DRAW) + V.FIRST_PATIENT)
+def patient_reference(key: Column | str, n_patients: int = V.N_PATIENTS) -> Column:
+    """The id of one of ``n_patients`` patients, or NULL for one consultation in ten."""
+    return null_every(key, *V.NULL_PATIENT_DRAW, draw(key, V.PATIENT_MULTIPLIER, n_patients) + V.FIRST_PATIENT)
+
+
+def doctor_reference(key: Column | str, n_doctors: int = V.N_DOCTORS) -> Column:
+    return draw(key, V.DOCTOR_MULTIPLIER, n_doctors) + V.FIRST_DOCTOR
 
 
 def mode(key: Column | str) -> Column:

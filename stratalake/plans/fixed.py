@@ -40,13 +40,19 @@ PHONE = ("9{}-{}", [(233, 10000, 4), (317, 10000, 4)])
 AREA_CODES = ["11", "11", "11", "21", "21", "31", "41", "51", "61", "71", "81", "85", "62", "92"]
 AREA_CODE_MULTIPLIER = 41
 EMAIL_DOMAIN = "email.com.br"
+#: Letters folded in addresses; letters outside the map pass through unchanged
+ACCENTS = ("áéíóúâêôãõçÁÉÍÓÚÂÊÔÃÕÇ", "aeiouaeoaocAEIOUAEOAOC")
+#: The same with the further letters of French, German and Spanish
+WIDE_ACCENTS = (ACCENTS[0] + "àèìòùäëïöüîûñÀÈÌÒÙÄËÏÖÜÎÛÑ", ACCENTS[1] + "aeiouaeiouiunAEIOUAEIOUIUN")
 
 # --- consultations ------------------------------------------------------------------------------------
 NULL_PATIENT_DRAW = (7, 10)
-PATIENT_DRAW = (31, 1500)
+PATIENT_MULTIPLIER = 31
+N_PATIENTS = 1500
 FIRST_PATIENT = 101
 SITE_MULTIPLIER = 17
-DOCTOR_DRAW = (29, 100)
+DOCTOR_MULTIPLIER = 29
+N_DOCTORS = 100
 FIRST_DOCTOR = 5000
 DOCTOR_TITLE_DRAW = (29, 2)
 DOCTOR_TITLES = ["Dr. ", "Dra. "]
@@ -95,21 +101,21 @@ DELAY_BANDS = [("2h", "<", 2 * 60), ("24h", "<", 24 * 60), ("5d", "<", 5 * 24 *
 
 # --- table layouts ------------------------------------------------------------------------------------
 HOSPITALS_COLUMNS = [
-    "id_hospital int!", "nome_hospital string!", "especialidade string!", "cidade string!", "endereco string!",
+    "id_hospital bigint!", "nome_hospital string!", "especialidade string!", "cidade string!", "endereco string!",
     "bairro string!", "estado string!", "regiao string!", "qtd_leitos int!", "qtd_medicos int!",
     "horario_funcionamento string!", "descricao_servicos string!",
 ]
 PATIENTS_COLUMNS = [
-    "id_paciente int!", "nome_paciente string!", "data_nascimento date!", "idade int!", "sexo string!",
+    "id_paciente bigint!", "nome_paciente string!", "data_nascimento date!", "idade int!", "sexo string!",
     "estado_civil string!", "cpf string!", "cns string!", "rg string!", "email string!", "telefone string!",
     "convenio string!",
 ]
 CONSULTATIONS_COLUMNS = [
-    "id_consulta int!", "id_paciente int", "id_hospital int!", "id_medico int!", "nome_medico string!", "crm string!",
+    "id_consulta bigint!", "id_paciente bigint", "id_hospital bigint!", "id_medico bigint!", "nome_medico string!", "crm string!",
     "modalidade string!", "status string!", "tempo_espera_minutos int!", "cid_10 string",
     "diagnostico_descricao string", "procedimento_realizado string",
 ]
 REVIEWS_COLUMNS = [
-    "id_consulta int!", "id_paciente int", "texto_avaliacao string!", "data_avaliacao date!",
+    "id_consulta bigint!", "id_paciente bigint", "texto_avaliacao string!", "data_avaliacao date!",
     "canal_avaliacao string!", "avaliacao_anonima boolean!", "tempo_para_avaliar_min int!",
 ]

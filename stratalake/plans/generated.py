@@ -10,6 +10,7 @@ from stratalake.functions.draws import draw, null_every, pick
 from stratalake.functions.identifiers import WIDE_ACCENTS, digits, email_address, fold_ascii
 from stratalake.operators.generate import id_range
 from stratalake.plans import columns as C
+from stratalake.plans import fixed as V
 from stratalake.plans import sql_parts as S
 from stratalake.plans.health import FIRST_NAMES, LAST_NAMES
 from stratalake.plans.registry import Tables, query
@@ -79,7 +80,7 @@ def gen_identifiers(t: Tables):
         C.registry_id(key).alias("registry_id"), C.phone(key).alias("phone"), C.licence(key).alias("licence"))
 
 
-_FOLD = "translate({}, 'áéíóúâêôãõçÁÉÍÓÚÂÊÔÃÕÇ', 'aeiouaeoaocAEIOUAEOAOC')"
+_FOLD = "translate({}, '%s', '%s')" % V.ACCENTS
 _EMAIL = (f"lower({_FOLD.format(S.element(FIRST_NAMES, 'c_custkey', 31))} || '.' || "
           f"{_FOLD.format(S.element(LAST_NAMES, 'c_custkey', 17))} || CAST(c_custkey AS VARCHAR) || '@email.com.br')")
 
@@ -146,8 +147,7 @@ def gen_event_date(t: Tables):
       CAST(floor(o_totalprice / 365.25) AS INTEGER) AS f_floor, round(o_totalprice, 1) AS f_round,
       o_orderstatus || '/' || o_orderpriority AS f_concat, lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS f_lpad,
       lower(o_orderpriority) AS f_lower, {_FOLD.format('name')} AS f_translate,
-      translate(name || 'àèñü', 'áéíóúâêôãõçÁÉÍÓÚÂÊÔÃÕÇàèìòùäëïöüîûñÀÈÌÒÙÄËÏÖÜÎÛÑ',
-        'aeiouaeoaocAEIOUAEOAOCaeiouaeiouiunAEIOUAEIOUIUN') AS f_translate_wide,
+      translate(name || 'àèñü', '{V.WIDE_ACCENTS[0]}', '{V.WIDE_ACCENTS[1]}') AS f_translate_wide,
       DATE '1940-01-01' + CAST(o_orderkey % 27000 AS INTEGER) AS f_date_add,
       DATE '{AS_OF}' - CAST(o_orderkey % 90 AS INTEGER) AS f_date_sub,
       date_diff('day', CAST(o_orderdate AS DATE), DATE '{AS_OF}') AS f_datediff,

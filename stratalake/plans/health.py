@@ -1,6 +1,6 @@
 """The health demo: generated sources, the five pipelines, the five reports and the review analysis.
 
-Everything scales by its row counts. ``as_of`` stands in for today's date.
+Row counts, and the numbers of patients and doctors that visits refer to, are arguments; ids are BIGINT. ``as_of`` stands in for today's date.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from stratalake.plans import columns as C
 from stratalake.plans import fixed as V
 from stratalake.sources.contract import Contract, enforce
 from stratalake.sources.lake import Lake
-from stratalake.sources.landing import scan_landing, sink_landing
+from stratalake.sources.landing import scan_by_name, scan_landing, sink_landing
 
 HOSPITALS = Contract.of(*V.HOSPITALS_COLUMNS, comments={"id_hospital": "Primary key"})
 PATIENTS = Contract.of(*V.PATIENTS_COLUMNS, comments={"id_paciente": "Primary key", "cpf": "Personal data"})
@@ -135,7 +135,7 @@ def build_patients(keys: DataFrame, as_of: str) -> DataFrame:
     last = pick(sorted(LAST_NAMES), draw(key, V.LAST_NAME_MULTIPLIER, len(LAST_NAMES)))
     named = keys.select(key, first.alias("first"), last.alias("last"), C.birth_date(key, as_of).alias("data_nascimento"))
     return named.select(
-        key.cast("int").alias("id_paciente"),
+        key.cast("bigint").alias("id_paciente"),
         F.concat("first", F.lit(" "), "last").alias("nome_paciente"),
         "data_nascimento",
         age_years("data_nascimento", as_of).alias("idade"),
@@ -150,8 +150,11 @@ def build_patients(keys: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def build_consultations(keys: DataFrame, hospitals: DataFrame, weights: DataFrame, codes: DataFrame) -> DataFrame:
-    """Consultations for the keys in ``id_consulta``.
+def build_consultations(
+    keys: DataFrame, hospitals: DataFrame, weights: DataFrame, codes: DataFrame, *, n_patients: int = V.N_PATIENTS,
+    n_doctors: int = V.N_DOCTORS,
+) -> DataFrame:
+    """Consultations for the keys in ``id_consulta``, with references to ``n_patients`` patients and ``n_doctors`` doctors.
 
     ``weights`` has ``id_hospital, peso``; ``codes`` has ``especialidade, cid_10, diagnostico_descricao``.
     """
@@ -165,10 +168,10 @@ def build_consultations(keys: DataFrame, hospitals: DataFrame, weights: DataFram
         pick(DOCTOR_FIRST, draw(key, V.DOCTOR_FIRST_MULTIPLIER, len(DOCTOR_FIRST))), F.lit(" "),
         pick(DOCTOR_LAST, draw(key, V.DOCTOR_LAST_MULTIPLIER, len(DOCTOR_LAST))))
     return coded.select(
-        key.cast("int").alias("id_consulta"),
-        C.patient_reference(key).cast("int").alias("id_paciente"),
-        "id_hospital",
-        (draw(key, *V.DOCTOR_DRAW) + V.FIRST_DOCTOR).cast("int").alias("id_medico"),
+        key.cast("bigint").alias("id_consulta"),
+        C.patient_reference(key, n_patients).cast("bigint").alias("id_paciente"),
+        F.col("id_hospital").cast("bigint").alias("id_hospital"),
+        C.doctor_reference(key, n_doctors).cast("bigint").alias("id_medico"),
         name.alias("nome_medico"),
         C.licence(key).alias("crm"),
         C.mode(key).alias("modalidade"),
@@ -191,8 +194,8 @@ def build_reviews(consultations: DataFrame, n: int | None, as_of: str) -> DataFr
     written = conditional_lookup(classed, "classe", "seq", V.REVIEW_TEXT_MULTIPLIER, texts)
     key = F.col("id_consulta")
     return written.select(
-        key.cast("int").alias("id_consulta"),
-        F.col("id_paciente").cast("int").alias("id_paciente"),
+        key.cast("bigint").alias("id_consulta"),
+        F.col("id_paciente").cast("bigint").alias("id_paciente"),
         "texto_avaliacao",
         C.review_date(key, as_of).alias("data_avaliacao"),
         C.channel(key).alias("canal_avaliacao"),
@@ -202,7 +205,8 @@ def build_reviews(consultations: DataFrame, n: int | None, as_of: str) -> DataFr
 
 
 def setup(
-    lake: Lake, as_of: str, *, n_patients: int = 1500, n_consultations: int = 1000, n_reviews: int | None = 500
+    lake: Lake, as_of: str, *, n_patients: int = V.N_PATIENTS, n_doctors: int = V.N_DOCTORS,
+    n_consultations: int = 1000, n_reviews: int | None = 500,
 ) -> Lake:
     """Create the layers, the two base tables and the two landing directories; safe to repeat."""
     spark = lake.setup().spark
@@ -212,7 +216,8 @@ def setup(
                     comment="Patient register, holds personal data")
     codes = inline(spark, ["especialidade", "cid_10", "diagnostico_descricao"], diagnosis_pool())
     visits = id_range(spark, 1001, 1000 + n_consultations, "id_consulta")
-    sink_landing(build_consultations(visits, hospitals, site_weights(hospitals), codes), lake.landing("consultas"))
+    made = build_consultations(visits, hospitals, site_weights(hospitals), codes, n_patients=n_patients, n_doctors=n_doctors)
+    sink_landing(made, lake.landing("consultas"))
     landed = landed_consultations(lake)
     sink_landing(build_reviews(landed, n_reviews, as_of), lake.landing("avaliacoes"), order_by="id_consulta")
     return lake
@@ -231,7 +236,7 @@ def landed_reviews(lake: Lake) -> DataFrame:
 
 def _landed_text(lake: Lake, name: str, contract: Contract) -> DataFrame:
     """Landed fields as text, with whole lines kept where they do not fit."""
-    return scan_landing(lake.spark, lake.landing(name), contract.raw_schema("_linha"), corrupt="_linha")
+    return scan_by_name(lake.spark, lake.landing(name), contract, "_linha")
 
 
 def ingest_consultations(lake: Lake) -> tuple[DataFrame, DataFrame]:
@@ -269,16 +274,16 @@ def analyse_reviews(reviews: DataFrame) -> DataFrame:
 
 
 def review_consultations(lake: Lake) -> DataFrame:
-    """Pipeline 4: reviews with scores, joined with their consultation -> silver.consultas_avaliadas."""
+    """Pipeline 4: reviews with scores, joined with their clean consultation -> silver.consultas_avaliadas."""
     # The scored side stays on the left: the right side is measured, and measuring scores would score twice.
     scored = analyse_reviews(lake.table("bronze", "avaliacoes")).drop("id_paciente")
-    joined = attach(scored, landed_consultations(lake), "id_consulta")
+    joined = attach(scored, lake.table("silver", "consultas"), "id_consulta")
     return lake.promote(joined, "silver", "consultas_avaliadas")
 
 
 def clinic_kpis(lake: Lake) -> DataFrame:
-    """Pipeline 5: volume, mean wait and mean score per hospital -> gold.kpis_clinica."""
-    volume = agg.kpi(landed_consultations(lake), ["id_hospital"], {
+    """Pipeline 5: volume, mean wait and mean score of the clean visits per hospital -> gold.kpis_clinica."""
+    volume = agg.kpi(lake.table("silver", "consultas"), ["id_hospital"], {
         "total_consultas": F.count(F.lit(1)), "tempo_espera_medio": agg.mean("tempo_espera_minutos")})
     mood = agg.kpi(lake.table("silver", "consultas_avaliadas"), ["id_hospital"], {
         "total_avaliacoes": F.count(F.lit(1)), "sentimento_medio": agg.mean("pontos")})
@@ -386,13 +391,18 @@ def wait_and_sentiment(reviewed: DataFrame) -> DataFrame:
         reviewed, band("tempo_espera_minutos", V.WAIT_BANDS), "sentimento", ["positive", "negative", "neutral"])
 
 
-def masked_patients(patients: DataFrame, salt: str = "") -> DataFrame:
-    """The patient register with personal data masked and a pseudonym that still joins."""
+def masked_patients(patients: DataFrame, salt: str) -> DataFrame:
+    """The patient register without name, birth date and id; other personal data masked, and a pseudonym that still joins.
+
+    The salt must be a secret: without it the pseudonym of a small id is found by trying all of them.
+    """
+    if not salt:
+        raise ValueError("a salt is needed")
     masked = mask_columns(patients, {
         "cpf": lambda c: keep_last_digits(c, 2), "cns": lambda c: keep_last_digits(c, 3),
         "rg": lambda c: keep_last_digits(c, 1), "email": mask_email, "telefone": lambda c: keep_last_digits(c, 4),
     })
-    return masked.withColumn("pseudonimo", pseudonym("id_paciente", salt))
+    return masked.withColumn("pseudonimo", pseudonym("id_paciente", salt)).drop("id_paciente", "nome_paciente", "data_nascimento")
 
 
 def classified_services(hospitals: DataFrame) -> DataFrame:

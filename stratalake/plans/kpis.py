@@ -250,7 +250,7 @@ def rate_by_delay(t: Tables):
       round(s_acctbal / (SELECT CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) FROM supplier), 8) AS share_of_total,
       round(s_acctbal / (SELECT max(s_acctbal) FROM supplier), 8) AS share_of_max FROM supplier""")
 def share_of_total(t: Tables):
-    return agg.share_of_total(t.supplier, ["s_suppkey", "s_acctbal"], "s_acctbal")
+    return agg.share_of_total(t.supplier, ["s_suppkey", "s_acctbal"], "s_acctbal", scale=2)
 
 
 @query("dataset_counts", """

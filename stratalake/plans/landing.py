@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from stratalake.plans import sql_parts as S
 from stratalake.plans.registry import Tables, query
-from stratalake.sources.contract import Contract
+from stratalake.sources.contract import Contract, enforce
 from stratalake.sources.lake import Lake
-from stratalake.sources.landing import file_inventory, scan_landing, sink_landing
+from stratalake.sources.landing import file_inventory, scan_by_name, scan_landing, sink_landing
 from stratalake.sources.shared import new_folder
 from stratalake.streaming.ingest import IncrementalIngest
 
@@ -42,6 +42,23 @@ def csv_roundtrip(t: Tables):
         F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"))
 
 
+@query("csv_header_order", """
+    WITH e AS (SELECT *, event_id % 4 AS delivery FROM events)
+    SELECT event_type, count(*) FILTER (delivery < 3) AS n_good, CAST(sum(user_id) FILTER (delivery < 3) AS BIGINT) AS sum_users,
+      (SELECT count(*) FROM e WHERE delivery = 3) AS n_quarantined
+    FROM e GROUP BY event_type HAVING count(*) FILTER (delivery < 3) > 0""")
+def csv_header_order(t: Tables):
+    """Three deliveries with the contract's columns in different orders, and one that lacks a column."""
+    path = new_folder(t.spark, "headers")
+    orders = [["event_id", "user_id", "event_type", "value"], ["value", "event_type", "user_id", "event_id"],
+              ["event_type", "event_id", "value", "user_id"], ["event_id", "event_type", "value"]]
+    for k, columns in enumerate(orders):
+        sink_landing(t.events.where(F.col("event_id") % 4 == k).select(*columns), f"{path}/delivery={k}")
+    good, broken = enforce(scan_by_name(t.spark, path, EVENTS, "_line"), EVENTS, "_line")
+    counted = good.groupBy("event_type").agg(F.count("*").alias("n_good"), F.sum("user_id").alias("sum_users"))
+    return counted.withColumn("n_quarantined", broken.agg(F.count("*").alias("n")).scalar())
+
+
 @query("file_inventory", """
     SELECT o_orderstatus AS folder, count(*) AS n_rows, true AS has_bytes FROM orders GROUP BY 1""")
 def inventory(t: Tables):

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_schemas: dict = {}
-
 
 class Tables:
     """The tables of one folder, read when asked for: ``t.orders``, ``t.part``."""
@@ -18,11 +16,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        path = f"{self.folder}/{name}.parquet"
-        known = _schemas.get(path)
-        df = self.spark.read.schema(known).parquet(path) if known else self.spark.read.parquet(path)
-        _schemas[path] = df.schema  # spares the footer job on the next read of the same table
-        return df
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratalake.functions.draws import draw, pick
 from stratalake.operators.joins import attach
+from stratalake.operators.quality import orphan_audit
+from stratalake.plans import fixed as V
 from stratalake.plans import health as H
 from stratalake.plans import sql_parts as S
 from stratalake.plans.generated import _EMAIL
@@ -30,7 +32,7 @@ def hospitals(t: Tables) -> DataFrame:
 
 
 def patients(t: Tables) -> DataFrame:
-    return H.build_patients(t.customer.select((F.col("c_custkey") + 101).alias("id_paciente")), AS_OF)
+    return H.build_patients(t.customer.select((F.col("c_custkey") + V.FIRST_PATIENT).alias("id_paciente")), AS_OF)
 
 
 def consultations(t: Tables) -> DataFrame:
@@ -39,7 +41,7 @@ def consultations(t: Tables) -> DataFrame:
     kinds = t.supplier.select(F.col("s_suppkey").alias("id_hospital"), pick(_KINDS, draw("s_suppkey", 1, 6)).alias("especialidade"))
     codes = t.part.groupBy(F.col("p_type").alias("especialidade"), F.col("p_brand").alias("cid_10")).agg(
         F.min("p_name").alias("diagnostico_descricao"))
-    return H.build_consultations(keys, kinds, weights, codes)
+    return H.build_consultations(keys, kinds, weights, codes, n_patients=t.customer.count())
 
 
 def landed_consultations(t: Tables) -> DataFrame:
@@ -58,52 +60,47 @@ def view(t: Tables) -> DataFrame:
     return H.view_360(landed_consultations(t), people, hospitals(t))
 
 
+_SIZES = "CAST((SELECT count(*) FROM customer) AS BIGINT)"
+
 _VISITS_SQL = f"""
-    keys AS (SELECT o_orderkey + 1001 AS k FROM orders),
-    bounds AS (SELECT s_suppkey, {S.strings(_KINDS)}[s_suppkey % 6 + 1] AS kind,
-        sum(1 + s_suppkey % 7) OVER (ORDER BY s_suppkey) AS hi,
-        sum(1 + s_suppkey % 7) OVER (ORDER BY s_suppkey) - (1 + s_suppkey % 7) AS lo FROM supplier),
-    total AS (SELECT max(hi) AS total FROM bounds),
-    codes AS (SELECT p_type, p_brand, min(p_name) AS name FROM part GROUP BY 1, 2),
-    numbered AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_brand) - 1 AS idx,
-        count(*) OVER (PARTITION BY p_type) AS qtd FROM codes),
-    consultas AS (SELECT CAST(k AS INTEGER) AS id_consulta,
-      CASE WHEN (k * 7) % 10 = 0 THEN NULL ELSE CAST(101 + (k * 31) % 1500 AS INTEGER) END AS id_paciente,
-      CAST(b.s_suppkey AS INTEGER) AS id_hospital, CAST(5000 + (k * 29) % 100 AS INTEGER) AS id_medico,
-      CASE WHEN (k * 29) % 2 = 0 THEN 'Dr. ' ELSE 'Dra. ' END || {S.strings(H.DOCTOR_FIRST)}[CAST((k * 29) % 16 AS INTEGER) + 1]
-        || ' ' || {S.strings(H.DOCTOR_LAST)}[CAST((k * 47) % 10 AS INTEGER) + 1] AS nome_medico,
-      {S.licence('k')} AS crm, {S.mode('k')} AS modalidade, {S.status('k')} AS status,
-      CAST({S.wait('k')} AS INTEGER) AS tempo_espera_minutos,
-      CASE WHEN (k * 11) % 100 < 85 THEN c.p_brand END AS cid_10,
-      CASE WHEN (k * 11) % 100 < 85 THEN c.name END AS diagnostico_descricao,
-      {S.procedure('k')} AS procedimento_realizado
-    FROM keys CROSS JOIN total JOIN bounds b ON (k * 17) % total >= b.lo AND (k * 17) % total < b.hi
-      LEFT JOIN numbered c ON c.p_type = b.kind AND c.idx = (k * 67) % c.qtd)"""
-
-_POOL_SQL = "(VALUES " + ", ".join(f"('{k}', {i}, '{x}')" for k, i, x in H.review_pool()) + ") AS pool(kind, idx, txt)"
+    slots AS (SELECT list(site ORDER BY site) AS s FROM
+      (SELECT s_suppkey AS site, unnest(range(1 + s_suppkey % 7)) FROM supplier)),
+    offered AS (SELECT p_type, list(o ORDER BY o.brand) AS options FROM
+      (SELECT p_type, {{'brand': p_brand, 'name': min(p_name)}} AS o FROM part GROUP BY p_type, p_brand) GROUP BY p_type),
+    located AS (SELECT o_orderkey + 1001 AS k, s[((o_orderkey + 1001) * {V.SITE_MULTIPLIER}) % len(s) + 1] AS site FROM orders, slots),
+    described AS (SELECT k, site, {S.status('k')} AS status, options[(k * {V.CODE_MULTIPLIER}) % len(options) + 1] AS code
+      FROM located LEFT JOIN offered ON p_type = {S.strings(_KINDS)}[site % 6 + 1]),
+    consultas AS (SELECT k AS id_consulta,
+      if({S.drawn('k', V.NULL_PATIENT_DRAW)} = 0, NULL, {V.FIRST_PATIENT} + (k * {V.PATIENT_MULTIPLIER}) % {_SIZES}) AS id_paciente,
+      site AS id_hospital, {V.FIRST_DOCTOR} + (k * {V.DOCTOR_MULTIPLIER}) % {V.N_DOCTORS} AS id_medico,
+      concat({S.strings(V.DOCTOR_TITLES)}[{S.drawn('k', V.DOCTOR_TITLE_DRAW)} + 1],
+        {S.strings(H.DOCTOR_FIRST)}[{S.drawn('k', (V.DOCTOR_FIRST_MULTIPLIER, len(H.DOCTOR_FIRST)))} + 1], ' ',
+        {S.strings(H.DOCTOR_LAST)}[{S.drawn('k', (V.DOCTOR_LAST_MULTIPLIER, len(H.DOCTOR_LAST)))} + 1]) AS nome_medico,
+      {S.licence('k')} AS crm, {S.mode('k')} AS modalidade, status, CAST({S.wait('k')} AS INTEGER) AS tempo_espera_minutos,
+      if(status = '{V.FINISHED}', code.brand, NULL) AS cid_10, if(status = '{V.FINISHED}', code.name, NULL) AS diagnostico_descricao,
+      {S.procedure('k')} AS procedimento_realizado FROM described)"""
+
+_POOL = {k: [x for kind, _, x in H.review_pool() if kind == k] for k in ("pos", "neg", "neu")}
 
 _REVIEWS_SQL = f"""
-    finished AS (SELECT *, row_number() OVER (ORDER BY id_consulta) AS seq FROM consultas WHERE status = 'finalizada'),
-    classed AS (SELECT *, {S.review_class('tempo_espera_minutos', 'seq')} AS classe FROM finished),
-    avaliacoes AS (SELECT id_consulta, id_paciente, txt AS texto_avaliacao,
-      DATE '{AS_OF}' - CAST((id_consulta * 19) % 90 AS INTEGER) AS data_avaliacao,
-      CASE WHEN (id_consulta * 43) % 100 < 35 THEN 'App' WHEN (id_consulta * 43) % 100 < 65 THEN 'WhatsApp'
-        WHEN (id_consulta * 43) % 100 < 80 THEN 'SMS' WHEN (id_consulta * 43) % 100 < 92 THEN 'Site'
-        ELSE 'Quiosque' END AS canal_avaliacao,
-      (id_consulta * 71) % 100 < 15 AS avaliacao_anonima,
-      CAST({S.delay('id_consulta')} AS INTEGER) AS tempo_para_avaliar_min
-    FROM classed LEFT JOIN {_POOL_SQL} ON pool.kind = classed.classe
-      AND pool.idx = (seq * 13) % CASE WHEN classed.classe = 'neu' THEN 15 ELSE 25 END)"""
+    ordered AS (SELECT list(c ORDER BY c.id_consulta) AS rows FROM
+      (SELECT c FROM consultas AS c WHERE c.status = '{V.FINISHED}')),
+    placed AS (SELECT unnest(rows) AS c, generate_subscripts(rows, 1) AS seq FROM ordered),
+    written AS (SELECT c, seq, [{', '.join(S.strings(v) for v in _POOL.values())}][
+      list_position({S.strings(_POOL)}, {S.review_class('c.tempo_espera_minutos', 'seq')})] AS texts FROM placed),
+    avaliacoes AS (SELECT c.id_consulta AS id_consulta, c.id_paciente AS id_paciente,
+      texts[(seq * {V.REVIEW_TEXT_MULTIPLIER}) % len(texts) + 1] AS texto_avaliacao,
+      DATE '{AS_OF}' - {S.drawn('c.id_consulta', V.REVIEW_DATE_DRAW)} AS data_avaliacao, {S.channel('c.id_consulta')} AS canal_avaliacao,
+      {S.drawn('c.id_consulta', V.ANONYMOUS_DRAW)} < {V.ANONYMOUS_BELOW} AS avaliacao_anonima,
+      CAST({S.delay('c.id_consulta')} AS INTEGER) AS tempo_para_avaliar_min FROM written)"""
 
 _PEOPLE_SQL = f"""
-    pacientes AS (SELECT *, {S.age_band('idade')} AS faixa_etaria FROM (SELECT CAST(k AS INTEGER) AS id_paciente,
-      {S.element(H.FIRST_NAMES, 'k', 31)} || ' ' || {S.element(H.LAST_NAMES, 'k', 17)} AS nome_paciente,
-      {S.birth('k')} AS data_nascimento, {S.age('k')} AS idade, {S.sex('k')} AS sexo,
-      CASE WHEN (k * 19) % 100 < 35 THEN 'Solteiro(a)' WHEN (k * 19) % 100 < 85 THEN 'Casado(a)'
-        WHEN (k * 19) % 100 < 95 THEN 'Divorciado(a)' ELSE 'Viúvo(a)' END AS estado_civil,
+    pacientes AS (SELECT *, {S.age_band('idade')} AS faixa_etaria FROM (SELECT k AS id_paciente,
+      {S.element(H.FIRST_NAMES, 'k', V.FIRST_NAME_MULTIPLIER)} || ' ' || {S.element(H.LAST_NAMES, 'k', V.LAST_NAME_MULTIPLIER)} AS nome_paciente,
+      {S.birth('k')} AS data_nascimento, {S.age('k')} AS idade, {S.sex('k')} AS sexo, {S.marital('k')} AS estado_civil,
       {S.tax_id('k')} AS cpf, {S.health_card('k')} AS cns, {S.registry_id('k')} AS rg,
       {_EMAIL.replace('c_custkey', 'k')} AS email, {S.phone('k')} AS telefone, {S.plan('k')} AS convenio
-    FROM (SELECT c_custkey + 101 AS k FROM customer)))"""
+    FROM (SELECT c_custkey + {V.FIRST_PATIENT} AS k FROM customer)))"""
 
 _VIEW_SQL = f"""WITH {_VISITS_SQL}, {_PEOPLE_SQL},
     visao AS (SELECT c.*, s.s_name AS nome_hospital, {S.strings(_KINDS)}[s.s_suppkey % 6 + 1] AS especialidade,
@@ -118,7 +115,7 @@ def build_dim_sample(t: Tables):
 
 
 @query("build_fact_sample", f"""
-    WITH {_VISITS_SQL} SELECT * REPLACE (CAST(id_hospital AS BIGINT) AS id_hospital) FROM consultas""")
+    WITH {_VISITS_SQL} SELECT * FROM consultas""")
 def build_fact_sample(t: Tables):
     return consultations(t)
 
@@ -128,6 +125,19 @@ def build_review_sample(t: Tables):
     return H.build_reviews(landed_consultations(t), None, AS_OF)
 
 
+@query("visit_references", f"""
+    WITH {_VISITS_SQL}, {_PEOPLE_SQL}
+    SELECT count(*) AS n_rows, count(*) FILTER (c.id_paciente IS NULL) AS null_rows,
+      count(*) FILTER (c.id_paciente IS NOT NULL AND p.id_paciente IS NULL) AS orphan_rows, count(DISTINCT p.id_paciente) AS n_reached
+    FROM consultas c LEFT JOIN pacientes p USING (id_paciente)""")
+def visit_references(t: Tables):
+    """Visits refer to the customers that there are: none to others."""
+    visits, people = consultations(t), patients(t).select("id_paciente")
+    audit = orphan_audit(visits, "id_paciente", people, "id_paciente").drop("orphan_keys")
+    reached = visits.select("id_paciente").distinct().join(people, "id_paciente", "left_semi").agg(F.count("*").alias("n_reached"))
+    return audit.withColumn("n_reached", reached.scalar())
+
+
 @query("report_by_hospital", f"""{_VIEW_SQL}
     SELECT id_hospital, nome_hospital, cidade, especialidade, count(id_consulta) AS total_consultas,
       round(avg(tempo_espera_minutos), 4) AS tempo_espera_medio,
@@ -185,7 +195,7 @@ def report_top_codes(t: Tables):
 
 
 _SCORE_SQL = "(" + " + ".join(
-    f"{points} * len(list_filter(string_split_regex(lower(texto_avaliacao), '[^a-z]+'), lambda w: w = '{word}'))"
+    f"{points} * len(list_filter(string_split_regex(lower(texto_avaliacao), '[^\\p{{L}}]+'), lambda w: w = '{word}'))"
     for word, points in H.LEXICON.items()) + ")"
 
 

@@ -1,16 +1,42 @@
-"""SQL fragments shared by the oracles, written from the definitions and independent of the Spark code."""
+"""SQL fragments shared by the oracles: the fixed values laid out as lists of slots that a draw indexes.
+
+The Spark code tests a draw against cumulative shares; here each value fills as many slots as its share, so the two agree
+only if both follow the definition.
+"""
+
+from __future__ import annotations
+
+from stratalake.plans import fixed as V
 
 AS_OF = "2024-02-01"
 
 
+def drawn(k: str, draw: tuple[int, int]) -> str:
+    return f"CAST(({k} * {draw[0]}) % {draw[1]} AS INTEGER)"
+
+
+def slots(k: str, draw: tuple[int, int], parts: list[tuple[str, int]]) -> str:
+    """The SQL value whose slots hold the draw; ``parts``: (SQL value, number of slots)."""
+    whole = " || ".join(f"repeat([{value}], {n})" for value, n in parts)
+    return f"({whole})[{drawn(k, draw)} + 1]"
+
+
+def labels(k: str, draw: tuple[int, int], shares: list[tuple[str, int]]) -> str:
+    return slots(k, draw, [(f"'{name}'", n) for name, n in shares])
+
+
+def _tiers(k: str, bucket: tuple[int, int], multiplier: int, tiers: list[tuple[int, int, int]]) -> str:
+    """A tier's slots hold its offset and width; the second draw falls within that width."""
+    starts = [0, *(t[0] for t in tiers)]
+    parts = [(f"[{offset}, {width}]", upto - start) for start, (upto, offset, width) in zip(starts, tiers)]
+    tier = slots(k, bucket, parts)
+    return f"({tier}[1] + ({k} * {multiplier}) % {tier}[2])"
+
+
 def birth(k: str) -> str:
-    return f"""CASE WHEN {k} <= 600 THEN DATE '1940-01-01' + CAST(({k} * 73) % 27000 AS INTEGER)
-      ELSE DATE '{AS_OF}' - CAST(CASE
-        WHEN ({k} * 73) % 100 < 20 THEN ({k} * 41) % 6205 + 365
-        WHEN ({k} * 73) % 100 < 70 THEN ({k} * 41) % 6205 + 6570
-        WHEN ({k} * 73) % 100 < 85 THEN ({k} * 41) % 5475 + 12775
-        WHEN ({k} * 73) % 100 < 95 THEN ({k} * 41) % 5475 + 18250
-        ELSE ({k} * 41) % 7300 + 23725 END AS INTEGER) END"""
+    days = _tiers(k, V.SKEWED_BIRTH_BUCKET, V.SKEWED_BIRTH_MULTIPLIER, V.SKEWED_BIRTH_TIERS)
+    return (f"if({k} > {V.UNIFORM_BIRTH_LAST_ID}, DATE '{AS_OF}' - CAST({days} AS INTEGER), "
+            f"DATE '{V.UNIFORM_BIRTH_START}' + {drawn(k, V.UNIFORM_BIRTH_DRAW)})")
 
 
 def age(k: str) -> str:
@@ -18,87 +44,82 @@ def age(k: str) -> str:
 
 
 def age_band(a: str) -> str:
-    return (f"CASE WHEN {a} IS NULL THEN NULL WHEN {a} < 18 THEN '0-17' WHEN {a} < 35 THEN '18-34' "
-            f"WHEN {a} < 50 THEN '35-49' WHEN {a} < 65 THEN '50-64' ELSE '65+' END")
+    """The label at the number of lower limits that the age has reached."""
+    reached = " + ".join(f"CAST({a} >= {limit} AS INTEGER)" for limit in (18, 35, 50, 65))
+    return f"['0-17', '18-34', '35-49', '50-64', '65+'][1 + {reached}]"
 
 
 def sex(k: str) -> str:
-    return f"CASE WHEN ({k} * 11) % 2 = 0 THEN 'M' ELSE 'F' END"
+    return f"{strings(V.SEXES)}[{drawn(k, V.SEX_DRAW)} + 1]"
 
 
 def status(k: str) -> str:
-    return (f"CASE WHEN ({k} * 11) % 100 < 85 THEN 'finalizada' WHEN ({k} * 11) % 100 < 95 THEN 'cancelada' "
-            f"ELSE 'em_andamento' END")
+    return labels(k, V.STATUS_DRAW, V.STATUS_SHARES)
 
 
 def mode(k: str) -> str:
-    return (f"CASE WHEN ({k} * 53) % 100 < 60 THEN 'presencial' WHEN ({k} * 53) % 100 < 90 THEN 'retorno' "
-            f"ELSE 'telemedicina' END")
+    return labels(k, V.MODE_DRAW, V.MODE_SHARES)
 
 
 def plan(k: str) -> str:
-    return (f"CASE WHEN ({k} * 13) % 100 < 60 THEN 'SUS' WHEN ({k} * 13) % 100 < 75 THEN 'Unimed' "
-            f"WHEN ({k} * 13) % 100 < 87 THEN 'Bradesco Saúde' "
-            f"WHEN ({k} * 13) % 100 < 95 THEN 'Hapvida NotreDame Intermédica' ELSE 'Amil' END")
+    return labels(k, V.PLAN_DRAW, V.PLAN_SHARES)
+
+
+def marital(k: str) -> str:
+    return labels(k, V.MARITAL_DRAW, V.MARITAL_SHARES)
+
+
+def channel(k: str) -> str:
+    return labels(k, V.CHANNEL_DRAW, V.CHANNEL_SHARES)
 
 
 def wait(k: str) -> str:
-    return (f"CASE WHEN ({k} * 11) % 100 >= 85 AND ({k} * 11) % 100 < 95 THEN 0 "
-            f"ELSE ({k} * 23) % 90 + ({k} * 19) % 30 END")
+    parts = " + ".join(f"({k} * {m}) % {n}" for m, n in V.WAIT_DRAWS)
+    return f"({parts}) * CAST({status(k)} <> '{V.CANCELLED}' AS INTEGER)"
 
 
 def procedure(k: str) -> str:
-    return f"""CASE WHEN ({k} * 11) % 100 >= 85 AND ({k} * 11) % 100 < 95 THEN NULL
-      WHEN ({k} * 53) % 100 >= 60 AND ({k} * 53) % 100 < 90 THEN 'Consulta de retorno'
-      WHEN ({k} * 53) % 100 >= 90 THEN 'Consulta por telemedicina'
-      WHEN ({k} * 83) % 10 < 6 THEN 'Consulta de rotina'
-      WHEN ({k} * 83) % 10 < 8 THEN 'Exame complementar solicitado'
-      ELSE 'Procedimento ambulatorial realizado' END"""
+    by_mode = f"{strings([V.PROCEDURE_RETURN, V.PROCEDURE_TELE])}[list_position(['retorno', 'telemedicina'], {mode(k)})]"
+    return f"if({status(k)} <> '{V.CANCELLED}', coalesce({by_mode}, {labels(k, V.PROCEDURE_DRAW, V.PROCEDURE_SHARES)}), NULL)"
 
 
 def delay(k: str) -> str:
-    return f"""CASE WHEN ({k} * 89) % 100 < 20 THEN ({k} * 31) % 120 + 5
-      WHEN ({k} * 89) % 100 < 60 THEN ({k} * 31) % 1320 + 120
-      WHEN ({k} * 89) % 100 < 90 THEN ({k} * 31) % 5760 + 1440
-      ELSE ({k} * 31) % 2880 + 7200 END"""
+    return _tiers(k, V.DELAY_BUCKET, V.DELAY_MULTIPLIER, [(upto, offset, width) for upto, width, offset in V.DELAY_TIERS])
 
 
 def review_class(w: str, seq: str) -> str:
-    def pick(a: int, b: int) -> str:
-        return (f"CASE WHEN ({seq} * 7) % 100 < {a} THEN 'pos' WHEN ({seq} * 7) % 100 < {b} THEN 'neg' ELSE 'neu' END")
-
-    return f"CASE WHEN {w} < 20 THEN {pick(75, 85)} WHEN {w} <= 30 THEN {pick(55, 80)} ELSE {pick(15, 85)} END"
+    """One slot list for each waiting band, taken by the number of limits passed."""
+    lists = ", ".join(labels(seq, V.CLASS_DRAW, shares) for _, _, shares in V.CLASS_BY_WAIT)
+    (_, first, _), (_, second, _), _ = V.CLASS_BY_WAIT
+    return f"[{lists}][1 + CAST({w} >= {first} AS INTEGER) + CAST({w} > {second} AS INTEGER)]"
 
 
-def digits(k: str, multiplier: int, modulus: int, width: int) -> str:
-    return f"lpad(CAST(({k} * {multiplier}) % {modulus} AS VARCHAR), {width}, '0')"
+def _filled(k: str, template: str, groups: list[tuple[int, int, int]]) -> str:
+    for _, _, width in groups:
+        template = template.replace("{}", "{:0%dd}" % width, 1)
+    return f"format('{template}', {', '.join(f'({k} * {m}) % {n}' for m, n, _ in groups)})"
 
 
 def tax_id(k: str) -> str:
-    return (f"{digits(k, 137, 1000, 3)} || '.' || {digits(k, 211, 1000, 3)} || '.' || {digits(k, 313, 1000, 3)} "
-            f"|| '-' || {digits(k, 53, 100, 2)}")
+    return _filled(k, *V.TAX_ID)
 
 
 def health_card(k: str) -> str:
-    return (f"'700 ' || {digits(k, 167, 10000, 4)} || ' ' || {digits(k, 251, 10000, 4)} || ' ' "
-            f"|| {digits(k, 379, 1000, 3)}")
+    return _filled(k, *V.HEALTH_CARD)
 
 
 def registry_id(k: str) -> str:
-    return (f"{digits(k, 89, 100, 2)} || '.' || {digits(k, 127, 1000, 3)} || '.' || {digits(k, 181, 1000, 3)} "
-            f"|| '-' || CAST(({k} * 7) % 10 AS VARCHAR)")
+    return _filled(k, *V.REGISTRY_ID)
 
 
 def phone(k: str) -> str:
-    areas = "['11','11','11','21','21','31','41','51','61','71','81','85','62','92']"
-    return (f"'(' || {areas}[CAST(({k} * 41) % 14 AS INTEGER) + 1] || ') 9' || {digits(k, 233, 10000, 4)} "
-            f"|| '-' || {digits(k, 317, 10000, 4)}")
+    area = f"{strings(V.AREA_CODES)}[{drawn(k, (V.AREA_CODE_MULTIPLIER, len(V.AREA_CODES)))} + 1]"
+    return f"('(' || {area} || ') ' || {_filled(k, *V.PHONE)})"
 
 
 def licence(k: str) -> str:
-    states = "['SP','RJ','MG','RS','PR','BA','PE','CE','DF','SC']"
-    return (f"'CRM/' || {states}[CAST(({k} * 29) % 10 AS INTEGER) + 1] || ' ' "
-            f"|| lpad(CAST(100000 + ({k} * 379) % 800000 AS VARCHAR), 6, '0')")
+    state = f"{strings(V.LICENCE_STATES)}[{drawn(k, (V.LICENCE_STATE_MULTIPLIER, len(V.LICENCE_STATES)))} + 1]"
+    return f"format('CRM/{{}} {{:06d}}', {state}, {V.LICENCE_NUMBER_START} + {drawn(k, V.LICENCE_NUMBER_DRAW)})"
 
 
 def strings(values) -> str:
@@ -120,7 +141,7 @@ def word_scores(lexicon: dict[str, int]) -> str:
 def document_scores(lexicon: dict[str, int]) -> str:
     """A query of doc_id and lexicon score for every document."""
     return f"""SELECT d.doc_id, CAST(coalesce(sum(lex.s), 0) AS BIGINT) AS score
-      FROM (SELECT doc_id, unnest(list_append(string_split_regex(lower(text), '[^a-z]+'), '')) AS w FROM documents) d
+      FROM (SELECT doc_id, unnest(list_append(string_split_regex(lower(text), '[^\\p{{L}}]+'), '')) AS w FROM documents) d
       LEFT JOIN {word_scores(lexicon)} ON lex.w = d.w GROUP BY d.doc_id"""
 
 

@@ -16,9 +16,9 @@ from stratalake.plans.registry import Tables, query
 
 #: Scores of frequent words of the test documents, over their four languages.
 LEXICON = {"with": 1, "for": 1, "this": 2, "pour": 1, "mit": 1, "los": 2, "from": -1, "was": -1, "dans": -2,
-           "sich": -1, "las": -1, "that": -1}
+           "sich": -1, "las": -1, "that": -1, "für": 2, "être": -1, "está": 1}
 CATEGORIES = {"article": ["the", "der", "la", "le", "el"], "link": ["and", "und", "et", "y"],
-              "place": ["in", "en", "dans", "auf", "von"], "verb": ["is", "was", "ist", "est", "es"]}
+              "place": ["in", "en", "dans", "auf", "von"], "verb": ["is", "was", "ist", "est", "es", "está", "être"]}
 RULES = {"contact": r"[A-Za-z0-9]@[A-Za-z0-9]", "license": r"(?i)licen[sc]e", "secret": r"(?i)(token|key|secret|password) *[=:]",
          "shouting": r"[A-Z]{6,}", "table": r" \| "}
 
@@ -46,7 +46,7 @@ _KEYWORDS = "(VALUES " + ", ".join(f"('{w}', '{c}')" for c, ws in CATEGORIES.ite
 
 
 @query("classify_text", f"""
-    WITH words AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM documents),
+    WITH words AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{{L}}]+')) AS w FROM documents),
     hits AS (SELECT doc_id, category, count(*) AS n FROM words JOIN {_KEYWORDS} USING (w) GROUP BY 1, 2),
     best AS (SELECT doc_id, category, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, category) AS r FROM hits)
     SELECT d.doc_id, coalesce(b.category, 'other') AS category FROM documents d

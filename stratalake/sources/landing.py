@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stratalake.sources.contract import Contract
+
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
@@ -30,16 +34,44 @@ def scan_landing(
 ) -> DataFrame:
     """Rows of all part files under an explicit schema; types are never guessed.
 
+    A file whose header names other columns, or the same in another order, stops the read: ``scan_by_name`` takes those.
+
     ``corrupt`` names a text column of the schema for lines that do not fit. An empty field reads as NULL,
     so an empty string does not survive. ``multiline`` is needed for line breaks inside fields and makes a
     file one task, so it stays off unless asked for.
     """
     reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", mode).option("multiLine", multiline)
+    reader = reader.option("enforceSchema", "false")
     if corrupt:
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
     return reader.csv(path)
 
 
+def scan_by_name(spark: SparkSession, path: str, contract: Contract, corrupt: str) -> DataFrame:
+    """The contract's columns as text, found by the names in each file's header, and ``corrupt`` for lines that do not fit.
+
+    Files are read in groups of equal headers. Lines of files whose header lacks a column of the contract, has another
+    one or names one twice are returned whole in ``corrupt``, so they end in quarantine. The headers come from one pass over
+    the lines; the files' paths come to the driver, which lists them anyway.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"))  # lines of a block are read in order by one task
+    heads = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    names, out = contract.names, None
+    for header, files in heads.groupBy("header").agg(F.sort_array(F.collect_list("file"))).orderBy("header").collect():
+        columns = next(csv.reader([header.lstrip("\ufeff")]), [])
+        if sorted(columns) == sorted(names):
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, corrupt]])
+            rows = spark.read.schema(schema).options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", corrupt).csv(files)
+        else:
+            rows = spark.read.text(files).where(F.col("value") != header).withColumnRenamed("value", corrupt)
+            rows = rows.withColumns({c: F.lit(None).cast("string") for c in names})
+        rows = rows.select(*names, corrupt)
+        out = rows if out is None else out.unionByName(rows)
+    return out if out is not None else spark.createDataFrame([], contract.raw_schema(corrupt))
+
+
 def file_inventory(df: DataFrame) -> DataFrame:
     """One row per file behind a scanned frame: path, bytes, rows."""
     return (

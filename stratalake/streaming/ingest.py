@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.sources.contract import REASONS, Contract, judged
@@ -31,6 +32,7 @@ class IncrementalIngest:
             self.spark.readStream.schema(self.contract.raw_schema(_CORRUPT))
             .options(**CSV_OPTIONS)
             .option("columnNameOfCorruptRecord", _CORRUPT)
+            .option("enforceSchema", "false")  # a file with other columns, or in another order, stops the run
             .option("maxFilesPerTrigger", self.files_per_batch)
             .csv(self.landing)
         )
@@ -53,8 +55,13 @@ class IncrementalIngest:
     def _read(self, verdict: str) -> DataFrame:
         columns = ", ".join(f"`{f.name}` {f.type}" for f in self.contract.fields)
         schema = f"{columns}, _raw string, {REASONS} array<string>, batch_id bigint, verdict string"
-        return self.spark.read.schema(schema).option("basePath", self.target).parquet(self.target).where(
-            F.col("verdict") == verdict)
+        try:
+            stored = self.spark.read.schema(schema).option("basePath", self.target).parquet(self.target)
+        except AnalysisException as e:  # no run has met a file yet
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            stored = self.spark.createDataFrame([], schema)
+        return stored.where(F.col("verdict") == verdict)
 
     def good(self) -> DataFrame:
         return self._read("good").select(*self.contract.names, "batch_id")

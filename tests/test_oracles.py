@@ -7,6 +7,7 @@ from conftest import plan_of
 from oracle import compare, duck
 
 import __spark_entry__ as registered
+from stratalake.plans.registry import ORACLES, QUERIES
 
 FOLDER = f"/root/testdata/sf{os.environ.get('TEST_SF', '0.001')}"
 
@@ -17,16 +18,16 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = registered.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     plan = plan_of(df)
     for operator in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
         assert operator not in plan
-    assert compare(df, con, registered.oracle_sql()[name]) is None
+    assert compare(df, con, ORACLES[name]) is None
 
 
 def test_entry(spark):

@@ -19,8 +19,8 @@ def visits(spark):
 
 def test_silver_clean(visits):
     assert sorted(r.id for r in Q.silver_clean(visits, "fk", "status", "P").collect()) == [1, 4]
-    # A NULL status is neither kept as "not cancelled" nor counted as cancelled.
-    assert tuple(Q.rejected_counts(visits, "fk", "status", "P").first()) == (6, 1, 2, 2)
+    # Total, NULL key, NULL status, cancelled, kept: each row counts once.
+    assert tuple(Q.rejected_counts(visits, "fk", "status", "P").first()) == (6, 1, 1, 2, 2)
 
 
 def test_status_audit(visits):
@@ -59,17 +59,17 @@ def test_distribution_keeps_both_sides(spark):
 
 def test_profile_exact_and_sketched(spark):
     df = spark.createDataFrame([(1, "x"), (2, None), (2, "x")], "n int, s string")
-    exact = {r["column"]: r.asDict() for r in Q.profile(df).collect()}
+    exact = {r["column"]: r.asDict() for r in Q.profile(df, exact=True).collect()}
     assert exact["s"] == {"column": "s", "dtype": "string", "non_null": 2, "nulls": 1, "distinct": 1, "min": "x", "max": "x"}
-    sketched = {r["column"]: r.asDict() for r in Q.profile(df, exact=False).collect()}
+    sketched = {r["column"]: r.asDict() for r in Q.profile(df).collect()}
     assert sketched == exact
-    none = {r["column"]: r["distinct"] for r in Q.profile(df.where("false")).collect()}
+    none = {r["column"]: r["distinct"] for r in Q.profile(df.where("false"), exact=True).collect()}
     assert none == {"n": 0, "s": 0}
 
 
 def test_profile_of_nested_columns(spark):
     df = spark.createDataFrame([({"a": 1}, [2]), ({"a": 2}, [1])], "m map<string,int>, v array<int>")
-    got = {r["column"]: (r["distinct"], r["min"]) for r in Q.profile(df).collect()}
+    got = {r["column"]: (r["distinct"], r["min"]) for r in Q.profile(df, exact=True).collect()}
     assert got == {"m": (2, None), "v": (2, "[1]")}
 
 
@@ -107,3 +107,15 @@ def test_generators(spark):
     assert load_static(spark, [(1, None)], schema).schema == schema
     with pytest.raises(Exception):
         load_static(spark, [(None, "x")], schema)
+
+
+def test_distinct_values_of_nested_columns_and_zeros(spark):
+    df = spark.createDataFrame([(["a, b"], 0.0), (["a", "b"], -0.0), (None, None)], "a array<string>, x double")
+    assert {r["column"]: r["distinct"] for r in Q.profile(df, exact=True).collect()} == {"a": 2, "x": 1}
+
+
+def test_shares_of_small_values(spark):
+    from stratalake.operators.aggregate import share_of_total
+
+    df = spark.createDataFrame([(k, 0.004) for k in range(4)], "k int, v double")
+    assert {r.share_of_total for r in share_of_total(df, ["k"], "v").collect()} == {0.25}

@@ -86,3 +86,19 @@ def test_top_k_limits_before_the_shuffle(skewed):
     for r in counted.collect():
         naive.setdefault(r.g, []).append((-r.n, r.w))
     assert {(r.g, r.w) for r in top.collect()} == {(g, w) for g, v in naive.items() for _, w in sorted(v)[:2]}
+
+
+def test_first_n_is_ordered_either_way(spark):
+    from stratalake.operators.sequence import first_n
+
+    df = spark.range(1000).select((1000 - F.col("id")).alias("k")).repartition(7)
+    for limit in (10**9, 0):
+        assert [r.k for r in first_n(df, "k", 20, in_memory=limit).collect()] == list(range(1, 21))
+
+
+def test_many_buckets_for_timestamps_without_zone(spark):
+    from stratalake.operators import sequence as S
+
+    df = spark.range(500).select(F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)").alias("ts"), "id")
+    got = S.global_seq(df, "ts", "seq", rows_per_bucket=5)
+    assert {r.id: r.seq for r in got.collect()} == {k: k + 1 for k in range(500)}

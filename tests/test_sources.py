@@ -181,3 +181,37 @@ def test_lines_with_other_fields_are_quarantined(spark, folder):
     raw = scan_landing(spark, f"{folder}/landing", EVENTS.raw_schema("_line"), corrupt="_line")
     good, bad = enforce(raw, EVENTS, "_line")
     assert good.count() == 2 and bad.count() == 3 and bad.where("_line = '3,1.5,more'").count() == 1
+
+
+def test_headers_decide_the_columns(spark):
+    import os
+
+    from stratalake.sources.contract import Contract, enforce
+    from stratalake.sources.landing import scan_by_name, scan_landing
+    from stratalake.sources.shared import new_folder
+
+    contract = Contract.of("id bigint!", "status string!", "wait int!")
+    folder = new_folder(spark, "headers")
+    os.makedirs(folder)
+    files = {"a": "id,status,wait\n1,ok,5\n", "b": "id,wait,status\n2,7,ok\n3,x,ok\n", "c": "id,status\n4,ok\n", "d": "id,status,wait,more\n5,ok,1,2\n", "e": "id,status,wait\n6,ok\n",
+             "f": "id,status,wait\n"}
+    for name, text in files.items():
+        with open(f"{folder}/{name}.csv", "w") as f:
+            f.write(text)
+    good, broken = enforce(scan_by_name(spark, folder, contract, "_line"), contract, "_line")
+    assert sorted(map(tuple, good.collect())) == [(1, "ok", 5), (2, "ok", 7)]
+    assert sorted(r._line or r.id for r in broken.collect()) == ["3", "4,ok", "5,ok,1,2", "6,ok"]
+    import pytest
+
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_landing(spark, f"{folder}/b.csv", contract.raw_schema()).collect()
+
+
+def test_ingest_before_any_file(spark):
+    from stratalake.sources.contract import Contract
+    from stratalake.sources.shared import new_folder
+    from stratalake.streaming.ingest import IncrementalIngest
+
+    folder = new_folder(spark, "no-files")
+    ingest = IncrementalIngest(spark, f"{folder}/in", f"{folder}/out", f"{folder}/check", Contract.of("id bigint!"))
+    assert ingest.good().count() == 0 and ingest.quarantine().count() == 0 and ingest.good().columns == ["id", "batch_id"]

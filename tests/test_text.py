@@ -94,3 +94,9 @@ def test_centroids(vectors):
     got = {r.g: r.v for r in centroids(corpus.where("id < 900"), "g", "v").collect()}
     for g in range(7):
         assert np.allclose(got[g], np.mean([m[2] for m in made if m[1] == g], axis=0))
+
+
+def test_words_of_any_script(spark):
+    df = spark.createDataFrame([("Está péssimo, für f r",), ("ÓTIMO est",)], "t string")
+    found = df.select(X.found_words("t", ["está", "péssimo", "f", "ótimo", "est"]).alias("w")).collect()
+    assert [r.w for r in found] == [["está", "péssimo", "f"], ["ótimo", "est"]]
