@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +37,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now: it does so when the driver's JVM collects their plans."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of finished steps now: it does so once the driver's JVM has collected their plans.
+
+    Plans hang together by references that a first collection only queues, hence two, each with a moment for the cleaner.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def binary(column: pa.Array) -> list[bytes]:
