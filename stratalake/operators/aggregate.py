@@ -37,7 +37,7 @@ def kpi_by_dimension(
     For attributes that depend on the key: the fact is reduced to one row per key before the dimension is
     joined, so what is joined has the size of the dimension and a popular key is one row.
     """
-    return attach(kpi(fact, [key], measures), dim, key, "inner", broadcast_bytes=broadcast_bytes)
+    return attach(kpi(fact, [key], measures), dim, key, "inner", broadcast_bytes=broadcast_bytes, derived=True)
 
 
 def share_of_total(df: DataFrame, columns: Sequence[str], value: str, digits: int = 8, scale: int | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ number; a reducer that is overfull with such copies is split by Spark's adaptive
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -18,10 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 #: Largest measured size of a broadcast side in bytes, unless the session sets BROADCAST_SETTING.
 BROADCAST_BYTES = 64 << 20
 BROADCAST_SETTING = "spark.stratalake.broadcastBytes"
-#: Most hot keys a sketch may report, and the counters it keeps.
-_HOT_KEYS, _SKETCH_ITEMS = 1_000, 10_000
-#: Most copies of a right row made for a hot key.
-_MAX_COPIES = 2_048
+#: Counters a sketch keeps for each key that can exceed the share it looks for, and the most that Spark allows.
+_COUNTERS_PER_KEY, _MOST_COUNTERS = 20, 1_000_000
 
 _SPREAD = "__spread"
 
@@ -83,25 +82,37 @@ def _row_mark(df: DataFrame) -> Column:
 
 
 def _share_limit(df: DataFrame) -> float:
-    """Share of the rows that makes a key too large for one reducer; the sketch tells shares above 0.05%."""
-    return max(2.0 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 0.0005)
+    """Share of the rows that makes a key too large for one reducer: that of two reducers, as far as a sketch can tell."""
+    return max(2.0 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _COUNTERS_PER_KEY / _MOST_COUNTERS)
 
 
 def hot_keys(df: DataFrame, mark: Column, share: float) -> dict[int, float]:
     """Key hashes that hold more than ``share`` of the rows, with that share.
 
-    A frequent-items sketch per task, merged into one: no shuffle of rows, a bounded answer. Its counts are
-    estimates, which is enough here because they only steer where rows go.
+    A frequent-items sketch per task, merged into one: no shuffle of rows, and an answer bounded by the share, as no more
+    than ``1 / share`` keys can exceed it. Its counts are estimates, which is enough here because they only steer where
+    rows go.
     """
+    most = max(1, math.ceil(1 / share))
+    counters = min(_MOST_COUNTERS, _COUNTERS_PER_KEY * most)
     row = (
         df.select(mark.alias("mark"))
         .agg(F.count(F.lit(1)).alias("n"),
-             F.expr(f"approx_top_k(mark, {_HOT_KEYS}, {_SKETCH_ITEMS})").alias("top"))
+             F.expr(f"approx_top_k(mark, {most}, {counters})").alias("top"))
         .first()
     )
     return {t["item"]: t["count"] / row["n"] for t in row["top"] or [] if t["count"] > share * row["n"]}
 
 
+def _copies(mark: Column, hot: dict[int, float], share: float) -> Column:
+    """Reducers that a key's rows are spread over: 1, or for a hot key the power of two that brings it below the share."""
+    by_copies: dict[int, list[int]] = {}
+    for key, found in hot.items():
+        by_copies.setdefault(2 ** max(1, math.ceil(math.log2(found / share))), []).append(key)
+    ladder = reduce(lambda when, n: when.when(mark.isin(by_copies[n]), F.lit(n)), sorted(by_copies), F)
+    return ladder.otherwise(F.lit(1))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -124,13 +135,9 @@ def spread_join(
     hot = hot_keys(left if probe is None else probe, left_mark, share)
     if not hot:
         return left.join(right, keys, how)
-    copies = min(_MAX_COPIES, max(2, int(max(hot.values()) / share) + 1))
-    marks = list(hot)
     spread_left = left.withColumn(
-        _SPREAD, F.when(left_mark.isin(marks), F.pmod(_row_mark(left), F.lit(copies))).otherwise(F.lit(0)).cast("int"))
-    spread_right = right.withColumn(
-        _SPREAD, F.explode(F.when(right_mark.isin(marks), F.sequence(F.lit(0), F.lit(copies - 1)))
-                           .otherwise(F.array(F.lit(0)))))
+        _SPREAD, F.pmod(_row_mark(left), _copies(left_mark, hot, share).cast("bigint")).cast("int"))
+    spread_right = right.withColumn(_SPREAD, F.explode(F.sequence(F.lit(0), _copies(right_mark, hot, share) - 1)))
     return spread_left.join(spread_right, keys + [_SPREAD], how).drop(_SPREAD)
 
 
@@ -144,21 +151,24 @@ def attach_all(
 
     All lookups are measured in one job. Of those whose key is at hand, small ones come first: they are
     broadcast and do not move the left rows. The others are spread joins. A lookup may be keyed on a column
-    that another one brings in.
+    that another one brings in; its hot keys are then looked for in that other frame, and no join runs before
+    the result is asked for. Keys that come from several frames are left to Spark's adaptive skew split.
     """
     limit = broadcast_limit(left, broadcast_bytes)
     sizes = measured_bytes(*[frame for frame, _, _ in lookups])
     remaining = [(size > limit, frame, _key_list(on), how) for (frame, on, how), size in zip(lookups, sizes)]
-    out = left
+    out, joined = left, [left]
     while remaining:
         ready = [i for i, (_, _, keys, _) in enumerate(remaining) if set(keys) <= set(out.columns)]
         if not ready:
             raise ValueError(f"no lookup brings in the keys of {[keys for _, _, keys, _ in remaining]}")
         large, frame, keys, how = remaining.pop(min(ready, key=lambda i: remaining[i][0]))
         if large:
-            out = spread_join(out, frame, keys, how, probe=left if set(keys) <= set(left.columns) else None)
+            source = next((f for f in joined if set(keys) <= set(f.columns)), None)
+            out = out.join(frame, keys, how) if source is None else spread_join(out, frame, keys, how, probe=source)
         else:
             out = out.join(F.broadcast(frame), keys, how)
+        joined.append(frame)
     return out
 
 
@@ -170,12 +180,14 @@ def attach(
     *,
     broadcast_bytes: int | None = None,
     size: int | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """Join with one lookup: by broadcast if it measures small, else as a spread join.
 
-    ``size`` is the lookup's measured size, if it has been measured already.
+    ``size`` is the lookup's measured size, if it has been measured already. ``derived`` says that the left side is itself
+    the result of joins or aggregations: it is not run to look for hot keys, which are left to Spark's adaptive skew split.
     """
     size = measured_bytes(right)[0] if size is None else size
     if size <= broadcast_limit(left, broadcast_bytes):
         return left.join(F.broadcast(right), _key_list(on), how)
-    return spread_join(left, right, on, how)
+    return left.join(right, _key_list(on), how) if derived else spread_join(left, right, on, how)

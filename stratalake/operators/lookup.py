@@ -133,21 +133,22 @@ def pick_in_group(
     *,
     broadcast_bytes: int | None = None,
     rows_per_bucket: int | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """Add one option row of the same group, at position ``key * multiplier mod group size`` along ``order``.
 
     Options are numbered rather than gathered into one array per group, so a group may hold any number of
     them, and the join key (group, position) spreads a popular group over its options. Rows whose group has
-    no option keep NULLs.
+    no option keep NULLs. ``derived``: see ``attach``.
     """
     numbered = index_in_group(options, group, order, "__at", "__size", rows_per_bucket=rows_per_bucket)
     sizes = options.groupBy(group).agg(F.count(F.lit(1)).alias("__size"))
     # Numbering adds one BIGINT to a row, so the options themselves tell the size without running it.
     small, large = measured_bytes(sizes, options.withColumn("__at", F.lit(0).cast("bigint")))
-    sized = attach(df, sizes, group, "left", broadcast_bytes=broadcast_bytes, size=small)
+    sized = attach(df, sizes, group, "left", broadcast_bytes=broadcast_bytes, size=small, derived=derived)
     placed = sized.withColumn("__at", draw(key, multiplier, F.col("__size"))).drop("__size")
     picked = attach(
-        placed, numbered.drop("__size"), [group, "__at"], "left", broadcast_bytes=broadcast_bytes, size=large)
+        placed, numbered.drop("__size"), [group, "__at"], "left", broadcast_bytes=broadcast_bytes, size=large, derived=True)
     return picked.drop("__at")
 
 
@@ -160,15 +161,16 @@ def conditional_lookup(
     *,
     position: str = "idx",
     broadcast_bytes: int | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """Add the pool row of the same kind at position ``key * multiplier mod size of that kind``.
 
     ``pool`` holds the kind column, a 0-based dense position per kind, and the values. One keyed join takes
-    the place of one guarded join per kind and a COALESCE over their results.
+    the place of one guarded join per kind and a COALESCE over their results. ``derived``: see ``attach``.
     """
     sizes = pool.groupBy(kind).agg(F.count(F.lit(1)).alias("__size"))
     values = pool.withColumn("__at", F.col(position).cast("bigint")).drop(position)
     small, large = measured_bytes(sizes, values)
-    sized = attach(df, sizes, kind, "left", broadcast_bytes=broadcast_bytes, size=small)
+    sized = attach(df, sizes, kind, "left", broadcast_bytes=broadcast_bytes, size=small, derived=derived)
     placed = sized.withColumn("__at", draw(key, multiplier, F.col("__size"))).drop("__size")
-    return attach(placed, values, [kind, "__at"], "left", broadcast_bytes=broadcast_bytes, size=large).drop("__at")
+    return attach(placed, values, [kind, "__at"], "left", broadcast_bytes=broadcast_bytes, size=large, derived=True).drop("__at")

@@ -46,7 +46,7 @@ def orphan_audit(
     per_key = fact.groupBy(F.col(foreign_key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
     parents = dim.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
     parents = parents.withColumn("__known", F.lit(True))
-    judged = attach(per_key, parents, "__key", "left", broadcast_bytes=broadcast_bytes)
+    judged = attach(per_key, parents, "__key", "left", broadcast_bytes=broadcast_bytes, derived=True)
     missing = F.col("__key").isNotNull() & F.col("__known").isNull()
     return judged.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"),

@@ -1,26 +1,23 @@
 """Exact running counts and sums over an order, without sorting everything in one task.
 
-The order key is cut into buckets of roughly equal size (edges come from a sample and only balance the
-work). Each bucket is numbered by its own window, and starts where the totals of the buckets before it
-end. The order key must be unique within its group, or the numbering is not determined.
+The order key is cut into buckets of roughly equal size by Spark's range exchange (its edges come from a
+sample and only balance the work). Each bucket is numbered by its own window, and starts where the totals
+of the buckets before it end. The order key must be unique within its group, or the numbering is not determined.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from stratalake.sources.shared import checkpointed
 
 #: Rows that one window partition is meant to sort, unless the session sets BUCKET_SETTING.
 ROWS_PER_BUCKET = 1_000_000
 BUCKET_SETTING = "spark.stratalake.rowsPerBucket"
-#: Most buckets for numbers and dates, and for other types, whose edges become a comparison tree.
-_MAX_NUMERIC_BUCKETS, _MAX_OTHER_BUCKETS = 4_096, 64
-_SAMPLE_PER_BUCKET = 200
 
-_BUCKET, _AS_NUMBER = "__bucket", "__as_number"
+_BUCKET = "__bucket"
 
 
 def bucket_rows(df: DataFrame, given: int | None = None) -> int:
@@ -28,53 +25,14 @@ def bucket_rows(df: DataFrame, given: int | None = None) -> int:
     return int(df.sparkSession.conf.get(BUCKET_SETTING, str(ROWS_PER_BUCKET))) if given is None else given
 
 
-def _as_double(df: DataFrame, key: str) -> Column | None:
-    """The key as a double that never decreases when the key increases; None where there is none."""
-    kind = df.schema[key].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(key).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(key)).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(key)).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(F.col(key)).cast("double")
-    return None
-
-
-def _comparison_tree(key: Column, edges: Sequence) -> Column:
-    """Number of edges at or below the key, found by nested comparisons."""
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < F.lit(edges[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(edges))
-
-
 def with_order_bucket(df: DataFrame, key: str, rows: int, rows_per_bucket: int) -> DataFrame:
-    """Add a bucket number that never decreases along the key; NULL keys come first, as in a sort."""
-    as_double = _as_double(df, key)
-    most = _MAX_NUMERIC_BUCKETS if as_double is not None else _MAX_OTHER_BUCKETS
-    buckets = max(2, min(most, -(-rows // rows_per_bucket)))
-    keys = df.select(F.col(key).alias("k")) if as_double is None else df.select(as_double.alias("k"))
-    keys = keys.where(F.col("k").isNotNull()).sample(min(1.0, _SAMPLE_PER_BUCKET * buckets / rows), seed=7)
-    if as_double is None:
-        found = sorted(r.k for r in keys.collect())  # about _SAMPLE_PER_BUCKET * _MAX_OTHER_BUCKETS values
-        edges = sorted({found[len(found) * i // buckets] for i in range(1, buckets)}) if found else []
-        out = df.withColumn(_BUCKET, _comparison_tree(F.col(key), edges))
-    else:
-        cuts = F.percentile_approx("k", [i / buckets for i in range(1, buckets)], 10 * buckets)
-        edges = sorted({e for e in keys.agg(cuts.alias("cuts")).first().cuts or [] if math.isfinite(e)})
-        splits = [float("-inf"), *edges, float("inf")]
-        if len(splits) < 3:
-            return df.withColumn(_BUCKET, F.lit(0))
-        cut = Bucketizer(splits=splits, inputCol=_AS_NUMBER, outputCol=_BUCKET, handleInvalid="keep")
-        out = cut.transform(df.withColumn(_AS_NUMBER, as_double)).drop(_AS_NUMBER)
-    in_key = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.col(_BUCKET).cast("int"))
-    return out.withColumn(_BUCKET, in_key)
+    """The stored rows with a bucket number that never decreases along the key; NULL keys come first, as in a sort.
+
+    A bucket is a partition of Spark's range exchange, so there are as many as the rows ask for, whatever the key's type.
+    The rows are stored because the exchange samples its edges: read twice, it might cut elsewhere the second time.
+    """
+    buckets = max(2, -(-rows // rows_per_bucket))
+    return checkpointed(df.repartitionByRange(buckets, key).withColumn(_BUCKET, F.spark_partition_id()))
 
 
 def running(
@@ -90,8 +48,8 @@ def running(
     """Add the running sum of ``value`` (the running count if None) including the row itself.
 
     ``within`` restarts it per group; ``total`` names a column for the group's whole sum. A group of any
-    size is spread over the buckets of the order key. Beyond one bucket the frame is read four times (count,
-    sample, bucket totals, numbering), so pass a table or a checkpoint rather than a long chain.
+    size is spread over the buckets of the order key. Beyond one bucket the frame is read for its count,
+    for the exchange's sample and for the exchange, and stored once by bucket.
     """
     within = list(within)
     value = F.lit(1).cast("bigint") if value is None else value
@@ -107,7 +65,7 @@ def running(
     grouped = valued.withColumn("__group", F.struct(*within)) if within else valued
     marked = with_order_bucket(grouped, order, rows, rows_per_bucket)
     parts = marked.groupBy(*group, _BUCKET).agg(F.sum("__value").alias("__part"))
-    # At most one row per group and bucket, so this window never holds more than the bucket limit per group.
+    # At most one row per group and bucket: a window holds a group's buckets, one for each million of all rows.
     by_bucket = Window.partitionBy(*group).orderBy(_BUCKET)
     starts = parts.select(
         *group, _BUCKET,
@@ -118,7 +76,7 @@ def running(
         # Each (group, bucket) is bucket-sized, so a plain join shares its shuffle with the window below.
         placed = marked.join(starts, group + [_BUCKET])
     else:
-        placed = marked.join(F.broadcast(starts), _BUCKET)  # at most _MAX_NUMERIC_BUCKETS + 2 rows
+        placed = marked.join(F.broadcast(starts), _BUCKET)  # one row of numbers for each rows_per_bucket rows
     inside = Window.partitionBy(*group, _BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     sums = [(F.sum("__value").over(inside) + F.col("__before")).alias(upto)]
     if total:

@@ -160,8 +160,8 @@ def build_consultations(
     """
     key = F.col("id_consulta")
     drawn = weighted_draw(keys.select(key), "id_consulta", V.SITE_MULTIPLIER, weights, "id_hospital", "peso")
-    placed = attach(drawn, hospitals.select("id_hospital", "especialidade"), "id_hospital")
-    coded = pick_in_group(placed, "especialidade", "id_consulta", V.CODE_MULTIPLIER, codes, "cid_10")
+    placed = attach(drawn, hospitals.select("id_hospital", "especialidade"), "id_hospital", derived=True)
+    coded = pick_in_group(placed, "especialidade", "id_consulta", V.CODE_MULTIPLIER, codes, "cid_10", derived=True)
     finished = C.status(key) == V.FINISHED
     name = F.concat(
         pick(V.DOCTOR_TITLES, draw(key, *V.DOCTOR_TITLE_DRAW)),
@@ -191,7 +191,7 @@ def build_reviews(consultations: DataFrame, n: int | None, as_of: str) -> DataFr
     chosen = numbered if n is None else numbered.where(F.col("seq") <= n)
     classed = chosen.withColumn("classe", C.review_class("tempo_espera_minutos", "seq"))
     texts = inline(consultations.sparkSession, ["classe", "idx", "texto_avaliacao"], review_pool())
-    written = conditional_lookup(classed, "classe", "seq", V.REVIEW_TEXT_MULTIPLIER, texts)
+    written = conditional_lookup(classed, "classe", "seq", V.REVIEW_TEXT_MULTIPLIER, texts, derived=True)
     key = F.col("id_consulta")
     return written.select(
         key.cast("bigint").alias("id_consulta"),

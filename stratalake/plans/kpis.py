@@ -138,7 +138,7 @@ def kpi_productivity(t: Tables):
     per_site = agg.kpi(typed, ["s_suppkey", "p_type"], {
         "n_visits": F.count(F.lit(1)), "n_in_person": F.count_if(F.col("l_returnflag") == "A"),
         "n_remote": F.count_if(F.col("l_returnflag") == "R"), "mean_wait": agg.mean("l_quantity")})
-    return attach(per_site, t.supplier.select("s_suppkey", "s_name"), "s_suppkey")
+    return attach(per_site, t.supplier.select("s_suppkey", "s_name"), "s_suppkey", derived=True)
 
 
 @query("kpi_demography", f"""
@@ -175,9 +175,12 @@ def kpi_age_plan_site(t: Tables):
     SELECT p_type, count(*) AS n_visits, round(count(*) FILTER (l_returnflag = 'R') / count(*), 6) AS remote_rate
     FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1""")
 def tele_ratio(t: Tables):
-    typed = attach(lines(t, "l_returnflag").drop("o_orderkey", "s_suppkey"), t.part.select("p_partkey", "p_type"), "p_partkey")
+    # One row per part before the join, as a hot part's rows cannot be told apart by their flag alone.
+    per_part = agg.kpi(lines(t, "l_returnflag"), ["p_partkey"], {
+        "lines": F.count(F.lit(1)), "remote": F.count_if(F.col("l_returnflag") == "R")})
+    typed = attach(per_part, t.part.select("p_partkey", "p_type"), "p_partkey", derived=True)
     return agg.kpi(typed, ["p_type"], {
-        "n_visits": F.count(F.lit(1)), "remote_rate": agg.ratio(F.col("l_returnflag") == "R")})
+        "n_visits": F.sum("lines"), "remote_rate": F.round(F.try_divide(F.sum("remote"), F.sum("lines")), 6)})
 
 
 @query("top_k_per_group", """
@@ -187,7 +190,7 @@ def tele_ratio(t: Tables):
 def top_brands(t: Tables):
     # One row per part before the join: what is joined has the size of the part table.
     per_part = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("lines"))
-    counted = attach(per_part, t.part.select("p_partkey", "p_type", "p_brand"), "p_partkey").groupBy(
+    counted = attach(per_part, t.part.select("p_partkey", "p_type", "p_brand"), "p_partkey", derived=True).groupBy(
         "p_type", "p_brand").agg(F.sum("lines").alias("n"))
     return top_k_per_group(counted, "p_type", [F.desc("n"), F.asc("p_brand")], 3)
 
@@ -213,7 +216,7 @@ def gold_clinic(t: Tables):
     LEFT JOIN (SELECT s_nationkey AS n_nationkey, count(*) AS n_suppliers FROM supplier GROUP BY 1) USING (n_nationkey)""")
 def load_per_capacity(t: Tables):
     per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
-    load = attach(per_customer, t.customer.select("c_custkey", "c_nationkey"), "c_custkey").groupBy(
+    load = attach(per_customer, t.customer.select("c_custkey", "c_nationkey"), "c_custkey", derived=True).groupBy(
         F.col("c_nationkey").alias("n_nationkey")).agg(F.sum("n").alias("n_orders"))
     capacity = t.supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n_suppliers"))
     return agg.load_per_capacity(load, capacity, "n_nationkey", "n_orders", "n_suppliers")

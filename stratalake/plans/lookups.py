@@ -83,7 +83,7 @@ def pick_in_group(t: Tables):
     typed = attach(
         t.lineitem.select("l_orderkey", F.col("l_partkey").alias("p_partkey")), t.part.select("p_partkey", "p_type"), "p_partkey")
     options = t.part.select("p_type", F.col("p_partkey").alias("picked_part"))
-    picked = L.pick_in_group(typed.drop("p_partkey"), "p_type", "l_orderkey", 67, options, "picked_part")
+    picked = L.pick_in_group(typed.drop("p_partkey"), "p_type", "l_orderkey", 67, options, "picked_part", derived=True)
     return picked.groupBy("p_type", "picked_part").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -46,6 +46,24 @@ def test_hot_key_is_found_and_spread(fact, dim):
     assert spread.agg(F.max("count")).first()[0] < 3000 / 17 * 1.6
 
 
+def test_each_hot_key_has_its_own_copies(spark):
+    copies = J._copies(F.col("id"), {1: 0.3, 2: 0.02}, 0.01)
+    assert [r[0] for r in spark.range(4).orderBy("id").select(copies).collect()] == [1, 32, 2, 1]
+
+
+def test_chain_of_large_lookups_runs_no_join_before_the_result(spark, fact, dim):
+    """Hot keys of a column that a lookup brings in are looked for in that lookup."""
+    groups = spark.range(450).select(F.concat(F.lit("n"), "id").alias("name"), (F.col("id") % 5).alias("g"))
+    seen = []
+    find, J.hot_keys = J.hot_keys, lambda df, *more: seen.append(plan_of(df)) or find(df, *more)
+    try:
+        J.attach_all(fact, [(dim, "k", "inner"), (groups, "name", "left")], broadcast_bytes=0)
+        J.attach(fact.join(dim, "k"), groups, "name", broadcast_bytes=0, derived=True)
+    finally:
+        J.hot_keys = find
+    assert len(seen) == 2 and not any("Join" in plan for plan in seen)
+
+
 def test_no_spreading_without_hot_keys(spark, dim):
     even = spark.range(5000).select((F.col("id") % 450).alias("k"), "id")
     assert "__spread" not in plan_of(J.spread_join(even, dim, "k", share=0.05))

@@ -102,3 +102,10 @@ def test_many_buckets_for_timestamps_without_zone(spark):
     df = spark.range(500).select(F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)").alias("ts"), "id")
     got = S.global_seq(df, "ts", "seq", rows_per_bucket=5)
     assert {r.id: r.seq for r in got.collect()} == {k: k + 1 for k in range(500)}
+
+
+@pytest.mark.parametrize("key", ["format_string('%06d', id)", "timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)"])
+def test_buckets_have_no_cap_for_any_type(spark, key):
+    df = spark.range(4000).select(F.expr(key).alias("k"), "id")
+    assert Q.with_order_bucket(df, "k", 4000, 20).select("__bucket").distinct().count() > 150
+    assert Q.global_seq(df, "k", "seq", rows_per_bucket=20).where("seq != id + 1").count() == 0
