@@ -18,7 +18,7 @@ FORMATS = {
 }
 
 #: A literal without which a shape cannot occur; looking for it first spares most texts the pattern.
-_NEEDED = {"emails": "@", "phones": "+", "ips": "."}
+_NEEDED = {"emails": "@", "phones": "+", "ips": ".", "tax_ids": "-", "health_cards": "700 ", "registry_ids": "-", "local_phones": ") 9"}
 
 #: Shapes looked for in free text.
 IN_TEXT = {
@@ -28,6 +28,14 @@ IN_TEXT = {
     "long_numbers": r"[0-9]{13,19}",
 }
 
+#: The generated identifiers in free text, not as a part of a longer run of digits or letters.
+IDS_IN_TEXT = {
+    "tax_ids": r"\b[0-9]{3}\.[0-9]{3}\.[0-9]{3}-[0-9]{2}\b",
+    "health_cards": r"\b700 [0-9]{4} [0-9]{4} [0-9]{3}\b",
+    "registry_ids": r"\b[0-9]{2}\.[0-9]{3}\.[0-9]{3}-[0-9]\b",
+    "local_phones": r"\([0-9]{2}\) 9[0-9]{4}-[0-9]{4}\b",
+}
+
 
 def keep_last_digits(value: Column | str, keep: int) -> Column:
     """Every digit becomes ``*`` except the last ``keep`` digits; punctuation stays."""
@@ -58,7 +66,7 @@ def is_valid(value: Column | str, kind: str) -> Column:
 
 def count_in_text(text: Column | str, kind: str) -> Column:
     """Number of non-overlapping matches in the whole text; 0 for a NULL text."""
-    matches = F.regexp_count(col(text), F.lit(IN_TEXT[kind]))
+    matches = F.regexp_count(col(text), F.lit((IN_TEXT | IDS_IN_TEXT)[kind]))
     if kind in _NEEDED:
         matches = F.when(F.contains(col(text), F.lit(_NEEDED[kind])), matches)
     return F.coalesce(matches, F.lit(0)).cast("bigint")

@@ -210,4 +210,4 @@ _SCORE_SQL = "(" + " + ".join(
 def report_wait_and_sentiment(t: Tables):
     visits = landed_consultations(t)
     scored = H.analyse_reviews(landed_reviews(t, visits)).select("id_consulta", "sentimento")
-    return H.wait_and_sentiment(attach(scored, visits.select("id_consulta", "tempo_espera_minutos"), "id_consulta"))
+    return H.wait_and_sentiment(attach(scored, visits.select("id_consulta", "tempo_espera_minutos"), "id_consulta", derived=True))

@@ -112,6 +112,24 @@ def pii_scan(t: Tables):
     return t.documents.select("doc_id", *[P.count_in_text("text", kind).alias(kind) for kind in P.IN_TEXT])
 
 
+_PLANTED = [S.tax_id("doc_id"), S.health_card("doc_id"), S.registry_id("doc_id"), S.phone("doc_id")]
+
+
+@query("pii_scan_ids", f"""
+    WITH planted AS (SELECT doc_id, coalesce(text, '') || CASE doc_id % 5 {' '.join(
+        f"WHEN {i} THEN ' id ' || {sql} || ', end'" for i, sql in enumerate(_PLANTED))} ELSE '' END AS text FROM documents)
+    SELECT doc_id, """ + ", ".join(
+    f"len(regexp_extract_all(text, '{pattern}')) AS {kind}" for kind, pattern in P.IDS_IN_TEXT.items()) + " FROM planted")
+def pii_scan_ids(t: Tables):
+    """Documents of which four in five end with one of the generated identifiers."""
+    planted = F.lit("")
+    for i, made in enumerate((C.tax_id, C.health_card, C.registry_id, C.phone)):
+        found = F.concat(F.lit(" id "), made("doc_id"), F.lit(", end"))
+        planted = F.when(F.col("doc_id") % 5 == i, found).otherwise(planted)
+    texts = t.documents.select("doc_id", F.concat(F.coalesce("text", F.lit("")), planted).alias("text"))
+    return texts.select("doc_id", *[P.count_in_text("text", kind).alias(kind) for kind in P.IDS_IN_TEXT])
+
+
 @query("cosine_topk", """
     WITH cells AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
     means AS (SELECT label, i, avg(x) AS x FROM cells GROUP BY 1, 2),

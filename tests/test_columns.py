@@ -113,3 +113,10 @@ def test_text_patterns_over_whole_texts(spark):
     assert column(one, P.count_in_text("t", "phones")) == [1, 0, 0]
     assert column(one, P.count_in_text("t", "ips")) == [1, 0, 0]
     assert column(one, P.count_in_text("t", "long_numbers")) == [1, 0, 0]
+
+
+def test_generated_identifiers_are_found_in_text(spark):
+    texts = ["cpf 123.456.789-01, rg 12.345.678-9; cns 700 1234 5678 901 tel (11) 91234-5678.", "x123.456.789-012 7001234", None]
+    one = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    for kind in P.IDS_IN_TEXT:
+        assert column(one, P.count_in_text("t", kind)) == [1, 0, 0], kind
