@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.functions.draws import draw, pick
 from stratalake.operators.joins import attach, measured_bytes
@@ -13,7 +13,7 @@ from stratalake.operators.sequence import bucket_rows, cumulative_bounds, index_
 from stratalake.sources.shared import checkpointed
 
 #: Interval widths of one level differ by at most this factor.
-_LEVEL_BASE = 32
+_LEVEL_BASE = 4
 #: Up to so many intervals of narrower levels share the cells of a wider one.
 _FEW = 32
 
@@ -55,6 +55,21 @@ def _levels(spans: dict[int, int]) -> dict[int, int]:
     return used
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """A number for a column's values that keeps their order; NULL for NULL and for an infinity."""
+    c, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c) / 1e6
+    if isinstance(kind, T.TimestampNTZType):  # by its fields, as a time zone may skip or repeat hours
+        return (F.unix_date(c.cast("date")).cast("double") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
+    if not isinstance(kind, T.NumericType):
+        raise TypeError(f"{column!r} is {kind.simpleString()}: neither a number nor a time")
+    number = c.cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
+
+
 def range_join(
     points: DataFrame,
     value: str,
@@ -64,15 +79,24 @@ def range_join(
     *,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Inner join of points with the half-open intervals ``[low, high)`` that hold them; bounds must be finite.
+    """Inner join of points with the half-open intervals ``[low, high)`` that hold them: numbers, dates or timestamps.
+
+    A NULL (or infinite) bound leaves that end open. A NULL point is in no interval, nor is any point in an interval whose
+    low end is not below its high end.
 
     Intervals are sorted into levels by their span, and each level has cells at least as wide as its widest
     interval, so an interval touches two cells whatever its span. Points look into one cell per level. What
-    remains is an equi-join on (level, cell) and the exact test.
+    remains is an equi-join on (level, cell) and the exact test. For the cells, open ends lie just beyond the outermost
+    bound there is, and so do points beyond it.
     """
-    usable = intervals.where(F.col(low) < F.col(high))
-    span = (F.col(high) - F.col(low)).cast("double")
-    own = F.floor(F.log(float(_LEVEL_BASE), span)).cast("int")
+    lowest, highest = F.col(f"`{low}`"), F.col(f"`{high}`")
+    usable = intervals.where(lowest.isNull() | highest.isNull() | (lowest < highest))
+    bounds = usable.select(_number(usable, low).alias("lo"), _number(usable, high).alias("hi"))
+    least, most = bounds.agg(F.least(F.min("lo"), F.min("hi")), F.greatest(F.max("lo"), F.max("hi"))).first()  # one row
+    least, most = (least or 0.0) - 1, (most or 0.0) + 1
+    begin, end = F.coalesce(_number(usable, low), F.lit(least)), F.coalesce(_number(usable, high), F.lit(most))
+    finest = F.greatest(F.abs(begin), F.abs(end)) * 2.0 ** -50  # spans below a double's precision
+    own = F.floor(F.log(float(_LEVEL_BASE), F.greatest(end - begin, finest))).cast("int")
     spans = {r.level: r.n for r in  # one row per power of the base between the narrowest and the widest span
              usable.groupBy(own.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not spans:  # no usable interval: no match, same columns
@@ -82,18 +106,23 @@ def range_join(
     levels = sorted(set(used.values()))
 
     def cell(at: Column, level: Column) -> Column:
-        return F.floor(at.cast("double") / F.pow(F.lit(float(_LEVEL_BASE)), level + 1))
+        return F.floor(at / F.pow(F.lit(float(_LEVEL_BASE)), level + 1))
 
     level = reduce(lambda ladder, x: ladder.when(own <= x, F.lit(x)), levels, F.when(F.lit(False), F.lit(0)))
     cells = usable.withColumn("__level", level).withColumn(
-        "__cell", F.explode(F.sequence(cell(F.col(low), F.col("__level")), cell(F.col(high), F.col("__level")))))
+        "__cell", F.explode(F.sequence(cell(begin, F.col("__level")), cell(end, F.col("__level")))))
+    point = F.col(f"`{value}`")
+    known = points.where(point.isNotNull())
     if len(levels) == 1:
-        looking = points.withColumn("__level", F.lit(levels[0]))
+        looking = known.withColumn("__level", F.lit(levels[0]))
     else:
-        looking = points.withColumn("__level", F.explode(F.array(*[F.lit(x) for x in levels])))
-    looking = looking.withColumn("__cell", cell(F.col(value), F.col("__level")))
+        looking = known.withColumn("__level", F.explode(F.array(*[F.lit(x) for x in levels])))
+    place = F.coalesce(_number(points, value), F.when(point.cast("string") == "-Infinity", least).otherwise(most))
+    at = F.greatest(F.lit(least), F.least(F.lit(most), place))
+    looking = looking.withColumn("__cell", cell(at, F.col("__level")))
     found = attach(looking, cells, ["__level", "__cell"], "inner", broadcast_bytes=broadcast_bytes)
-    return found.where((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("__level", "__cell")
+    inside = (lowest.isNull() | (point >= lowest)) & (highest.isNull() | (point < highest))
+    return found.where(inside).drop("__level", "__cell")
 
 
 def weighted_draw(

@@ -22,7 +22,8 @@ _PRIORITY_SCHEMA = T.StructType([
 
 
 def _values(rows) -> str:
-    return "(VALUES " + ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows) + ")"
+    literal = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+    return "(VALUES " + ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows) + ")"
 
 
 @query("static_dim", f"""
@@ -73,6 +74,22 @@ def range_join_bands(t: Tables):
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("sum_price"))
 
 
+_ERAS = [(None, "1993-07-01", "early"), ("1993-07-01", "1995-01-01", "middle"), ("1994-06-01", "1995-06-01", "overlap"),
+         ("1995-03-15", "1995-03-16", "one day"), ("1997-02-01", None, "late")]
+
+
+@query("range_join_dates", f"""
+    SELECT label, count(*) AS n, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE)) AS last_day
+    FROM orders JOIN {_values(_ERAS)} AS b(lo, hi, label)
+      ON (lo IS NULL OR CAST(o_orderdate AS DATE) >= CAST(lo AS DATE)) AND (hi IS NULL OR CAST(o_orderdate AS DATE) < CAST(hi AS DATE))
+    GROUP BY 1""")
+def range_join_dates(t: Tables):
+    eras = inline(t.spark, ["lo", "hi", "label"], _ERAS).select(F.col("lo").cast("date"), F.col("hi").cast("date"), "label")
+    days = t.orders.select(F.col("o_orderdate").cast("date").alias("day"))
+    return L.range_join(days, "day", eras, "lo", "hi").groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
 @query("pick_in_group", """
     WITH options AS (SELECT p_type, p_partkey, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) - 1 AS idx,
         count(*) OVER (PARTITION BY p_type) AS qtd FROM part)

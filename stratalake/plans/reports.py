@@ -6,6 +6,9 @@ orders consultations. Consultations and reviews land as CSV files and are read b
 
 from __future__ import annotations
 
+import uuid
+from functools import cached_property
+
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.functions.draws import draw, pick
@@ -14,11 +17,14 @@ from stratalake.operators.quality import orphan_audit
 from stratalake.plans import fixed as V
 from stratalake.plans import health as H
 from stratalake.plans import sql_parts as S
+from stratalake.plans.flagship import gold_by_site
 from stratalake.plans.generated import _EMAIL
 from stratalake.plans.kpis import sites
+from stratalake.plans.quality import GAPS_SQL
 from stratalake.plans.registry import Tables, query
 from stratalake.plans.sql_parts import AS_OF
-from stratalake.sources.landing import scan_landing, sink_landing
+from stratalake.sources.lake import Lake
+from stratalake.sources.landing import sink_landing
 from stratalake.sources.shared import new_folder
 
 _KINDS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -44,20 +50,64 @@ def consultations(t: Tables) -> DataFrame:
     return H.build_consultations(keys, kinds, weights, codes, n_patients=t.customer.count())
 
 
-def landed_consultations(t: Tables) -> DataFrame:
-    path = sink_landing(consultations(t), new_folder(t.spark, "consultations"))
-    return scan_landing(t.spark, path, H.CONSULTATIONS.schema())
+class Demo:
+    """The demo's layers over the tables of one folder; each table is written when first asked for, then read by all reports.
+
+    Consultations and reviews land as CSV files and are read back. The view holds the patient columns that reports use.
+    """
+
+    def __init__(self, t: Tables):
+        self._t = t
+        name = f"demo_{uuid.uuid4().hex[:8]}"
+        self.lake = Lake(t.spark, new_folder(t.spark, name), name).setup()
+
+    @cached_property
+    def hospitals(self) -> DataFrame:
+        return self.lake.promote(hospitals(self._t), "bronze", "hospitais")
+
+    @cached_property
+    def patients(self) -> DataFrame:
+        return self.lake.sink_table(patients(self._t), "bronze", "pacientes", H.PATIENTS)
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        sink_landing(consultations(self._t), self.lake.landing("consultas"))
+        return self.lake.promote(H.landed_consultations(self.lake), "bronze", "consultas")
+
+    @cached_property
+    def reviews(self) -> DataFrame:
+        sink_landing(H.build_reviews(self.visits, None, AS_OF), self.lake.landing("avaliacoes"))
+        return self.lake.promote(H.landed_reviews(self.lake), "bronze", "avaliacoes_lidas")
+
+    @cached_property
+    def view(self) -> DataFrame:
+        people = self.patients.select("id_paciente", "idade", "sexo", "convenio")
+        return self.lake.promote(H.view_360(self.visits, people, self.hospitals), "silver", "visao_360")
+
+    @cached_property
+    def gold(self) -> DataFrame:
+        """The pipelines from the landed files to the gold table."""
+        for made in (self.hospitals, self.patients, self.visits, self.reviews):
+            made.schema  # noqa: B018  (asking for them writes them)
+        H.ingest_consultations(self.lake)
+        H.ingest_reviews(self.lake)
+        H.build_360(self.lake)
+        H.review_consultations(self.lake)
+        return H.clinic_kpis(self.lake)
 
 
-def landed_reviews(t: Tables, visits: DataFrame) -> DataFrame:
-    path = sink_landing(H.build_reviews(visits, None, AS_OF), new_folder(t.spark, "reviews"))
-    return scan_landing(t.spark, path, H.REVIEWS.schema())
+_SOURCES = ("customer", "nation", "orders", "part", "region", "supplier")
+_demos: dict[tuple, Demo] = {}
 
 
-def view(t: Tables) -> DataFrame:
-    """The 360 view with the patient columns that reports use; only these are measured and sent around."""
-    people = patients(t).select("id_paciente", "idade", "sexo", "convenio")
-    return H.view_360(landed_consultations(t), people, hospitals(t))
+def demo(t: Tables) -> Demo:
+    """The layers of a folder, built once for a session; files that were added, removed or rewritten since build them anew."""
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{t.folder}/{x}.parquet" for x in _SOURCES])
+    state = files.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()  # names and sizes, not content
+    key = (t.spark.sparkContext.applicationId, t.folder, tuple(state))
+    if key not in _demos:
+        _demos[key] = Demo(t)
+    return _demos[key]
 
 
 _SIZES = "CAST((SELECT count(*) FROM customer) AS BIGINT)"
@@ -122,7 +172,7 @@ def build_fact_sample(t: Tables):
 
 @query("build_review_sample", f"WITH {_VISITS_SQL}, {_REVIEWS_SQL} SELECT * FROM avaliacoes")
 def build_review_sample(t: Tables):
-    return H.build_reviews(landed_consultations(t), None, AS_OF)
+    return H.build_reviews(demo(t).visits, None, AS_OF)
 
 
 @query("visit_references", f"""
@@ -144,7 +194,7 @@ def visit_references(t: Tables):
       count(*) FILTER (status = 'cancelada') AS cancelamentos, count(DISTINCT id_paciente) AS pacientes_unicos
     FROM visao GROUP BY 1, 2, 3, 4""")
 def report_by_hospital(t: Tables):
-    return H.report_by_hospital(view(t))
+    return H.report_by_hospital(demo(t).view)
 
 
 @query("report_by_channel", f"""{_VIEW_SQL}, {_REVIEWS_SQL}
@@ -153,8 +203,8 @@ def report_by_hospital(t: Tables):
       round(avg(tempo_espera_minutos), 4) AS tempo_espera_medio
     FROM avaliacoes JOIN (SELECT id_consulta, cidade, tempo_espera_minutos FROM visao) USING (id_consulta) GROUP BY 1, 2""")
 def report_by_channel(t: Tables):
-    visits = landed_consultations(t)
-    return H.report_by_channel(landed_reviews(t, visits), visits, hospitals(t))
+    d = demo(t)
+    return H.report_by_channel(d.reviews, d.visits, d.hospitals)
 
 
 @query("report_by_region_and_code", f"""{_VIEW_SQL}
@@ -163,7 +213,7 @@ def report_by_channel(t: Tables):
       round(avg(tempo_espera_minutos), 4) AS tempo_espera_medio
     FROM visao GROUP BY 1, 2, 3, 4, 5""")
 def report_by_region_and_code(t: Tables):
-    return H.report_by_region_and_code(view(t))
+    return H.report_by_region_and_code(demo(t).view)
 
 
 @query("report_by_doctor", f"""{_VIEW_SQL}
@@ -173,7 +223,7 @@ def report_by_region_and_code(t: Tables):
       round(avg(tempo_espera_minutos), 4) AS tempo_espera_medio
     FROM visao GROUP BY 1, 2, 3, 4""")
 def report_by_doctor(t: Tables):
-    return H.report_by_doctor(view(t))
+    return H.report_by_doctor(demo(t).view)
 
 
 @query("report_by_demography", f"""{_VIEW_SQL}
@@ -183,7 +233,7 @@ def report_by_doctor(t: Tables):
       round(count(*) FILTER (modalidade = 'telemedicina') / count(*), 6) AS taxa_telemedicina
     FROM visao WHERE id_paciente IS NOT NULL GROUP BY 1, 2, 3, 4""")
 def report_by_demography(t: Tables):
-    return H.report_by_demography(view(t))
+    return H.report_by_demography(demo(t).view)
 
 
 @query("report_top_codes", f"""{_VIEW_SQL}
@@ -191,7 +241,7 @@ def report_by_demography(t: Tables):
         row_number() OVER (PARTITION BY especialidade ORDER BY count(*) DESC, cid_10) AS rank
       FROM visao WHERE cid_10 IS NOT NULL GROUP BY 1, 2) WHERE rank <= 3""")
 def report_top_codes(t: Tables):
-    return H.top_codes(view(t))
+    return H.top_codes(demo(t).view)
 
 
 _SCORE_SQL = "(" + " + ".join(
@@ -208,6 +258,32 @@ _SCORE_SQL = "(" + " + ".join(
     SELECT *, round(n_positive / n, 6) AS share_positive, round(n_negative / n, 6) AS share_negative,
       round(n_neutral / n, 6) AS share_neutral FROM counted""")
 def report_wait_and_sentiment(t: Tables):
-    visits = landed_consultations(t)
-    scored = H.analyse_reviews(landed_reviews(t, visits)).select("id_consulta", "sentimento")
-    return H.wait_and_sentiment(attach(scored, visits.select("id_consulta", "tempo_espera_minutos"), "id_consulta", derived=True))
+    d = demo(t)
+    scored = H.analyse_reviews(d.reviews).select("id_consulta", "sentimento")
+    return H.wait_and_sentiment(attach(scored, d.visits.select("id_consulta", "tempo_espera_minutos"), "id_consulta", derived=True))
+
+
+@query("report_clinic", f"""WITH {_VISITS_SQL}, {_REVIEWS_SQL},
+    clean AS (SELECT * FROM consultas WHERE id_paciente IS NOT NULL AND status <> '{V.CANCELLED}'),
+    volume AS (SELECT id_hospital, count(*) AS total_consultas, round(avg(tempo_espera_minutos), 4) AS tempo_espera_medio
+      FROM clean GROUP BY 1),
+    mood AS (SELECT id_hospital, count(*) AS total_avaliacoes, round(avg(score), 4) AS sentimento_medio
+      FROM (SELECT id_consulta, {_SCORE_SQL} AS score FROM avaliacoes) JOIN clean USING (id_consulta) GROUP BY 1)
+    SELECT id_hospital, total_consultas, tempo_espera_medio, s_name AS nome_hospital, n_name AS cidade,
+      {S.strings(_KINDS)}[s_suppkey % 6 + 1] AS especialidade, total_avaliacoes, sentimento_medio
+    FROM volume JOIN supplier ON s_suppkey = id_hospital JOIN nation ON n_nationkey = s_nationkey
+      LEFT JOIN mood USING (id_hospital)""")
+def report_clinic(t: Tables):
+    """Gold figures of the clean visits, through all pipelines."""
+    return demo(t).gold
+
+
+@query("report_layers", f"""
+    WITH bronze AS ({GAPS_SQL}), silver AS (SELECT * FROM bronze WHERE fk IS NOT NULL AND o_orderstatus <> 'P')
+    SELECT s_suppkey, count(*) AS n_visits, round(avg(l_quantity), 4) AS mean_wait,
+      count(*) FILTER (o_orderstatus = 'P') AS n_cancelled, count(DISTINCT fk) AS n_people, s_name, n_name
+    FROM lineitem JOIN silver ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey
+      JOIN nation ON n_nationkey = s_nationkey GROUP BY s_suppkey, s_name, n_name""")
+def report_layers(t: Tables):
+    """The flagship flow: bronze, silver, view and gold tables."""
+    return gold_by_site(t.spark, t.folder)

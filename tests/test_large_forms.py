@@ -17,7 +17,7 @@ SETTINGS = {J.BROADCAST_SETTING: "0", Q.BUCKET_SETTING: "40", "spark.sql.autoBro
 NAMES = sorted(registered.queries()) if os.environ.get("TEST_LARGE") == "all" else [
     "build_fact_sample", "build_review_sample", "conditional_lookup", "cumulative_bounds", "fk_orphans", "global_seq",
     "index_in_group", "kpi_by_channel", "kpi_by_site", "kpi_demography", "kpi_productivity", "kpi_region_code",
-    "lexicon_join", "load_per_capacity", "pick_in_group", "pool_index", "pool_lookup", "range_join_bands",
+    "lexicon_join", "load_per_capacity", "pick_in_group", "pool_index", "pool_lookup", "range_join_bands", "range_join_dates",
     "report_by_channel", "review_360", "score_vs_label", "semi_finished", "star_360", "static_dim", "weighted_draw"]
 
 

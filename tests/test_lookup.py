@@ -49,6 +49,35 @@ def test_range_join_on_a_hot_value(spark):
         0: 1000 + sum(1 for i in range(10) if i % 3), 10: sum(1 for i in range(10, 2000) if i % 3)}
 
 
+@LIMITS
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double", "decimal(12,3)", "long"])
+def test_range_join_with_open_ends_and_times(spark, kind, broadcast_bytes):
+    r = random.Random(kind)
+    intervals = [(i, a, a + r.choice([1, 3, 40, 900])) for i, a in enumerate(r.randrange(-200, 1200) for _ in range(60))]
+    intervals += [(100, None, 50), (101, 700, None), (102, None, None), (103, 9, 9), (104, 9, 3)]
+    values = [(i, r.randrange(-400, 1500)) for i in range(300)] + [(900, None)]
+    time = kind in ("date", "timestamp", "timestamp_ntz")
+
+    def typed(name):
+        return F.expr(f"CAST(date_add(DATE'2020-03-01', CAST({name} AS INT)) AS {kind}) AS {name}" if time else f"CAST({name} AS {kind}) AS {name}")
+
+    points = spark.createDataFrame(values, "p long, v long").select("p", typed("v"))
+    frame = spark.createDataFrame(intervals, "i long, lo long, hi long").select("i", typed("lo"), typed("hi"))
+    found = L.range_join(points, "v", frame, "lo", "hi", broadcast_bytes=broadcast_bytes)
+    assert "NestedLoop" not in plan_of(found)
+    expected = sorted((p, i) for p, v in values for i, a, b in intervals
+                      if v is not None and (a is None or a <= v) and (b is None or v < b) and (a is None or b is None or a < b))
+    assert sorted((x.p, x.i) for x in found.collect()) == expected
+
+
+def test_range_join_with_infinite_values(spark):
+    inf = float("inf")
+    frame = spark.createDataFrame([(0, -inf, 0.0), (1, 0.0, inf), (2, 5.0, None), (3, None, None)], "i long, lo double, hi double")
+    points = spark.createDataFrame([(-inf,), (-3e300,), (0.0,), (7.0,), (inf,)], "v double")
+    found = sorted((x.v, x.i) for x in L.range_join(points, "v", frame, "lo", "hi").collect())
+    assert found == [(-inf, 0), (-inf, 3), (-3e300, 0), (-3e300, 3), (0.0, 1), (0.0, 3), (7.0, 1), (7.0, 2), (7.0, 3), (inf, 2), (inf, 3)]
+
+
 def test_range_join_without_intervals(spark):
     points, none = spark.range(5), spark.createDataFrame([], "lo long, hi long, name string")
     found = L.range_join(points, "id", none, "lo", "hi")
