@@ -22,6 +22,9 @@ BROADCAST_SETTING = "spark.stratalake.broadcastBytes"
 #: Counters a sketch keeps for each key that can exceed the share it looks for, and the most that Spark allows.
 _COUNTERS_PER_KEY, _MOST_COUNTERS = 20, 1_000_000
 
+#: Files this many times the broadcast limit need no measuring.
+_SURELY_LARGE = 64
+
 _SPREAD = "__spread"
 
 
@@ -39,8 +42,28 @@ def _row_bytes(field: T.StructField) -> Column:
     return F.lit(8)
 
 
-def measured_bytes(*frames: DataFrame) -> list[int]:
-    """Size of each frame's rows, measured for all of them in one aggregation job."""
+def _file_bytes(df: DataFrame) -> int | None:
+    """Spark's estimate, from file sizes, for a frame that is nothing but columns of stored files; None for any other."""
+    whole = plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.children().head()
+    return int(str(whole.stats().sizeInBytes())) if plan.nodeName() in ("LogicalRelation", "Relation") else None
+
+
+def measured_bytes(*frames: DataFrame, limit: int | None = None) -> list[int]:
+    """Size of each frame's rows, measured for all of them in one aggregation job.
+
+    With a ``limit``, files so far beyond it that no encoding makes up for the difference are taken at their estimate
+    and not read.
+    """
+    told = [None if limit is None else _file_bytes(df) for df in frames]
+    told = [b if b is not None and b > _SURELY_LARGE * limit else None for b in told]
+    unknown = [df for df, b in zip(frames, told) if b is None]
+    found = iter(_summed_bytes(unknown) if unknown else [])
+    return [next(found) if b is None else b for b in told]
+
+
+def _summed_bytes(frames: Sequence[DataFrame]) -> list[int]:
     sizes = [
         df.agg(F.sum((16 + reduce(lambda a, b: a + b, map(_row_bytes, df.schema.fields))).cast("bigint")).alias("b"))
         .select(F.lit(i).alias("i"), F.coalesce("b", F.lit(0)).alias("b"))
@@ -155,7 +178,7 @@ def attach_all(
     the result is asked for. Keys that come from several frames are left to Spark's adaptive skew split.
     """
     limit = broadcast_limit(left, broadcast_bytes)
-    sizes = measured_bytes(*[frame for frame, _, _ in lookups])
+    sizes = measured_bytes(*[frame for frame, _, _ in lookups], limit=limit)
     remaining = [(size > limit, frame, _key_list(on), how) for (frame, on, how), size in zip(lookups, sizes)]
     out, joined = left, [left]
     while remaining:
@@ -187,7 +210,8 @@ def attach(
     ``size`` is the lookup's measured size, if it has been measured already. ``derived`` says that the left side is itself
     the result of joins or aggregations: it is not run to look for hot keys, which are left to Spark's adaptive skew split.
     """
-    size = measured_bytes(right)[0] if size is None else size
-    if size <= broadcast_limit(left, broadcast_bytes):
+    limit = broadcast_limit(left, broadcast_bytes)
+    size = measured_bytes(right, limit=limit)[0] if size is None else size
+    if size <= limit:
         return left.join(F.broadcast(right), _key_list(on), how)
     return left.join(right, _key_list(on), how) if derived else spread_join(left, right, on, how)

@@ -99,3 +99,14 @@ def test_attach_all_joins_a_chain_of_any_sizes(spark, fact, dim, rows):
             assert rows(both.drop("note")) == rows(plain)
     with pytest.raises(ValueError):
         J.attach_all(fact, [(groups, "name", "left")])
+
+
+def test_large_files_are_not_measured(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(50_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    exact = 50_000 * (16 + 8 + 16 + 64)
+    assert J.measured_bytes(stored) == [exact] and J.measured_bytes(stored, limit=1 << 20) == [exact]
+    few = stored.where("id < 10")  # a filter may leave little, so it is measured
+    told, counted = J.measured_bytes(stored.select("x", "id"), few, limit=1000)
+    assert told > 64_000 and told != exact and counted == 10 * (16 + 8 + 16 + 64)
