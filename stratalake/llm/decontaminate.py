@@ -70,14 +70,23 @@ class Items:
         self.seed, self.seed_item = self.gram[kept], self.item[kept]
         self.seed_place = self.place[kept] - self.first[self.seed_item]
         self.keys = {int(k): np.unique(self.gram[kept & (self.width == k)]) for k in np.unique(self.width[kept])}
-        self.sieve = {k: _sieve(v) for k, v in self.keys.items()}
+        self._sieves = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_sieves": {}}  # tasks make their own: they are larger than all else
+
+    def sieve(self, k: int) -> np.ndarray:
+        """Which leading 24 bits the seeds of ``k`` words have."""
+        if k not in self._sieves:
+            self._sieves[k] = _sieve(self.keys[k])
+        return self._sieves[k]
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in a list of words where a seed begins, and the seeds' numbers."""
         found = []
         for k, keys in self.keys.items():
             g = grams(hashes, k)
-            at = np.flatnonzero(self.sieve[k][(g >> np.uint64(40)).astype(np.int64)])
+            at = np.flatnonzero(self.sieve(k)[(g >> np.uint64(40)).astype(np.int64)])
             at = at[keys[np.minimum(np.searchsorted(keys, g[at]), len(keys) - 1)] == g[at]]
             found.append((at, g[at]))
         if not found:
