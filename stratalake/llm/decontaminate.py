@@ -1,8 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-A training text meets a test item where they share a seed, an n-gram of the item that is rare in the corpus. Around the
+A training text meets a test item where they share a seed, any n-gram of the item however often it occurs. Around the
 seeds a window of the text is aligned with the item; the score counts matching words and charges replaced, missing and
-added ones, so edited copies score below exact ones by their edits. Texts never move: the test items are the stated
+added ones, so edited copies score below exact ones by their edits. Windows that cannot reach the score, by the words
+and seeds that they share with the item, are told before the alignment. Texts never move: the test items are the stated
 query set, sent to the tasks in blocks of bounded size, and each text is judged where it is read.
 """
 
@@ -20,10 +21,6 @@ from .common import Words, grams, text_batches
 
 #: Words of a seed.
 SEED_WORDS = 3
-#: A seed is rare if it occurs at most so often, in corpus texts ...
-RARE_SHARE = 1e-4
-#: ... or at most so many times as often as the item's rarest n-gram: a copied item's n-grams are all as frequent as its copies.
-RARE_TIMES = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: The least score, as a share of that of an exact copy, at which a passage counts as a copy.
 LEAST_SCORE = 0.6
@@ -62,18 +59,13 @@ class Items:
             if of.any():
                 gram[of] = grams(self.hashes, k)[place[of]]
         order = np.argsort(gram, kind="stable")
-        self.gram, self.item, self.place, self.width = gram[order], item[order], place[order], width[order]
-        self.use(np.ones(len(gram), bool))
-
-    def use(self, kept: np.ndarray) -> None:
-        """Take only these n-grams as seeds."""
-        self.seed, self.seed_item = self.gram[kept], self.item[kept]
-        self.seed_place = self.place[kept] - self.first[self.seed_item]
-        self.keys = {int(k): np.unique(self.gram[kept & (self.width == k)]) for k in np.unique(self.width[kept])}
-        self._sieves = {}
+        self.seed, self.seed_item = gram[order], item[order]
+        self.seed_place = place[order] - self.first[self.seed_item]
+        self.keys = {int(k): np.unique(gram[width == k]) for k in np.unique(width)}
+        self._sieves, self._words = {}, {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_sieves": {}}  # tasks make their own: they are larger than all else
+        return self.__dict__ | {"_sieves": {}, "_words": {}}  # tasks make their own: they are larger than all else
 
     def sieve(self, k: int) -> np.ndarray:
         """Which leading 24 bits the seeds of ``k`` words have."""
@@ -81,6 +73,19 @@ class Items:
             self._sieves[k] = _sieve(self.keys[k])
         return self._sieves[k]
 
+    def bound(self, own: int, passage: np.ndarray, hits: int) -> float:
+        """A score that no alignment of an item with a passage exceeds, where they share at most ``hits`` seeds.
+
+        Of m matched words, in runs that an edit parts, all but n - 1 a run begin a shared seed.
+        """
+        if own not in self._words:
+            self._words[own] = np.unique(self.hashes[self.first[own]:self.first[own + 1]], return_counts=True)
+        words, n = self._words[own]
+        at = np.minimum(np.searchsorted(words, passage), len(words) - 1)
+        m = int(np.minimum(np.bincount(at[words[at] == passage], minlength=len(words)), n).sum())
+        edits = (m - hits) / (self.n - 1) - 1 if 1 < self.n <= self.size[own] else 0
+        return MATCH * m + max(edits, 0) * max(MISMATCH, GAP)
+
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in a list of words where a seed begins, and the seeds' numbers."""
         found = []
@@ -124,7 +129,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 
 
 def _passages(items: Items, first: int, at: np.ndarray, number: np.ndarray, size: int):
-    """For each item that seeds of a text name: the passages to align, as places in the text's words."""
+    """For each item that seeds of a text name: the passages to align, as places in the text's words, and the item's seeds in the text."""
     low, high = np.searchsorted(items.seed, number), np.searchsorted(items.seed, number, side="right")
     count = high - low
     row = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
@@ -135,7 +140,7 @@ def _passages(items: Items, first: int, at: np.ndarray, number: np.ndarray, size
         own, length = int(item[k[0]]), int(items.size[item[k[0]]])
         room = max(int(length * MARGIN), 8)
         for part in np.split(begin[k], np.flatnonzero(np.diff(begin[k]) > room) + 1):
-            yield own, max(int(part[0]) - room, 0), min(int(part[-1]) + length + room, size)
+            yield own, max(int(part[0]) - room, 0), min(int(part[-1]) + length + room, size), len(k)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
@@ -145,20 +150,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     ``score`` is the alignment's share of an exact copy's, ``least`` or more. Words have no case and no ASCII
     punctuation; words are numbered from 0, ``end`` is past the last. Null and empty texts and items without words
     match nothing. Items with equal words are each reported; rows that repeat an id each report their own. Test items
-    are sent to the tasks in blocks of about ``block_words`` words, one pass over the texts for counting the n-grams and one for
-    aligning with each block, so any number of items is judged.
+    are sent to the tasks in blocks of about ``block_words`` words, one pass over the texts for each block, so any number of
+    items is judged.
     """
     name = id
     schema = T.StructType([docs.schema[id], benchmark.schema[item], *T._parse_datatype_string("score double, begin long, end long").fields])
     source = docs.select(F.col(id), F.col(text).alias("_text"))
-    total = None
     found = []
     for ids, texts in _blocks(benchmark.select(F.col(item).alias("id"), F.col(item_text).alias("text")), block_words):
         items = Items(ids, texts, seed_words)
-        if not len(items.gram):
+        if not len(items.seed):
             continue
-        total = source.count() if total is None else total
-        items.use(_rare(items, _counts(source, items), total))
         found.append(source.mapInArrow(_aligner(items, name, "_text", item, least), schema))
     if not found:
         return docs.sparkSession.createDataFrame([], schema)
@@ -183,33 +185,6 @@ def _blocks(items: DataFrame, block_words: int):
         yield ids, texts
 
 
-def _counts(source: DataFrame, items: Items) -> np.ndarray:
-    """In how many texts each n-gram of the items occurs, over all texts."""
-    def run(batches):
-        number, n = [], []
-        for _, texts in text_batches(batches, "_text"):
-            w = normalised(texts)
-            at, seen = items.hits(w.hashes())
-            owner = np.searchsorted(w.first, at, side="right") - 1
-            pairs = np.unique(np.stack([seen.view(np.int64), owner]), axis=1) if len(at) else np.zeros((2, 0), np.int64)
-            value, k = np.unique(pairs[0], return_counts=True)
-            number.append(value)
-            n.append(k)
-        if number:
-            value, where = np.unique(np.concatenate(number), return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(np.bincount(where, np.concatenate(n), len(value)).astype(np.int64))], names=["gram", "n"])
-
-    rows = source.select("_text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # n-grams of one block
-    counts = {r["gram"]: r["n"] for r in rows}
-    return np.array([counts.get(g, 0) for g in items.gram.view(np.int64).tolist()], np.int64)
-
-
-def _rare(items: Items, n: np.ndarray, total: int) -> np.ndarray:
-    least = np.full(len(items.ids), np.iinfo(np.int64).max)
-    np.minimum.at(least, items.item, n)
-    return n <= np.maximum(RARE_SHARE * total, RARE_TIMES * np.maximum(least, 1)[items.item])
-
-
 def _aligner(items: Items, name: str, text: str, item_name: str, least: float):
     def run(batches):
         for batch, texts in text_batches(batches, text):
@@ -224,9 +199,11 @@ def _aligner(items: Items, name: str, text: str, item_name: str, least: float):
             for k in np.split(np.arange(len(at)), np.flatnonzero(np.diff(owner)) + 1) if len(at) else ():
                 doc = int(owner[k[0]])
                 first, size = int(w.first[doc]), int(w.first[doc + 1] - w.first[doc])
-                for own, a, b in _passages(items, first, at[k][inside[k]], number[k][inside[k]], size):
-                    words = items.hashes[items.first[own]:items.first[own + 1]]
-                    score, begin, end = align(words, hashes[first + a:first + b])
+                for own, a, b, n in _passages(items, first, at[k][inside[k]], number[k][inside[k]], size):
+                    words, passage = items.hashes[items.first[own]:items.first[own + 1]], hashes[first + a:first + b]
+                    if items.bound(own, passage, n) < least * MATCH * len(words) - 1e-6:
+                        continue
+                    score, begin, end = align(words, passage)
                     share = score / (MATCH * len(words))
                     if share >= least and share > best.get((doc, own), (0,))[0]:
                         best[doc, own] = (share, a + begin, a + end)

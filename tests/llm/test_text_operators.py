@@ -188,6 +188,26 @@ def test_decontamination_of_copies_everywhere(spark):
     assert decontaminate.contaminated(frame(spark, texts), benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_of_repeated_edited_and_partial_copies(spark):
+    items = [prose(40), prose(40), prose(30), prose(20)]
+    edited, scattered = items[0].split(), items[2].split()
+    edited[17] = "changed"
+    for k in range(3, 30, 5):
+        scattered[k] = "changed"
+    copies = [" ".join(edited), " ".join(items[1].split()[:28]), " ".join(scattered), " ".join(items[1].split()[:20])]
+    texts = [f"{prose(8)} {copies[k % 4]} {prose(8)}" for k in range(800)] + [f"{prose(8)} {t}" for t in items[:3]] + [prose(60) for _ in range(40)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(frame(spark, texts), benchmark).collect()}
+    wanted = {}
+    for d, t in enumerate(texts):
+        for i, item in enumerate(items):
+            if len(set(t.split()) & set(item.split())) >= 0.5 * len(set(item.split())):
+                score = brute_align(item.split(), t.split()) / (2 * len(item.split()))
+                if score >= decontaminate.LEAST_SCORE:
+                    wanted[d, i] = score
+    assert len(wanted) == 603 and got == pytest.approx(wanted)
+
+
 # licences
 
 def brute_dice(text, template):
