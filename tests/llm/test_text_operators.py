@@ -256,6 +256,18 @@ def test_quality_ranking(spark):
     assert again == pytest.approx({r.doc_id: r.score for r in rows})
 
 
+def test_quality_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    sizes, kept = [], quality.Ranking.__init__
+    monkeypatch.setattr(quality.Ranking, "__init__", lambda self, x, y: (sizes.append(len(x)), kept(self, x, y))[1])
+    texts = [prose(9) if i % 2 else prose(9).upper() for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    once = quality.fit(frame(spark, texts), labels)
+    again = quality.fit(frame(spark, texts + [texts[1]] * 500, [*range(40), *[1] * 500]), labels)
+    assert sizes[0] == sizes[1] <= 40 and again.weights == pytest.approx(once.weights)
+    quality.fit(frame(spark, texts + [f"{texts[1]} {k}" for k in range(500)], [*range(40), *[1] * 500]), labels, labelled=100)
+    assert sizes[2] <= 200
+
+
 @pytest.mark.parametrize(("values", "score"), [([], 1.0), ([1, 1], 1.0), ([0, 0], 0.0)])
 def test_quality_without_two_classes(spark, values, score):
     docs = frame(spark, ["a b", "c d", None])
