@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.sources.shared import new_folder
 
-from . import caps, decontaminate, licenses, packing, quality, sharding, simhash, substrings, urls, warc
+from . import caps, decontaminate, interactions, licenses, packing, quality, sharding, simhash, substrings, urls, warc
 from .common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,32 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence passages of every document."""
     return licenses.scan(_table(spark, folder, "documents"))
+
+
+@query("op11_filter_interactions", r"""
+    with w as (select doc_id, coalesce(lang, '') part, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+    first as (select t, min(doc_id) id from w group by t),
+    says as (select doc_id, max(case when quality = 1 then 1 else 0 end) good, max(case when toxic = 1 then 1 else 0 end) toxic from labels group by doc_id),
+    fails as (select part, coalesce(good, 0) good, coalesce(toxic, 0) toxic,
+        (case when len(w) < 200 then 1 else 0 end) + (case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end)
+        + (case when 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t) then 4 else 0 end)
+        + (case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end) + (case when doc_id > first.id then 16 else 0 end) mask
+        from w join first using (t) left join says using (doc_id)),
+    cells as (select part, mask, count(*) n, sum(good) good, sum(toxic) toxic from fails group by part, mask),
+    f(letter, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    orders as (select a.letter || b.letter || c.letter || d.letter || e.letter filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] bits
+        from f a, f b, f c, f d, f e where (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+    steps as (select filter_order, step, bits[step] bit, cast(coalesce(list_sum(bits[1:step - 1]), 0) as int) before
+        from orders, range(1, 6) s(step)),
+    told as (select part, filter_order, step, bit,
+        sum(n) filter (mask & (before | bit) = 0) kept, sum(n) filter (mask & before = 0 and mask & bit <> 0) removed,
+        sum(n) filter (mask & before <> 0 and mask & bit <> 0) redundant, sum(n) filter (mask = bit) unique_fails,
+        sum(good) filter (mask & before = 0 and mask & bit <> 0) good_lost, sum(toxic) filter (mask & before = 0 and mask & bit <> 0) toxic_lost
+        from cells cross join steps group by part, filter_order, step, bit)
+    select part, filter_order, cast(step as int) step, cast(coalesce(kept, 0) as bigint) kept, cast(coalesce(removed, 0) as bigint) removed,
+        cast(coalesce(redundant, 0) as bigint) redundant, cast(coalesce(unique_fails, 0) as bigint) unique_fails,
+        cast(coalesce(good_lost, 0) as bigint) good_lost, cast(coalesce(toxic_lost, 0) as bigint) toxic_lost,
+        cast(coalesce(sum(removed) over (partition by part, bit), 0) as bigint) shapley from told""")
+def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    """What each step of every order of five document filters removes, by language."""
+    return interactions.audit_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
