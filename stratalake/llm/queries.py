@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.sources.shared import new_folder
 
-from . import caps, decontaminate, interactions, licenses, packing, quality, sharding, simhash, substrings, urls, warc
+from . import caps, cascade, decontaminate, interactions, licenses, packing, quality, sharding, simhash, substrings, urls, warc
 from .common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,32 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
     """What each step of every order of five document filters removes, by language."""
     return interactions.audit_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query("op12_quality_rules", r"""
+    with d as (select doc_id, coalesce(text, '') t from documents),
+    w as (select doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') w,
+          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) l from d),
+    words as (select doc_id, unnest(w) word, generate_subscripts(w, 1) i from w),
+    windows as (select doc_id, i, count(*) over f n, string_agg(word, ' ') over f s from words
+                window f as (partition by doc_id order by i rows between current row and 7 following)),
+    again as (select doc_id, i, n = 8 and count(*) over (partition by doc_id, n = 8, s) > 1 again from windows),
+    marked as (select doc_id, bool_or(again) over (partition by doc_id order by i rows between 7 preceding and current row) m from again),
+    repeats as (select doc_id, count(*) filter (m) n_repeat_words from marked group by doc_id),
+    base as (select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) word_chars,
+          cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) n_symbols,
+          cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines, coalesce(n_repeat_words, 0) n_repeat_words, len(l) n_lines,
+          length(regexp_replace(t, '[^A-Z]', '', 'g')) capitals, length(regexp_replace(t, '[^!]', '', 'g')) marks,
+          len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) ellipses,
+          len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*(- |\* |•)'))) bullets,
+          len(list_filter(w, lambda x: not regexp_matches(x, '[A-Za-z\x{80}-\x{10ffff}]'))) bare,
+          coalesce(list_max(map_values(list_histogram(w))), 0) most from w left join repeats using (doc_id)),
+    judged as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words base_failed from base)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        not (base_failed or 100 * n_symbols > 10 * n_words or word_chars < 2 * n_words or word_chars > 12 * n_words
+             or 100 * n_dup_lines > 50 * n_lines or 100 * capitals > 30 * word_chars or 100 * marks > 20 * n_words or 100 * ellipses > 30 * n_lines
+             or 100 * bullets > 90 * n_lines or 100 * bare > 40 * n_words or 100 * most > 30 * n_words) kept
+    from judged""")
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts of every document and whether the cascade keeps it."""
+    return cascade.cascade(_table(spark, folder, "documents")).drop("rejected_by")
