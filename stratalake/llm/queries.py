@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalake.sources.shared import new_folder
 
-from . import caps, cascade, decontaminate, interactions, licenses, packing, quality, sharding, simhash, substrings, urls, warc
+from . import caps, cascade, decontaminate, interactions, licenses, packing, quality, runs, sharding, simhash, substrings, urls, warc
 from .common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,15 @@ def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
 def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts of every document and whether the cascade keeps it."""
     return cascade.cascade(_table(spark, folder, "documents")).drop("rejected_by")
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of which are given one, with digests of all runs and of the collapsed words."""
+    docs = _table(spark, folder, "documents")
+    docs = docs.select("doc_id", runs.periodic_words(F.col("text"), F.col("doc_id")).alias("text"))
+    found = runs.collapsed(docs).withColumn("top", runs.longest())
+    told = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n")))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"), F.sha2(told, 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
