@@ -96,7 +96,7 @@ def audit(counts: DataFrame, names: str, outcomes: list[str]) -> DataFrame:
     task holds that many numbers at a time.
     """
     k = len(names)
-    if k > MOST_FILTERS or len(set(names)) != k:
+    if not 1 <= k <= MOST_FILTERS or len(set(names)) != k:
         raise ValueError(f"one to {MOST_FILTERS} filters of different letters are needed")
     orders = ["".join(o) for o in permutations(names)]
     place = {f: i for i, f in enumerate(names)}
