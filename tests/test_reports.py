@@ -8,7 +8,7 @@ from stratalake.plans.registry import Tables
 
 def test_layers_follow_the_files(spark, tmp_path):
     for name in R._SOURCES:
-        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
     t = Tables(spark, str(tmp_path))
     first = R.demo(t)
     n_orders = t.orders.count()
