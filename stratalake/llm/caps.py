@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.operators.joins import attach
+
 from .common import components, stored, trim
 
 COSINE = 0.98
@@ -112,8 +114,8 @@ def linked(vectors: DataFrame, id: str = "vec_id", embedding: str = "embedding",
 
     lists = T.StructType([*(classes.schema[c] for c in ("rid", "label", "d")), T.StructField("f", T.LongType())])
     listed = stored(classes.select("rid", "label", "d", "v").mapInArrow(decode, lists), "filters")
-    fill = listed.groupBy("label", "d", "f").agg(F.count("*").alias("k")).where("k > 1")
-    shared = listed.join(fill, ["label", "d", "f"]).select("rid", "f", F.ceil(F.col("k") / block).cast("int").alias("blocks"))
+    fill = stored(listed.groupBy("label", "d", "f").agg(F.count("*").alias("k")).where("k > 1"), "fill")
+    shared = attach(listed, fill, ["label", "d", "f"]).select("rid", "f", F.ceil(F.col("k") / block).cast("int").alias("blocks"))
     mine = shared.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("f", "blocks"))).alias("own"))  # a vector's own filters
     whole = classes.join(mine, "rid").withColumn("fs", F.transform("own", lambda x: x["f"])).withColumn("o", F.explode("own"))
     whole = whole.select("rid", "label", "d", "v", "n", "fs", F.col("o.f").alias("f"), F.col("o.blocks").alias("blocks"),
@@ -135,9 +137,10 @@ def linked(vectors: DataFrame, id: str = "vec_id", embedding: str = "embedding",
     links = found.groupBy("rid").agg(F.sum("links").alias("links"))
     placed = classes.join(links, "rid", "left").join(roots.withColumnRenamed("node", "rid"), "rid", "left")
     placed = placed.select("label", "v", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "rid").alias("root"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = placed.join(least, "root").select("label", "v", "n_links", "component_id")
-    good = rows.where("sound").join(placed, ["label", "v"]).select("id", "n_links", "component_id")
+    placed = stored(placed, "placed")
+    least = stored(placed.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    placed = stored(attach(placed, least, "root").select("label", "v", "n_links", "component_id"), "component")
+    good = attach(rows.where("sound"), placed, ["label", "v"]).select("id", "n_links", "component_id")
     rest = rows.where("not sound").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = good.unionByName(rest)
     return out.select(F.col("id").alias(id), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.joins import attach
 from stratalake.sources.shared import new_folder
 
 #: Bytes of text that a task turns into arrays at a time; a longer text is a batch of its own.
@@ -149,9 +150,10 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of links (u, v) between ordered ids: a row (node, root) for each node of a link.
 
-    ``root`` is the smallest node of the component. Alternating large-star and small-star steps: each step's links are
-    stored, a node's smallest neighbour comes from an aggregation that combines before the shuffle, and a hub meets
-    its many links in a join that adaptive execution can split. No links: no rows.
+    ``root`` is the smallest node of the component. Alternating large-star and small-star steps. A node's smallest
+    neighbour comes from an aggregation that combines before its shuffle and is stored, so that the join back to its
+    links has both sides at hand: it is a broadcast where the stored side measures small, else the links of hubs are
+    spread over many tasks. No links: no rows.
     """
     links = stored(_oriented(edges.select("u", "v")).where("u > v").distinct(), "links")
     state = None
@@ -162,10 +164,11 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = attach(both, stored(least, "least"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.distinct(), "large-star")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         pairs = F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        small = large.join(least, "u").select(F.explode(pairs).alias("p")).select("p.u", "p.v").where("u != v").distinct()
+        small = attach(large, least, "u").select(F.explode(pairs).alias("p")).select("p.u", "p.v").where("u != v").distinct()
         links = stored(small, "links")
     nodes = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
@@ -173,3 +176,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _oriented(edges: DataFrame) -> DataFrame:
     return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """The frame with columns c0, c1, ..., names that no operator uses for its own; ``toDF`` gives the old ones back."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])

@@ -123,11 +123,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Needs a column ``length`` (1 to ``capacity``); all others travel along. Offsets in a sequence leave no gap and
     begin at 0. Each task numbers its pieces by length, the numbers are stored, and totals of the tasks before it are
-    added, so a length that a third of all pieces share needs no common task. Equal rows are placed one by one. No
-    rows: an empty result.
+    added, so a length that a third of all pieces share needs no common task. Equal rows are placed one by one. Columns
+    named like a result are replaced by it. No rows: an empty result.
     """
-    if {"_part", "_nth"} & set(pieces.columns):
-        raise ValueError("_part and _nth are names of this operator")
+    pieces = pieces.drop("sequence_id", "offset")
 
     def number(batches):
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)

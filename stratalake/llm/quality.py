@@ -120,9 +120,11 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
 
 def scored(docs: DataFrame, ranking: Ranking, text: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1, never null) and ``predicted`` (1 from ``CUT`` on). Null texts count as empty."""
-    if {"score", "predicted"} & set(docs.columns):
-        raise ValueError("score and predicted are names of this operator")
+    """``docs`` with ``score`` (0 to 1, never null) and ``predicted`` (1 from ``CUT`` on). Null texts count as empty.
+
+    Columns of ``docs`` named like one of these are replaced by it. No rows: an empty result.
+    """
+    docs = docs.drop("score", "predicted")
     names = docs.columns
 
     def run(batches):

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.operators.joins import attach
+
 from .common import Words, components, stored, text_batches
 
 RADIUS = 4
@@ -96,7 +98,7 @@ def bucket_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) ->
     counted = stored(counted.where("n > 1"), "buckets")
     near = F.expr(f"bit_count(u ^ v) <= {radius}")
     two = counted.where("n = 2").where(near).select("u", "v")
-    members = rows.join(counted.where("n > 2").select("t", "key", "n"), ["t", "key"])
+    members = attach(rows, counted.where("n > 2").select("t", "key", "n"), ["t", "key"])
 
     def within(batches):
         for batch in batches:
@@ -141,8 +143,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", buc
     """For each row of ``docs``: id, ``fingerprint`` (16 hex digits) and ``component_id``.
 
     Fingerprints that differ in at most four bits are linked; ``component_id`` is the smallest id that links reach, the
-    own one included. Equal fingerprints are one class before any search, so copies cost one row each, and a hot
-    class (empty texts, say) meets its component in a join that adaptive execution can split. Rows with a repeated id
+    own one included. Equal fingerprints are one class before any search, so copies cost one row each; a hot class
+    (empty texts, say) or component meets its result by broadcast, or spread over many tasks. Rows with a repeated id
     each get a result; a null id keeps its place and is nobody's ``component_id`` unless its component has no other.
     Columns besides id and text are not read. No rows: an empty result.
     """
@@ -150,7 +152,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", buc
     classes = stored(found.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     roots = components(bucket_links(classes.select("fp"), bucket=bucket)).select(F.col("node").alias("fp"), "root")
     placed = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = placed.join(least, "root").select("fp", "component_id")
-    out = found.join(component, "fp")
+    placed = stored(placed, "placed")
+    least = stored(placed.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    component = stored(attach(placed, least, "root").select("fp", "component_id"), "component")
+    out = attach(found, component, "fp")
     return out.select(F.col("id").alias(id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, grams, release_shuffles, stored, text_batches, trim
+from .common import Words, grams, plain_names, release_shuffles, stored, text_batches, trim
 
 WINDOW = 20
 #: Words of the n-grams that minimisers are taken from.
@@ -239,10 +239,15 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int =
     start earlier (see ``repeated_spans``); windows are judged on the input. A null text has no words and an empty
     ``kept``. Rows that repeat an id are judged by (id, start) like others, so a full copy under the same id keeps its
     words; one under another id loses them from its 20th word on backwards, that is all covered words. Other columns
-    travel along. No rows: an empty result.
+    travel along; those named like a result are replaced by it. No rows: an empty result.
     """
-    if {"_spans", "_tag", "_id", "kept", "n_words", "n_removed"} & set(docs.columns):
-        raise ValueError("_spans, _tag, _id, kept, n_words and n_removed are names of this operator")
+    docs = docs.drop("kept", "n_words", "n_removed")
+    names, docs = docs.columns, plain_names(docs)
+    found = _removed(docs, f"c{names.index(id)}", f"c{names.index(text)}", window, gram, share)
+    return found.toDF(*names, "kept", "n_words", "n_removed")
+
+
+def _removed(docs: DataFrame, id: str, text: str, window: int, gram: int, share: float) -> DataFrame:
     spans = stored(repeated_spans(docs, id, text, window, gram, share), "spans")
     release_shuffles(docs.sparkSession)  # the super-k-mers take more disk than the texts, which are shuffled next
     spans = spans.groupBy(F.col(id).alias("_id"), F.col("tag").alias("_tag")).agg(
