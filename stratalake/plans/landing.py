@@ -10,7 +10,7 @@ from stratalake.plans import sql_parts as S
 from stratalake.plans.registry import Tables, query
 from stratalake.sources.contract import Contract, enforce
 from stratalake.sources.lake import Lake
-from stratalake.sources.landing import file_inventory, scan_by_name, scan_landing, sink_landing
+from stratalake.sources.landing import file_inventory, landing_inventory, scan_by_name, scan_landing, sink_landing
 from stratalake.sources.shared import new_folder
 from stratalake.streaming.ingest import IncrementalIngest
 
@@ -69,6 +69,28 @@ def inventory(t: Tables):
         F.sum("n_rows").alias("n_rows"), (F.min("file_size") > 0).alias("has_bytes"))
 
 
+@query("landing_inventory", """
+    SELECT delivery, n_files, n_rows, has_bytes FROM (
+      SELECT 'orders ' || o_orderstatus AS delivery, CAST(1 AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n_rows, true AS has_bytes
+        FROM orders GROUP BY o_orderstatus UNION ALL
+      SELECT 'header only', 1, 0, true UNION ALL SELECT 'empty', 1, 0, false)""")
+def inventory_of_all(t: Tables):
+    """A file per status, one with nothing but a header, and one without a byte."""
+    path = new_folder(t.spark, "inventory")
+    statuses = [r[0] for r in t.orders.select("o_orderstatus").distinct().collect()]
+    for status in statuses:
+        sink_landing(_orders(t).where(F.col("o_orderstatus") == status).coalesce(1), f"{path}/orders {status}")
+    head = t.spark.createDataFrame([(",".join(ORDERS.names),)], "value string")
+    head.coalesce(1).write.text(f"{path}/header only")
+    t.spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/empty")
+    schema = ORDERS.schema()
+    scanned = t.spark.read.schema(schema).option("header", "true").option("recursiveFileLookup", "true").csv(path)
+    files = landing_inventory(t.spark, path, scanned)
+    folder = F.regexp_extract(F.url_decode("file_path"), "/([^/]+)/[^/]+$", 1)
+    return files.groupBy(folder.alias("delivery")).agg(
+        F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows"), (F.min("file_size") > 0).alias("has_bytes"))
+
+
 @query("sink_table_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def sink_table_roundtrip(t: Tables):
     lake = Lake(t.spark, new_folder(t.spark, "tables"), f"roundtrip_{uuid.uuid4().hex[:8]}").setup()
@@ -104,3 +126,23 @@ def incremental_ingest(t: Tables):
         sink_landing(t.events.where(delivery == number).select(*EVENTS.names), landing, append=True)
         ingest.run()
     return ingest.good().drop("batch_id")
+
+
+@query("ingest_drift", """
+    WITH e AS (SELECT *, event_id % 4 AS delivery FROM events)
+    SELECT 'good' AS verdict, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users, CAST(count(DISTINCT delivery) AS BIGINT) AS n_deliveries
+      FROM e WHERE delivery < 3 UNION ALL
+    SELECT 'quarantine', count(*), NULL, CAST(count(DISTINCT delivery) AS BIGINT) FROM e WHERE delivery = 3""")
+def ingest_drift(t: Tables):
+    """Four deliveries to one stream: the second with its columns in another order, the last without one of them."""
+    base = new_folder(t.spark, "drift")
+    ingest = IncrementalIngest(t.spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint", EVENTS)
+    orders = [EVENTS.names, EVENTS.names[::-1], EVENTS.names, EVENTS.names[:-1]]
+    for k, columns in enumerate(orders):
+        sink_landing(t.events.where(F.col("event_id") % 4 == k).select(*columns), f"{base}/landing", append=True)
+        ingest.run()
+    users = F.sum("user_id").alias("users")
+    good = ingest.good().agg(F.lit("good").alias("verdict"), F.count("*").alias("n"), users, F.count_distinct("batch_id").alias("n_deliveries"))
+    broken = ingest.quarantine().agg(F.lit("quarantine").alias("verdict"), F.count("*").alias("n"), F.lit(None).cast("bigint").alias("users"),
+                                     F.count_distinct("batch_id").alias("n_deliveries"))
+    return good.unionByName(broken)

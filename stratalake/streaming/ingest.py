@@ -6,17 +6,23 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.sources.contract import REASONS, Contract, judged
-from stratalake.sources.landing import CSV_OPTIONS
+from stratalake.sources.landing import scan_by_name
 
 _CORRUPT = "_corrupt"
 
 
+#: Columns of a listing of files.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 class IncrementalIngest:
     """Landing directory -> bronze files, with the contract checked on the way.
 
-    The stream's checkpoint remembers which files were taken. Each micro-batch replaces the folder of its
-    own batch number, so a batch that is repeated after a failure leaves the same rows. Accepted and
-    refused rows are written in one pass, told apart by the ``verdict`` folder level.
+    The stream lists files without reading them; its checkpoint remembers which were taken. Each micro-batch reads its
+    files by their headers: columns may stand in any order, and the lines of a file whose header does not name the
+    contract's columns go to quarantine while the stream goes on. A micro-batch replaces the folder of its own batch
+    number, so one that is repeated after a failure leaves the same rows. Accepted and refused rows are written in one
+    pass, told apart by the ``verdict`` folder level.
     """
 
     def __init__(
@@ -29,12 +35,10 @@ class IncrementalIngest:
     def run(self) -> None:
         """Take all files that have arrived since the last run, then stop."""
         arriving = (
-            self.spark.readStream.schema(self.contract.raw_schema(_CORRUPT))
-            .options(**CSV_OPTIONS)
-            .option("columnNameOfCorruptRecord", _CORRUPT)
-            .option("enforceSchema", "false")  # a file with other columns, or in another order, stops the run
+            self.spark.readStream.format("binaryFile").schema(_FILES)
             .option("maxFilesPerTrigger", self.files_per_batch)
-            .csv(self.landing)
+            .load(self.landing)
+            .select(F.col("_metadata.file_path").alias("file"))
         )
         query = (
             arriving.writeStream.foreachBatch(self._write_batch)
@@ -45,12 +49,14 @@ class IncrementalIngest:
         query.awaitTermination()
 
     def _write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        files = sorted(r["file"] for r in batch.collect())  # at most files_per_batch paths
+        rows = scan_by_name(self.spark, files, self.contract, _CORRUPT) if files else self.spark.createDataFrame([], self.contract.raw_schema(_CORRUPT))
         raw = F.coalesce(F.col(_CORRUPT), F.to_json(F.struct(*self.contract.names)))
-        checked = judged(batch.withColumn("_raw", raw), self.contract, keep=["_raw"], corrupt=_CORRUPT)
+        checked = judged(rows.withColumn("_raw", raw), self.contract, keep=["_raw"], corrupt=_CORRUPT)
         good = F.size(REASONS) == 0
-        rows = checked.withColumn("_raw", F.when(~good, F.col("_raw"))).withColumn(
+        kept = checked.withColumn("_raw", F.when(~good, F.col("_raw"))).withColumn(
             "verdict", F.when(good, "good").otherwise("quarantine"))
-        rows.write.mode("overwrite").partitionBy("verdict").parquet(f"{self.target}/batch_id={batch_id}")
+        kept.write.mode("overwrite").partitionBy("verdict").parquet(f"{self.target}/batch_id={batch_id}")
 
     def _read(self, verdict: str) -> DataFrame:
         columns = ", ".join(f"`{f.name}` {f.type}" for f in self.contract.fields)
