@@ -13,7 +13,7 @@ FORMATS = {
     "tax_id": r"^[0-9]{3}\.[0-9]{3}\.[0-9]{3}-[0-9]{2}$",
     "health_card": r"^700 [0-9]{4} [0-9]{4} [0-9]{3}$",
     "registry_id": r"^[0-9]{2}\.[0-9]{3}\.[0-9]{3}-[0-9]$",
-    "email": r"^[a-z0-9._]+@[a-z0-9.]+$",
+    "email": r"^[a-z0-9._]+@[a-z0-9]+(\.[a-z0-9]+)+$",
     "phone": r"^\([0-9]{2}\) 9[0-9]{4}-[0-9]{4}$",
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -34,27 +35,27 @@ class ClassModel:
         class. Rows that repeat a key are one text. Weights are broadcast where they measure small, else the join is spread
         over frequent words; a text comes back as one row of partial sums from each task.
         """
+        keys = texts.select(F.col(key)).distinct()
+        if not self.classes:
+            return keys.select(key, F.lit(None).cast("string").alias("predicted"), F.lit(None).cast("double").alias("score"))
         counts = word_counts(texts, key, text)
         weighted = attach(counts, self.words, "word")
         sums = [F.sum(F.col("n") * F.col(f"w{i}")).alias(f"s{i}") for i in range(len(self.classes))]
         scored = weighted.groupBy(key).agg(*sums)
-        keys = texts.select(F.col(key)).distinct()
         told = keys.join(scored, key, "left")
         options = [F.struct((F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(p)).alias("score"), F.lit(-i).alias("order"), F.lit(c).alias("predicted"))
                    for i, (c, p) in enumerate(zip(self.classes, self.priors))]
-        best = F.array_max(F.array(*options)) if options else F.lit(None).cast("struct<score: double, order: int, predicted: string>")
-        return told.select(key, best.alias("best")).select(key, "best.predicted", "best.score")
+        return told.select(key, F.array_max(F.array(*options)).alias("best")).select(key, "best.predicted", "best.score")
 
 
 def fit_classes(texts: DataFrame, labels: DataFrame, key: str, text: str, label: str, *, smoothing: float = 1.0) -> ClassModel:
-    """The model of all labelled texts. ``labels`` has one row per key; NULL labels and keys are passed over.
+    """The model of all labelled texts. Of several labels of a key the smallest counts; NULL labels and keys are passed over.
 
     A class's share of the labelled texts is its prior. A word's probability in a class is its count plus
     ``smoothing`` over the class's words plus ``smoothing`` times the words that any class holds.
     """
-    import math
-
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(key, F.col(label).alias("__class"))
+    known = known.groupBy(key).agg(F.min("__class").alias("__class"))
     told = attach(texts.select(key, F.col(text).alias("__text")), known, key)
     shares = {r["__class"]: r["n"] for r in told.groupBy("__class").agg(F.count("*").alias("n")).limit(MOST_CLASSES + 1).collect()}
     if len(shares) > MOST_CLASSES:
@@ -62,7 +63,7 @@ def fit_classes(texts: DataFrame, labels: DataFrame, key: str, text: str, label:
     classes = sorted(shares)
     n = sum(shares.values())
     words = told.select("__class", F.explode(text_words("__text")).alias("word"))
-    counts = words.groupBy("word").agg(*[F.count_if(F.col("__class") == c).alias(f"n{i}") for i, c in enumerate(classes)])
+    counts = words.groupBy("word").agg(F.count("*").alias("n"), *[F.count_if(F.col("__class") == c).alias(f"n{i}") for i, c in enumerate(classes)])
     folder = new_folder(texts.sparkSession, "class-counts")
     counts.write.parquet(folder)
     counts = texts.sparkSession.read.schema(counts.schema).parquet(folder)

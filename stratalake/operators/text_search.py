@@ -20,7 +20,7 @@ def char_grams(text: Column | str, n: int = 3) -> Column:
 
     NULL and blank texts have none.
     """
-    bare = F.regexp_replace(F.trim(F.regexp_replace(F.lower(col(text)), r"\\s+", " ")), "^$", "")
+    bare = F.trim(F.regexp_replace(F.lower(col(text)), r"\s+", " "))
     chars = F.split(F.concat(F.lit(" "), bare, F.lit(" ")), "")
     chars = F.filter(chars, lambda c: c != "")
     # shifted copies side by side: no place is looked up, so long texts cost their length

@@ -56,16 +56,19 @@ def fit_centres(corpus: DataFrame, key: str, vector: str, cells: int, rounds: in
     Each round assigns the sample in tasks and averages it by an aggregation; the driver holds the centres alone.
     """
     sample = SAMPLE_PER_CELL * cells if sample is None else sample
-    rows = corpus.select(key, vector).where(F.col(vector).isNotNull())
+    directed = F.exists(vector, lambda x: x != 0) & F.forall(vector, lambda x: F.coalesce(F.abs(x) < math.inf, F.lit(False)))
+    rows = corpus.select(key, vector).where(F.col(vector).isNotNull() & directed)
     n = rows.count()
     if n > sample:
         rows = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(sample / n * (1 << 30)) + 1)
     rows = _stored(rows, "centre-sample")
     first = rows.groupBy(vector).agg(F.min(F.xxhash64(key)).alias("h")).orderBy("h").limit(cells).collect()  # different vectors, at most `cells`
-    centres = np.array([r[0] for r in first], dtype="float64").reshape(len(first), -1)
+    if not first:
+        return np.zeros((0, 1))
+    centres = np.array([r[0] for r in first], dtype="float64")
     length = np.linalg.norm(centres, axis=1)
-    centres = centres[length > 0] / length[length > 0][:, None]
-    for _ in range(rounds if len(centres) else 0):
+    centres /= length[:, None]
+    for _ in range(rounds):
         placed = _with_cell(rows, vector, centres, 1).withColumn("cell", F.col("__cells")[0])
         told = centroids(placed, "cell", vector).collect()  # a row per cell
         new = centres.copy()
