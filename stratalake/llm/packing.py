@@ -1,11 +1,16 @@
 """Packing of token pieces into sequences by a configuration linear program.
 
 The histogram of piece lengths (at most one row per length) says everything about the packing. A configuration is a
-multiset of lengths that fits one sequence; the program asks for the fewest sequences that hold every length as often
-as it occurs. Multiplicative weights price the lengths: a length's weight falls with the share of it that is covered.
-A knapsack dynamic program finds the best configuration under these prices, and the best one through each length;
-those near the optimum get copies. Copies are whole numbers, what stays uncovered is rounded in by best fit, and the
-plan - which pieces of a length go to which configuration - is then looked up by length and running number.
+multiset of lengths that fits one sequence; the program asks for the fewest sequences, in fractions, whose configurations
+hold every length as often as it occurs. Multiplicative weights price the lengths: a price falls exponentially with the
+length's coverage. A knapsack dynamic program finds the best value of a configuration under these prices and the best
+configuration through each length; those near the best value are taken, prices fall, and so on. Prices also bound the
+number of sequences from below (their sum over all pieces by the best value), so the search ends when the fractional
+solution is close to the best bound. Later phases start from the best prices with smaller steps. The solution is rounded
+down to whole copies. For what stays uncovered (much of it where there are thousands of lengths, few pieces each), the
+best prices go on: knapsacks over the lengths left give configurations in whole copies, prices falling with the share
+that is covered. The last pieces are put in by best fit. The plan - which pieces of a length go to which configuration -
+is then looked up by length and running number.
 """
 
 from __future__ import annotations
@@ -21,6 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.operators.joins import attach
+
 from .common import stored, text_batches
 
 CAPACITY = 4096
@@ -73,16 +80,19 @@ class WordIds:
             self.words[w] = b"".join([self.cores[p] for p in own])
         return [b"".join([self.words[w] for w in own]) for own in split]
 
-    @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, ...]:
+    def _parts(self, word: bytes) -> tuple[bytes, ...]:
         core = word.rstrip(_MARKS)
         if len(core) == len(word) or b"<|" in word:
             return (word,)
-        end = core[-1:]
-        if end.isalnum() or end and core.decode("utf-8", "replace")[-1].isalpha():
+        if core[-1:].isalnum() or core and self._normal(core)[-1:].isalpha():
             return core, word[len(core):]
         return (word,)
 
+    def _normal(self, word: bytes) -> str:
+        """A word as the tokenizer sees it: a letter may become a letter and a mark."""
+        text = word.decode("utf-8", "replace")
+        return self.model.normalizer.normalize_str(text) if self.model.normalizer else text
+
 
 _encoders: dict[str, WordIds] = {}  # of this Python worker
 
@@ -123,10 +133,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Needs a column ``length`` (1 to ``capacity``); all others travel along. Offsets in a sequence leave no gap and
     begin at 0. Each task numbers its pieces by length, the numbers are stored, and totals of the tasks before it are
-    added, so a length that a third of all pieces share needs no common task. Equal rows are placed one by one. Columns
+    added, so a length that a third of all pieces share needs no common task; the totals, a row per task and length, are
+    broadcast where they measure small and joined in a shuffle beyond. Equal rows are placed one by one. Columns
     named like a result are replaced by it. No rows: an empty result.
     """
     pieces = pieces.drop("sequence_id", "offset")
+    names, rest = pieces.columns, [c for c in pieces.columns if c != "length"]
+    plain = pieces.select("length", *rest).toDF("length", *[f"c{k}" for k in range(len(rest))])
+    placed = _placed(plain, capacity).toDF("length", *rest, "sequence_id", "offset")
+    return placed.select(*names, "sequence_id", "offset")
+
+
+def _placed(pieces: DataFrame, capacity: int) -> DataFrame:
 
     def number(batches):
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
@@ -145,7 +163,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     numbered = stored(pieces.mapInArrow(number, T.StructType([*pieces.schema.fields, *extra])), "pieces")
     counts = stored(numbered.groupBy("length", "_part").agg(F.count("*").alias("n")), "lengths")
     before = F.sum("n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select("length", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    starts = stored(counts.select("length", "_part", F.coalesce(before, F.lit(0)).alias("_before")), "starts")
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}  # a row for each length
     key, first, sequence, times, offset = _lookup(plan(histogram, capacity))
 
@@ -161,7 +179,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 names=[*names, "sequence_id", "offset"])
 
     out = T.StructType([*pieces.schema.fields, *T._parse_datatype_string("sequence_id long, offset long").fields])
-    joined = numbered.join(starts, ["length", "_part"]).select(*numbered.columns, "_before")
+    joined = attach(numbered, starts, ["length", "_part"]).select(*numbered.columns, "_before")
     return joined.mapInArrow(place, out)
 
 
@@ -184,57 +202,172 @@ def _running(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 60, rate: float = 0.1,
-         slack: float = 0.02, step: float = 0.25) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Configurations with their numbers of copies, [(copies, [(length, times), ...]), ...], that use up the histogram.
-
-    ``rate``: how steeply a covered length loses weight; ``slack``: how far below the best price a configuration may
-    be; ``step``: the share of a length's pieces that one configuration may take in one round.
-    """
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Configurations with their numbers of copies, [(copies, [(length, times), ...]), ...], that use up the histogram."""
     size = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         size[length] = n
-    left, copies = size.copy(), defaultdict(int)
+    lengths = np.flatnonzero(size)
+    if not len(lengths):
+        return []
+    shares, prices, bound = solve(lengths, size[lengths], capacity)
+    options = []
+    if shares and sum(shares.values()) <= (1 + _LOOSE) * bound:
+        copies, left = {}, size.copy()
+        for config, x in sorted(shares.items(), key=lambda c: (-c[1], c[0])):
+            _take(config, int(x + 1e-9), copies, left)
+        options.append((copies, left))
+    options.append(({}, size.copy()))
+    plans = [_rounded({}, size, capacity)]  # where every share is below one copy, rounding leaves all pieces to best fit
+    for copies, left in options:
+        _extract(lengths, prices, size, copies, left, capacity)
+        plans.append(_rounded(copies, left, capacity))
+    return min(plans[::-1], key=lambda o: sum(n for n, _ in o))
+
+
+def _take(config: tuple, n: int, copies: dict, left: np.ndarray) -> int:
+    """Take up to ``n`` copies of a configuration, as far as its pieces go."""
+    n = min([n, *(int(left[j]) // k for j, k in config)])
+    if n > 0:
+        copies[config] = copies.get(config, 0) + n
+        for j, k in config:
+            left[j] -= n * k
+    return max(n, 0)
+
+
+def _extract(lengths: np.ndarray, prices: np.ndarray, size: np.ndarray, copies: dict, left: np.ndarray, capacity: int,
+             rounds: int = 60, rate: float = 0.1, slack: float = 0.02, step: float = 0.25) -> None:
+    """Take whole configurations of the best value from the pieces that are left, until the rest has no more of them.
+
+    ``rate``: how steeply a covered length loses price; ``slack``: how far below the best value a configuration may be;
+    ``step``: the share of a length's pieces that one configuration may take in one round.
+    """
     for _ in range(rounds):
-        if left.sum() == 0:
-            break
-        share = 1 - left / np.maximum(size, 1)
-        weight = np.where(left > 0, np.arange(capacity + 1) * np.exp(-rate * share), -np.inf)
-        value, choice = _knapsack(weight, capacity)
-        through = weight[1:] + value[capacity - 1::-1]  # best price of a configuration that holds each length
-        good = np.flatnonzero(through >= (1 - slack) * value[capacity]) + 1
+        some = np.flatnonzero(left[lengths] > 0)
+        if not len(some):
+            return
+        own = lengths[some]
+        share = 1 - left[own] / size[own]
+        now = prices[some] * np.exp(-rate * share)
+        value, item, times = _knapsack(own, now, capacity)
+        near = np.flatnonzero(now + value[capacity - own] >= (1 - slack) * value[capacity])
+        near = near[np.argsort(share[near], kind="stable")]
         moved = 0
-        for length in good[np.argsort(share[good], kind="stable")].tolist():
-            times, room = {length: 1}, capacity - length
-            while choice[room]:
-                times[int(choice[room])] = times.get(int(choice[room]), 0) + 1
-                room -= int(choice[room])
-            most = min(int(left[j]) // k for j, k in times.items())
-            n = min(most, max(1, min(int(step * size[j]) // k for j, k in times.items())))
-            if n > 0:
-                copies[tuple(sorted(times.items(), reverse=True))] += n
-                for j, k in times.items():
-                    left[j] -= n * k
-                moved += n
+        for config in _configurations(own, *_through(own, near, item, times, capacity), len(near)):
+            most = max(1, min(int(step * size[j]) // k for j, k in config))
+            moved += _take(config, most, copies, left)
         if not moved:
-            break
-    return _rounded(copies, left, capacity)
-
-
-def _knapsack(weight: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """The best total weight within each room, and a length that it holds (0: none)."""
-    back = np.zeros(capacity + 1)  # the value of room c stands at capacity - c
-    choice = np.zeros(capacity + 1, np.int64)
-    for c in range(1, capacity + 1):
-        total = weight[1:c + 1] + back[capacity - c + 1:]
-        best = int(total.argmax())
-        if total[best] > back[capacity - c + 1]:
-            back[capacity - c], choice[c] = total[best], best + 1
-        else:
-            back[capacity - c] = back[capacity - c + 1]
-            choice[c] = choice[c - 1]
-    # where room is spare, the choice is that of the smaller room with the same value
-    return back[::-1], choice
+            return
+
+
+def _configurations(lengths: np.ndarray, row: np.ndarray, of: np.ndarray, k: np.ndarray, n: int) -> list[tuple]:
+    """Configurations ((length, times), ...) from the rows of ``_through``."""
+    edges = np.searchsorted(row, np.arange(n + 1)).tolist()
+    pairs = list(zip(lengths[of].tolist(), k.tolist(), strict=True))
+    return [tuple(pairs[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+#: Step sizes of the phases, the relative gap to the bound at which the search ends, and the most rounds of a phase.
+PHASES, GAP, ROUNDS = (0.3, 0.1, 0.03, 0.01), 0.002, 400
+#: A fractional solution that is further above the bound is not worth rounding; its prices are used all the same.
+_LOOSE = 0.05
+#: With more lengths than this they are priced in so many groups; within a group a part of the price goes by length.
+_MANY, _BY_LENGTH = 256, 0.02
+#: With more lengths than this the knapsack goes room by room instead of length by length.
+_DENSE = 500
+
+
+def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY, gap: float = GAP) -> tuple[dict[tuple, float], np.ndarray, float]:
+    """A fractional solution {configuration: copies} of the configuration program, the best prices, and a lower bound.
+
+    ``lengths`` are different and ascending; the solution covers all counts. No packing has fewer sequences than the bound.
+    With more lengths than ``_MANY`` prices are found for neighbouring lengths together, each at the least of them, which
+    keeps the bound valid; there is then no solution to round.
+    """
+    if len(lengths) > _MANY:
+        place = np.cumsum(counts * lengths) - counts * lengths  # groups of equal volume
+        group = np.unique((place * _MANY // int((counts * lengths).sum())).astype(np.int64), return_inverse=True)[1]
+        least_of = lengths[np.searchsorted(group, np.arange(group.max() + 1))]
+        _, prices, bound = solve(least_of, np.bincount(group, weights=counts).astype(np.int64), capacity, gap)
+        volume = float((lengths * counts).sum()) / capacity
+        if volume >= bound:
+            return {}, lengths / capacity, volume
+        return {}, (1 - _BY_LENGTH) * prices[group] + _BY_LENGTH * lengths / capacity, bound
+    rounds = min(ROUNDS, 6_000 // len(lengths))
+    best_prices, bound = lengths / capacity, 0.0
+    best: dict[tuple, float] = {}
+    least = np.inf
+    for step in PHASES:
+        prices, cover = best_prices.copy(), np.zeros(len(lengths))
+        taken: dict[tuple, float] = {}
+        total = 0.0
+        for _ in range(rounds):
+            value, item, times = _knapsack(lengths, prices, capacity)
+            lower = float(prices @ counts) / value[capacity]
+            if lower > bound:
+                bound, best_prices = lower, prices / prices.max()
+            through = prices + value[capacity - lengths]
+            near = np.flatnonzero(through >= (1 - step / 2) * value[capacity])
+            row, of, k = _through(lengths, near, item, times, capacity)
+            used = np.bincount(of, weights=k, minlength=len(lengths))
+            amount = np.full(len(near), np.inf)  # configurations share a length's pieces, and one may use up its own
+            np.minimum.at(amount, row, counts[of] / used[of])
+            gain = np.bincount(of, weights=amount[row] * k, minlength=len(lengths)) / counts
+            cover += gain
+            prices *= np.exp(-step * gain)
+            prices /= prices.max()
+            total += float(amount.sum())
+            for config, x in zip(_configurations(lengths, row, of, k, len(near)), amount.tolist(), strict=True):
+                taken[config] = taken.get(config, 0.0) + x
+            if cover.min() > 0 and total / cover.min() < least:
+                least = total / cover.min()
+                best, scaled = taken.copy(), cover.min()
+                best = {c: x / scaled for c, x in best.items()}
+                if least <= (1 + gap) * bound:
+                    return best, best_prices, bound
+    return best, best_prices, bound
+
+
+def _knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best total price within each room, and an item with its number that a best filling of the room ends in (-1: none)."""
+    value, item, times = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int32), np.zeros(capacity + 1, np.int32)
+    if len(lengths) > _DENSE:  # room by room: one more piece of any length
+        price = np.full(capacity + 1, -np.inf)
+        price[capacity - lengths] = prices * (1 + 1e-9 * lengths / capacity)  # by length from the longest on; long pieces win ties
+        number = np.full(capacity + 1, -1, np.int32)
+        number[lengths] = np.arange(len(lengths))
+        for room in range(1, capacity + 1):
+            total = price[capacity - room:capacity] + value[:room]
+            at = int(total.argmax())
+            if total[at] > value[room - 1]:
+                value[room], item[room], times[room] = total[at], number[room - at], 1
+            else:
+                value[room], item[room], times[room] = value[room - 1], item[room - 1], times[room - 1]
+        return value, item, times
+    for i in range(len(lengths) - 1, -1, -1):  # long pieces first: of equal values the one with fewer pieces stays
+        length, price = int(lengths[i]), float(prices[i])
+        n = 1
+        while n * length <= capacity:  # 1, 2, 4, ... pieces at once: any number of them
+            more = value[:capacity + 1 - n * length] + n * price
+            rooms = np.flatnonzero(more > value[n * length:] * (1 + 1e-12)) + n * length
+            value[rooms], item[rooms], times[rooms] = more[rooms - n * length], i, n
+            n *= 2
+    return value, item, times
+
+
+def _through(lengths: np.ndarray, near: np.ndarray, item: np.ndarray, times: np.ndarray, capacity: int) -> tuple[np.ndarray, ...]:
+    """Best configurations through some lengths: rows of (number of the configuration, index of a length, how often)."""
+    rooms = capacity - lengths[near]
+    parts = [(np.arange(len(near)), near, np.ones(len(near), np.int64))]
+    rows = np.flatnonzero(item[rooms] >= 0)
+    while len(rows):
+        own, n = item[rooms[rows]], times[rooms[rows]]
+        parts.append((rows, own, n.astype(np.int64)))
+        rooms[rows] -= n * lengths[own]
+        rows = rows[item[rooms[rows]] >= 0]
+    row, of, k = (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True))
+    key, place = np.unique(row * len(lengths) + of, return_inverse=True)
+    return key // len(lengths), key % len(lengths), np.bincount(place, weights=k).astype(np.int64)
 
 
 def _rounded(copies: dict, left: np.ndarray, capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:

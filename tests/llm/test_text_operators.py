@@ -118,8 +118,19 @@ def test_packing(spark):
         assert bytes(r.ids) == b"".join(p[2] for p in parts) and r.length == len(r.ids) // 4
 
 
-@pytest.mark.parametrize("histogram", [{}, {4096: 3}, {1: 100_000}, {2049: 7, 2048: 2}, {1366: 3000, 1365: 10}, {k: 5 for k in range(1, 4097)}, {2730: 10**9, 1366: 10**9}])
-def test_plan_uses_every_piece_once(histogram):
+def lognormal(n, top=4096):
+    random_ = np.random.default_rng(n)
+    lengths, counts = np.unique(np.minimum(random_.lognormal(6, 1, n).astype(int) + 1, top), return_counts=True)
+    return dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+
+
+HISTOGRAMS = [
+    {}, {4096: 3}, {1: 100_000}, {2049: 7, 2048: 2}, {1366: 3000, 1365: 10}, {k: 5 for k in range(1, 4097)}, {2730: 10**9, 1366: 10**9},
+    {2100: 10_000, 1024: 10_000}, {2300: 8000, 900: 16_000}, {1500: 1000, 1300: 1000, 1100: 777}, {2048: 5, 1024: 3}, {k: 200 for k in range(1100, 3500, 3)}, lognormal(30_000)]
+
+
+@pytest.mark.parametrize("histogram", HISTOGRAMS)
+def test_plan_uses_every_piece_once_and_is_near_the_bound(histogram):
     plan = packing.plan(histogram)
     used = Counter()
     for n, config in plan:
@@ -127,9 +138,64 @@ def test_plan_uses_every_piece_once(histogram):
         for j, k in config:
             used[j] += n * k
     assert used == Counter(histogram)
-    least = -(-sum(j * n for j, n in histogram.items()) // 4096)
-    halves = sum(n for j, n in histogram.items() if j > 2048)
-    assert sum(n for n, _ in plan) <= max(least, halves) * 1.01 + 1 or histogram.keys() & {1366}
+    if histogram:
+        lengths = np.array(sorted(histogram))
+        _, prices, bound = packing.solve(lengths, np.array([histogram[j] for j in lengths.tolist()]))
+        assert sum(n for n, _ in plan) <= bound * 1.01 + 1
+        assert bound >= sum(j * n for j, n in histogram.items()) / 4096 * (1 - 1e-9)
+
+
+def test_bound_and_solution_of_the_program():
+    """The bound holds for every packing, and fractions cover every count."""
+    for histogram, optimum in (({2100: 100, 1024: 100}, 100), ({2300: 80, 900: 160}, 100), ({1366: 30}, 15), ({3000: 7}, 7)):
+        lengths = np.array(sorted(histogram))
+        shares, prices, bound = packing.solve(lengths, np.array([histogram[j] for j in lengths.tolist()]))
+        covered = Counter()
+        for config, x in shares.items():
+            assert sum(j * k for j, k in config) <= 4096
+            for j, k in config:
+                covered[j] += x * k
+        assert all(covered[j] >= n - 1e-6 for j, n in histogram.items())
+        assert bound <= optimum + 1e-6 and sum(shares.values()) <= bound * 1.01
+
+
+@pytest.mark.parametrize("many", [3, 1000])
+def test_knapsack_by_brute_force(monkeypatch, many):
+    monkeypatch.setattr(packing, "_DENSE", many)
+    random_ = np.random.default_rng(many)
+    for _ in range(40):
+        lengths = np.sort(random_.choice(np.arange(1, 30), random_.integers(1, 9), replace=False))
+        prices, capacity = random_.random(len(lengths)), 40
+        value, item, times = packing._knapsack(lengths, prices, capacity)
+        want = [0.0]
+        for room in range(1, capacity + 1):
+            want.append(max([want[room - 1]] + [want[room - j] + p for j, p in zip(lengths.tolist(), prices.tolist(), strict=True) if j <= room]))
+        assert value == pytest.approx(want, rel=1e-6)
+        near = np.arange(len(lengths))
+        row, of, k = packing._through(lengths, near, item, times, capacity)
+        for config, j in zip(packing._configurations(lengths, row, of, k, len(near)), near, strict=True):
+            assert int(lengths[j]) in dict(config) and sum(a * b for a, b in config) <= capacity
+            got = sum(prices[lengths.tolist().index(a)] * b for a, b in config)
+            assert got == pytest.approx(prices[j] + want[capacity - int(lengths[j])], rel=1e-6)
+
+
+def test_ids_where_a_letter_becomes_a_letter_and_a_mark():
+    from tokenizers import Tokenizer
+
+    model, ids = Tokenizer.from_file(packing.default_tokenizer()), packing.WordIds(packing.default_tokenizer())
+    letters = ["\u0130", "i\u0307", "\u01c4", "\ufb01", "\u212b", "a", "É", "1", ".", "!", "'", "-", " ", "ß", "\u0301", "²", "中"]
+    texts = ["\u0130.", "x\u0130..", *["".join(RNG.choices(letters, k=RNG.randrange(1, 8))) for _ in range(3000)]]
+    for text, own in zip(texts, ids([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(own, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing_keeps_columns_with_its_own_names(spark):
+    pieces = spark.createDataFrame([(5, 9, "a", 1), (7, 9, "b", 2)], "length long, offset int, _part string, _nth int")
+    with pytest.raises(Exception):  # noqa: B017
+        packing.pack(pieces.withColumn("length", F.lit(0).cast("long"))).collect()
+    out = packing.pack(pieces)
+    assert sorted(out.columns) == ["_nth", "_part", "length", "offset", "sequence_id"]
+    assert sorted((r.length, r.offset, r._part, r._nth) for r in out.collect()) in ([(5, 0, "a", 1), (7, 5, "b", 2)], [(5, 7, "a", 1), (7, 0, "b", 2)])
 
 
 def test_packing_of_an_empty_table_and_wrong_lengths(spark):
