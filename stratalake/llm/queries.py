@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.joins import attach
 from stratalake.sources.shared import new_folder
 
 from . import caps, cascade, decontaminate, interactions, licenses, packing, quality, runs, sharding, simhash, substrings, urls, warc
@@ -70,19 +71,17 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from r""")
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to WARC archives and read back from them."""
-    pages = _table(spark, folder, "pages")
     archive = new_folder(spark, "warc")
-    warc.write_archive(warc.plan_records(pages).where("id is not null"), archive)
-    number = lambda c: F.regexp_extract(c, ":(-?[0-9]+)>", 1).cast("long")
+    warc.write_archive(warc.plan_records(_table(spark, folder, "pages")), archive)
     read = warc.read_archive(spark, archive)
     read = read.select(
-        number("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("n"), F.expr("substring(digest, 6)").alias("payload_digest"),
-        F.col("type").alias("record_type"), number("refers_to").alias("refers_to"))
+        F.col("row").cast("long").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.expr("substring(digest, 6)").alias("payload_digest"), F.col("type").alias("record_type"), warc.row_named("refers_to").cast("long").alias("refers_to"))
     read = stored(read, "records")
-    lengths = read.where("record_type = 'response'").groupBy(F.col("page_id").alias("of")).agg(F.max("n").alias("whole"))
-    revisits = read.where("record_type = 'revisit'").join(lengths, F.col("refers_to") == F.col("of"), "left").drop("n", "of").withColumnRenamed("whole", "n")
-    out = read.where("record_type = 'response'").unionByName(revisits)
-    return out.select("page_id", F.col("n").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    # a revisit's payload is that of the response it refers to
+    whole = read.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
+    again = attach(read.where("record_type = 'revisit'").drop("payload_bytes"), stored(whole, "lengths"), ["refers_to", "payload_digest"], "left")
+    return read.where("record_type = 'response'").unionByName(again).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query("op8_url_filter")

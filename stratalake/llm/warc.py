@@ -8,10 +8,17 @@ in a shuffle by origin identifier.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.joins import attach
+
+from .common import stored
+
 _END = b"\r\n\r\n"
 #: Longer blocks are cut into continuation records.
 SEGMENT_BYTES = 16 << 10
@@ -21,35 +28,45 @@ CHUNK_BYTES = 4 << 10
 REVISIT_BYTES = 1000
 RECORDS_A_FILE = 50_000
 _FIELDS = {
-    "type": "WARC-Type", "record_id": "WARC-Record-ID", "uri": "WARC-Target-URI", "digest": "WARC-Payload-Digest",
+    "type": "WARC-Type", "record_id": "WARC-Record-ID", "row": "X-Row-ID", "uri": "WARC-Target-URI", "digest": "WARC-Payload-Digest",
     "refers_to": "WARC-Refers-To", "origin": "WARC-Segment-Origin-ID", "segment": "WARC-Segment-Number",
     "total": "WARC-Segment-Total-Length"}
-RECORD = "type string, record_id string, uri string, digest string, refers_to string, origin string, segment int, total long, block binary"
+RECORD = "type string, record_id string, row string, uri string, digest string, refers_to string, origin string, segment int, total long, block binary"
+
+
+def record_name(key, digest: str, place: str = "") -> str:
+    """The identifier of a record: its row's key and payload digest, and its place among the records where those may repeat."""
+    own = "" if key is None else quote(str(key), safe="")
+    return f"<urn:x-row:{own}:{digest}:{place}>" if place else f"<urn:x-row:{own}:{digest}>"
 
 
-def record_name(key: int) -> str:
-    """The identifier of the record with an integer key."""
-    return f"<urn:x-row:{key}>"
+def row_named(name: Column | str) -> Column:
+    """The key in a record identifier, as text."""
+    name = F.col(name) if isinstance(name, str) else name
+    return F.url_decode(F.regexp_extract(name, "^<urn:x-row:([^:]*):", 1))
 
 
 def plan_records(pages: DataFrame, id: str = "page_id", uri: str = "url", body: str = "html",
                  least: int = REVISIT_BYTES) -> DataFrame:
-    """Rows (id, uri, payload, digest, refers_to): each payload in UTF-8, its SHA-1, and the id of the equal payload it revisits.
+    """Rows (id, uri, payload, digest, refers_to, single): each payload in UTF-8, its SHA-1, and the id of the equal payload it revisits.
 
     Of the rows with equal payloads of at least ``least`` bytes that with the largest id is the response; the others
-    refer to it. Smaller payloads are all responses. A null body is an empty payload. Payloads count as equal if
-    length, SHA-1 and SHA-256 are; a row that repeats the largest id is a response as well. A null id is no response
-    of others: such rows get no reference.
+    refer to it and their ``payload`` is null. Smaller payloads are all responses. A null body is an empty payload.
+    Payloads count as equal if length, SHA-1 and SHA-256 are; a row that repeats the largest id is a response as well. A
+    null id is no response of others: such rows get no reference. ``single``: others refer to this row, and no other row
+    has its id and payload. Digests are counted and stored first; they meet the payloads by broadcast where they measure
+    small, else with hot payloads spread.
     """
     payload = F.coalesce(F.col(body), F.lit("")).cast("binary")
     rows = pages.select(F.col(id).alias("id"), F.col(uri).alias("uri"), payload.alias("payload"))
-    keyed = rows.select("id", "uri", "payload", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("n"),
-                        F.sha2("payload", 256).alias("strong"))
-    copies = rows.where(F.octet_length("payload") >= least).select("id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("n"),
-                                                                   F.sha2("payload", 256).alias("strong"))
-    last = copies.groupBy("digest", "n", "strong").agg(F.max("id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1")
-    found = keyed.join(last, ["digest", "n", "strong"], "left")
-    return found.select("id", "uri", "payload", "digest", F.expr("if(id < refers_to, refers_to, null)").alias("refers_to"))
+    keys = (F.sha1("payload").alias("digest"), F.octet_length("payload").alias("n"), F.sha2("payload", 256).alias("strong"))
+    copies = rows.where(F.octet_length("payload") >= least).select("id", *keys).groupBy("digest", "n", "strong", "id").agg(F.count("*").alias("k"))
+    last = copies.groupBy("digest", "n", "strong").agg(F.max(F.struct("id", "k")).alias("last"), F.sum("k").alias("copies")).where("copies > 1")
+    last = stored(last.select("digest", "n", "strong", F.col("last.id").alias("last"), F.col("last.k").alias("again")), "equal-payloads")
+    found = attach(rows.select("id", "uri", "payload", *keys), last, ["digest", "n", "strong"], "left")
+    refers = F.expr("if(id < last, last, null)")
+    single = F.coalesce((F.col("id") == F.col("last")) & (F.col("again") == 1), F.lit(False))
+    return found.select("id", "uri", F.when(refers.isNull(), F.col("payload")).alias("payload"), "digest", refers.alias("refers_to"), single.alias("single"))
 
 
 def write_archive(records: DataFrame, folder: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES,
@@ -57,28 +74,31 @@ def write_archive(records: DataFrame, folder: str, segment_bytes: int = SEGMENT_
     """Write rows as ``plan_records`` returns them as WARC records under ``folder``.
 
     A response's block is an HTTP message with a chunked body; one over ``segment_bytes`` becomes a first record and
-    continuation records. A revisit's block is the HTTP head alone. Ids must not be null.
+    continuation records. A revisit's block is the HTTP head alone. Every record has a name of its own, whatever ids
+    repeat, and carries its row's id in a field, which a null id lacks.
     """
-    written = records.where("refers_to is null").select("id", "uri", "payload", "digest", F.lit(None).cast("long").alias("refers_to"))
-    again = records.where("refers_to is not null").select("id", "uri", F.lit(None).cast("binary").alias("payload"), "digest", "refers_to")
 
     def run(batches):
+        part, written = TaskContext.get().partitionId(), 0
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                out += _records(row, segment_bytes, chunk_bytes)
+                place = "" if row["single"] else f"{part}-{written}"
+                written += 1
+                out += _records(row, place, segment_bytes, chunk_bytes)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
-    lines = written.unionByName(again).mapInArrow(run, "value binary").select(F.col("value").cast("string"))
+    lines = records.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
     lines.write.option("lineSep", _END.decode()).option("compression", "gzip").option("maxRecordsPerFile", records_a_file).text(folder)
 
 
-def _records(row: dict, segment_bytes: int, chunk_bytes: int) -> list[bytes]:
-    name, payload = record_name(row["id"]), row["payload"]
-    common = [("WARC-Target-URI", _line(row["uri"])), ("WARC-Payload-Digest", f"sha1:{row['digest']}")]
+def _records(row: dict, place: str, segment_bytes: int, chunk_bytes: int) -> list[bytes]:
+    name, payload = record_name(row["id"], row["digest"], place), row["payload"]
+    own = [] if row["id"] is None else [("X-Row-ID", _line(str(row["id"])))]
+    common = [*own, ("WARC-Target-URI", _line(row["uri"])), ("WARC-Payload-Digest", f"sha1:{row['digest']}")]
     if payload is None:
         head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-        return [_record("revisit", name, [*common, ("WARC-Refers-To", record_name(row["refers_to"]))], head)]
+        return [_record("revisit", name, [*common, ("WARC-Refers-To", record_name(row["refers_to"], row["digest"]))], head)]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + _chunked(payload, chunk_bytes)
     if len(block) <= segment_bytes:
         return [_record("response", name, common, block)]
@@ -184,11 +204,11 @@ def reassembled(segments: DataFrame) -> DataFrame:
     Only segmented records are shuffled. A missing or doubled segment, or a total that differs from the declared one,
     is an error that names the record.
     """
-    single = segments.where("segment is null").select("type", "record_id", "uri", "digest", "refers_to", "block")
+    single = segments.where("segment is null").select("type", "record_id", "row", "uri", "digest", "refers_to", "block")
     parts = segments.where("segment is not null").withColumn("of", F.coalesce("origin", "record_id"))
     first = F.expr("segment = 1")
     grouped = parts.groupBy("of").agg(
-        *[F.max(F.when(first, F.col(c))).alias(c) for c in ("type", "uri", "digest", "refers_to")],
+        *[F.max(F.when(first, F.col(c))).alias(c) for c in ("type", "row", "uri", "digest", "refers_to")],
         F.max("total").alias("total"), F.count("*").alias("n"), F.max("segment").alias("last"),
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"))
     block = F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["block"]))
@@ -196,11 +216,11 @@ def reassembled(segments: DataFrame) -> DataFrame:
     good = F.expr("type is not null and n = last and total = octet_length(block)")
     joined = joined.withColumn("block", F.when(good, F.col("block")).otherwise(
         F.raise_error(F.concat(F.lit("segments of a record are missing: "), "of")).cast("binary")))
-    return single.unionByName(joined.select("type", F.col("of").alias("record_id"), "uri", "digest", "refers_to", "block"))
+    return single.unionByName(joined.select("type", F.col("of").alias("record_id"), "row", "uri", "digest", "refers_to", "block"))
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (type, record_id, uri, digest, refers_to, payload): whole records, HTTP framing taken off.
+    """Rows (type, record_id, row, uri, digest, refers_to, payload): whole records, HTTP framing taken off.
 
     A response's payload must agree with its digest. A revisit has no payload of its own: its ``payload`` is null.
     """
@@ -210,9 +230,9 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             kinds = batch.column("type").to_pylist()
             payloads = [payload_of(b) if k == "response" else None for k, b in zip(kinds, batch.column("block").to_pylist(), strict=True)]
-            names = ["type", "record_id", "uri", "digest", "refers_to"]
+            names = ["type", "record_id", "row", "uri", "digest", "refers_to"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(payloads, pa.binary())], names=[*names, "payload"])
 
-    read = whole.mapInArrow(run, "type string, record_id string, uri string, digest string, refers_to string, payload binary")
+    read = whole.mapInArrow(run, "type string, record_id string, row string, uri string, digest string, refers_to string, payload binary")
     wrong = F.expr("type = 'response' and digest != concat('sha1:', sha1(payload))")
     return read.withColumn("payload", F.when(wrong, F.raise_error(F.concat(F.lit("wrong digest: "), "record_id")).cast("binary")).otherwise(F.col("payload")))

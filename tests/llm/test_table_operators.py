@@ -1,5 +1,6 @@
 """Embeddings, archives, urls, sharding and the pipeline against brute force and on odd rows."""
 
+import hashlib
 import math
 import random
 from collections import Counter
@@ -94,17 +95,45 @@ def test_archive_round_trip(spark):
     pages = spark.createDataFrame([(k, f"http://h/{k}\r\nx", h, "p", "d") for k, h in enumerate(html)], "page_id long, url string, html string, payload string, digest string")
     folder = new_folder(spark, "test-warc")
     warc.write_archive(warc.plan_records(pages).repartition(3), folder, segment_bytes=700, chunk_bytes=100, records_a_file=7)
-    rows = {r.record_id: r for r in warc.read_archive(spark, folder).collect()}
-    assert len(rows) == len(html)
+    read = warc.read_archive(spark, folder)
+    rows = {int(r.row): r for r in read.collect()}
+    names = {r.record_id: r for r in rows.values()}
+    assert len(rows) == len(names) == len(html)
+    assert {r.target for r in read.select(warc.row_named("refers_to").alias("target")).collect()} == {None, "7"}
     for k, h in enumerate(html):
-        r = rows[warc.record_name(k)]
+        r = rows[k]
         assert r.type == ("revisit" if k in (5, 6) else "response")
         if r.type == "revisit":
-            assert r.refers_to == warc.record_name(7) and r.payload is None and r.digest == rows[r.refers_to].digest
+            assert names[r.refers_to] == rows[7] and r.payload is None and r.digest == rows[7].digest
         else:
             assert bytes(r.payload) == (h or "").encode()
 
 
+def test_repeated_and_null_ids_come_back(spark):
+    long, other = "<p>é</p>" * 9000, "<b>x</b>" * 9000
+    rows = [(3, long), (3, long), (3, other), (1, long), (1, long), (None, long), (None, long), (None, "s"), (2, other), (2, None), (2, None), (4, "y" * 1000), (None, "y" * 1000)]
+    folder = new_folder(spark, "test-pages")
+    pages = spark.createDataFrame([(k, "http://h", h) for k, h in rows], "page_id long, url string, html string")
+    pages.repartition(4).write.parquet(f"{folder}/pages.parquet")
+    got = registered.queries()["op6_warc"](spark, folder)
+    assert got.count() == len(rows)
+    largest = {h: max(k for k, x in rows if x == h and k is not None) for h in (long, other, "y" * 1000)}
+    want = []
+    for k, h in rows:
+        body = (h or "").encode()
+        again = len(body) >= 1000 and k is not None and k < largest[h]
+        want.append((k, len(body), hashlib.sha1(body).hexdigest(), "revisit" if again else "response", largest[h] if again else None))
+    assert sorted(map(tuple, got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str) == sorted(want, key=str)
+
+
+def test_ids_of_any_text(spark):
+    pages = spark.createDataFrame([("a:b>é %", "u", "x" * 2000), ("a", "u", "x" * 2000)], "page_id string, url string, html string")
+    folder = new_folder(spark, "test-warc")
+    warc.write_archive(warc.plan_records(pages), folder)
+    rows = {r.row: r for r in warc.read_archive(spark, folder).withColumn("target", warc.row_named("refers_to")).collect()}
+    assert rows["a"].type == "revisit" and rows["a"].target == "a:b>é %" and rows["a"].refers_to == rows["a:b>é %"].record_id
+
+
 def test_missing_segment_is_an_error(spark):
     pages = spark.createDataFrame([(1, "http://h", "x" * 5000)], "page_id long, url string, html string")
     folder = new_folder(spark, "test-warc")
