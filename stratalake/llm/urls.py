@@ -2,27 +2,27 @@
 
 Host names run words together. A unigram model of the words in the pages' own texts splits them by Viterbi search, and
 a multinomial naive Bayes model over host and path words says whether a url looks like those that hold a word of a
-given list. Both models are counts over all rows; what is sent to the tasks is bounded by ``VOCABULARY`` words.
+given list. Both models are tables of counts over all rows, of any number of words: a run of letters meets the words that
+it can be made of in a join on its substrings, and a url the odds of its words in a join on them.
 """
 
 from __future__ import annotations
 
 import math
-import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from stratalake.operators.joins import attach
 
 from .common import stored
 
-#: The most words that either model holds; words with the smallest counts are left out.
-VOCABULARY = 50_000
-LONGEST = 24
+#: Substrings up to this length are joined as they are; longer words are found by their first letters, so many of them.
+PREFIX = 32
 #: Tokens that each class is given beforehand, spread like all tokens: a rare token then says little about either class.
 SMOOTHING = 10.0
-#: Words that mark a url to learn from.
+#: Words that mark a url to learn from as one to block; the tables hold no other sign of it.
 BLOCK_WORDS = (
     "adult", "ads", "bet", "bets", "betting", "casino", "cheap", "free", "gambling", "jackpot", "loan", "lottery", "malware", "pills",
     "poker", "porn", "sex", "spam", "track", "viagra", "warez", "win", "xxx")
@@ -54,55 +54,35 @@ def rule_and_verdict(host: str, path: str, rules=RULES) -> tuple[Column, Column]
     return rule, verdict
 
 
-def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows of (word, n, ...) with the largest n: at most ``most``, cut between eighths of powers of two."""
-    level = F.floor(F.log2("n") * 8)
-    levels = sorted(counts.groupBy(level.alias("level")).agg(F.count("*")).collect(), reverse=True)  # under 600 rows
-    total, least = 0, None
-    for r in levels:
-        total += r[1]
-        if total > most:
-            break
-        least = r[0]
-    return counts.where(level >= (least if least is not None else 1 << 20))
-
-
-def unigrams(pages: DataFrame, html: str = "html", most: int = VOCABULARY) -> dict[str, int]:
-    """Counts of the a-z words in the pages' visible text; the most frequent of all rows' words."""
+def unigrams(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Rows (word, n): the a-z words in the pages' visible text and how often each occurs; every word of every row."""
     text = F.lower(F.regexp_replace(F.coalesce(F.col(html), F.lit("")), r"(?is)<(script|style)\b.*?</\1>|<[^>]*>", " "))
-    words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where(f"length(word) between 1 and {LONGEST}")
-    counts = stored(words.groupBy("word").agg(F.count("*").alias("n")), "unigrams")
-    return {r["word"]: r["n"] for r in _most_frequent(counts, most).collect()}
+    words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where("word != ''")
+    return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 class Segmenter:
-    """Splits runs of letters into the most probable words of a unigram model."""
-
-    def __init__(self, counts: dict[str, int], extra=()):
-        middle = sorted(counts.values())[len(counts) // 2] if counts else 1
-        counts = counts | {w: max(counts.get(w, 0), middle) for w in extra}
-        total = math.log(sum(counts.values()) + 1)
-        self.cost = {w: total - math.log(n) for w, n in counts.items()}
-        self.unknown = total + math.log(10)  # of one letter that no word covers
-        self.known: dict[str, list[str]] = {}
-
-    def words(self, run: str) -> list[str]:
-        if run not in self.known:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            self.known[run] = self._search(run)
-        return self.known[run]
-
-    def _search(self, run: str) -> list[str]:
+    """Splits runs of letters into the most probable words of a unigram model of ``total`` words."""
+
+    def __init__(self, total: int):
+        self.total = math.log(total + 1)
+        self.unknown = self.total + math.log(10)  # of one letter that no word covers
+
+    def words(self, run: str, counts: dict[str, int]) -> list[str]:
+        """``counts``: the words of the model that occur in the run."""
+        cost = {w: self.total - math.log(n) for w, n in counts.items()}
+        lengths = sorted({len(w) for w in cost})
         best, back = [0.0], [(0, False)]
         for end in range(1, len(run) + 1):
             options = [(best[end - 1] + self.unknown, end - 1, False)]
-            for begin in range(max(0, end - LONGEST), end):
-                cost = self.cost.get(run[begin:end])
-                if cost is not None:
-                    options.append((best[begin] + cost, begin, True))
-            cost, begin, known = min(options)
-            best.append(cost)
+            for n in lengths:
+                if n > end:
+                    break
+                own = cost.get(run[end - n:end])
+                if own is not None:
+                    options.append((best[end - n] + own, end - n, True))
+            least, begin, known = min(options)
+            best.append(least)
             back.append((begin, known))
         out, end, open_run = [], len(run), False
         while end:
@@ -114,65 +94,91 @@ class Segmenter:
             open_run, end = not known, begin
         return out[::-1]
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of the host, and of the path marked by a slash."""
-        own = [w for run in re.findall("[a-z]+", host) for w in self.words(run)]
-        return own + ["/" + w for run in re.findall("[a-z]+", path.lower()) for w in self.words(run)]
 
+def segmented(runs: DataFrame, model: DataFrame, extra=()) -> DataFrame:
+    """Rows (run, words) for different runs of letters, split by a stored ``model`` (word, n).
 
-def tokenized(urls: DataFrame, segmenter: Segmenter) -> DataFrame:
-    """``urls`` (with host and path) and their ``tokens``."""
-    def run(batches):
+    The ``extra`` words count at least as often as the model's middle word. A run's substrings are joined with the
+    model; words longer than ``PREFIX`` are joined by their beginning and then compared whole, so none is left out.
+    """
+    spark = runs.sparkSession
+    told = model.agg(F.coalesce(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n)"), F.lit(1)).cast("long").alias("middle")).first()
+    listed = spark.createDataFrame([(w, told["middle"]) for w in extra], "word string, n long")
+    model = stored(model.unionByName(listed).groupBy("word").agg(F.max("n").alias("n")), "unigrams")
+    splitter = Segmenter(model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    runs = stored(runs.select("run", F.monotonically_increasing_id().alias("rid")), "runs")
+    begins = runs.select("rid", "run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("i"))
+    ends = F.sequence(F.lit(1), F.least(F.lit(PREFIX), F.length("run") - F.col("i") + 1))
+    parts = begins.select("rid", "run", "i", F.explode(ends).alias("k")).select("rid", F.expr("substring(run, i, k)").alias("word")).distinct()
+    parts = stored(parts, "substrings")
+    short = attach(parts, model.where(F.length("word") <= PREFIX), "word").select("rid", "word", "n")
+    long = model.where(F.length("word") > PREFIX).select(F.substring("word", 1, PREFIX).alias("word"), F.col("word").alias("whole"), "n")
+    begun = attach(parts.where(F.length("word") == PREFIX), long, "word").select("rid", "whole", "n")
+    begun = begun.join(runs, "rid").where(F.contains("run", "whole")).select("rid", F.col("whole").alias("word"), "n")
+    found = short.unionByName(begun).groupBy("rid").agg(F.collect_list(F.struct("word", "n")).alias("found"))  # words that occur in one run
+
+    def split(batches):
         for batch in batches:
-            pairs = zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)
-            tokens = pa.array([segmenter.tokens(h, p) for h, p in pairs], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, tokens], names=[*batch.schema.names, "tokens"])
+            pairs = zip(batch.column("run").to_pylist(), batch.column("found").to_pylist(), strict=True)
+            words = [splitter.words(run, {w["word"]: w["n"] for w in own or ()}) for run, own in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(words, pa.list_(pa.string()))], names=["run", "words"])
 
-    return urls.mapInArrow(run, T.StructType([*urls.schema.fields, T.StructField("tokens", T.ArrayType(T.StringType()))]))
+    return runs.join(found, "rid", "left").select("run", "found").mapInArrow(split, "run string, words array<string>")
 
 
-def naive_bayes(tokenized: DataFrame, block_words=BLOCK_WORDS, most: int = VOCABULARY) -> tuple[dict[str, float], float]:
-    """Log-odds of "block" for each token, and those of a url without any.
+def token_odds(tokens: DataFrame, bad: int, good: int) -> DataFrame:
+    """Rows (token, odds) from (token, n, bad): the log-odds that multinomial naive Bayes gives a token.
 
-    A url is an example of "block" if one of its tokens is a listed word, else of "allow". Counts are over all rows,
-    smoothed towards the shares of all tokens. If all examples are of one class, the odds of no tokens decide.
+    Counts are smoothed towards the shares of all tokens. ``bad`` and ``good`` are the numbers of examples; with
+    examples of one class alone no token says anything.
     """
-    listed = F.array(*[F.lit(p + w) for w in block_words for p in ("", "/")])
-    rows = tokenized.select("tokens", F.arrays_overlap("tokens", listed).cast("long").alias("bad"))
-    rows = rows.select("tokens", F.coalesce("bad", F.lit(0)).alias("bad"))
-    n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("bad"), F.lit(0))).first()
-    counts = rows.select(F.explode("tokens").alias("word"), "bad").groupBy("word").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
-    kept = _most_frequent(stored(counts, "tokens"), most).collect()
-    all_bad = sum(r["bad"] for r in kept)
-    total = sum(r["n"] for r in kept)
+    if not bad or not good:
+        return tokens.where("false").select("token", F.lit(0.0).alias("odds"))
+    total, all_bad = tokens.agg(F.sum("n"), F.sum("bad")).first()
 
-    def share(own: int, word: int, of: int) -> float:
-        return math.log((own + SMOOTHING * word / total) / (of + SMOOTHING))
+    def share(own, of: int):
+        return F.log((own + F.lit(SMOOTHING) * F.col("n") / F.lit(float(total))) / F.lit(of + SMOOTHING))
 
-    odds = {r["word"]: share(r["bad"], r["n"], all_bad) - share(r["n"] - r["bad"], r["n"], total - all_bad) for r in kept}
-    return odds if 0 < bad < n else {}, math.log(bad + 0.5) - math.log(n - bad + 0.5)
+    return tokens.select("token", (share(F.col("bad"), all_bad) - share(F.col("n") - F.col("bad"), total - all_bad)).alias("odds"))
+
+
+def log_odds(sites: DataFrame, model: DataFrame, block_words=BLOCK_WORDS) -> DataFrame:
+    """Rows (site, log_odds) for stored ``sites`` (site, host, path, n), n being the rows with that host and path.
+
+    The tokens of a site are the words of its host, and those of its path marked by a slash. It is an example of "block"
+    if one of them is a listed word, else of "allow". ``log_odds`` are those of the examples plus those of the tokens.
+    """
+    letters = lambda c: F.regexp_extract_all(F.lower(F.col(c)), F.lit("[a-z]+"), F.lit(0))
+    runs = sites.select("site", F.explode(F.concat(
+        F.transform(letters("host"), lambda r: F.struct(F.lit("").alias("mark"), r.alias("run"))),
+        F.transform(letters("path"), lambda r: F.struct(F.lit("/").alias("mark"), r.alias("run"))))).alias("r")).select("site", "r.mark", "r.run")
+    runs = stored(runs.groupBy("site", "mark", "run").agg(F.count("*").alias("k")), "site-runs")
+    words = stored(segmented(runs.select("run").distinct(), model, block_words), "segments")
+    split = attach(runs, words, "run").select("site", "mark", "k", F.explode("words").alias("word"))
+    tokens = split.groupBy("site", F.concat("mark", "word").alias("token")).agg(F.sum("k").alias("k"))
+    tokens = stored(tokens, "site-tokens")
+    listed = tokens.where(F.col("token").isin([p + w for w in block_words for p in ("", "/")])).select("site").distinct()
+    marked = stored(sites.select("site", "n").join(listed.withColumn("hit", F.lit(1)), "site", "left").select("site", "n", F.coalesce("hit", F.lit(0)).alias("hit")), "examples")
+    n, bad = marked.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("hit")), F.lit(0))).first()
+    counted = tokens.join(marked, "site").groupBy("token").agg(F.sum(F.col("k") * F.col("n")).alias("n"), F.sum(F.col("k") * F.col("n") * F.col("hit")).alias("bad"))
+    odds = stored(token_odds(stored(counted, "tokens"), bad, n - bad), "odds")
+    scored = attach(tokens, odds, "token").groupBy("site").agg(F.sum(F.col("k") * F.col("odds")).alias("odds"))
+    prior = math.log(bad + 0.5) - math.log(n - bad + 0.5)
+    return sites.select("site").join(scored, "site", "left").select("site", (F.coalesce("odds", F.lit(0.0)) + prior).alias("log_odds"))
 
 
 def judged(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", rules=RULES, block_words=BLOCK_WORDS) -> DataFrame:
     """Rows (id, host, path, rule, verdict, log_odds): the rule's verdict where one fits, else the model's.
 
-    ``log_odds`` are the model's for every row; above 0 it says block. A null url, or one without ``://``, has an empty
-    host and path and is judged like others. Rows that repeat an id each get a result. Other columns are not read.
+    ``log_odds`` are the model's for every row; above 0 it says block, at 0 and below it says allow. A null url, or one
+    without ``://``, has an empty host and path and is judged like others. Rows that repeat an id each get a result,
+    equal urls the same one. Other columns are not read. No rows: an empty result.
     """
-    urls = pages.select(F.col(id), host_of(url).alias("host"), path_of(url).alias("path"))
+    urls = pages.select(F.col(id).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    sites = urls.groupBy("host", "path").agg(F.count("*").alias("n")).select(F.monotonically_increasing_id().alias("site"), "host", "path", "n")
+    sites = stored(sites, "sites")
+    scored = sites.join(log_odds(sites, stored(unigrams(pages, html), "words"), block_words), "site").select("host", "path", "log_odds")
     rule, verdict = rule_and_verdict("host", "path", rules)
-    segmenter = Segmenter(unigrams(pages, html), block_words)
-    split = stored(tokenized(urls.withColumns({"rule": rule, "verdict": verdict}), segmenter), "urls")
-    odds, prior = naive_bayes(split, block_words)
-    name = id
-
-    def score(batches):
-        for batch in batches:
-            total = [prior + sum(odds.get(t, 0.0) for t in own) for own in batch.column("tokens").to_pylist()]
-            verdict = [v or ("block" if x > 0 else "allow") for v, x in zip(batch.column("verdict").to_pylist(), total, strict=True)]
-            kept = [batch.column(c) for c in (name, "host", "path", "rule")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(verdict, pa.string()), pa.array(total, pa.float64())],
-                                             names=[name, "host", "path", "rule", "verdict", "log_odds"])
-
-    out = T.StructType([split.schema[id], *T._parse_datatype_string("host string, path string, rule string, verdict string, log_odds double").fields])
-    return split.mapInArrow(score, out)
+    out = attach(urls, stored(scored, "scored"), ["host", "path"])
+    verdict = F.coalesce(verdict, F.when(F.col("log_odds") > 0, "block").otherwise("allow"))
+    return out.select(F.col("id").alias(id), "host", "path", rule.alias("rule"), verdict.alias("verdict"), "log_odds")

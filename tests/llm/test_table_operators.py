@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -201,14 +202,56 @@ def brute_split(run, cost, unknown):
 
 
 def test_segmentation():
-    s = urls.Segmenter({"free": 50, "bet": 20, "bets": 30, "the": 200, "re": 90, "f": 2, "bread": 9}, extra=("casino",))
-    assert s.words("freebets") == ["free", "bets"] and s.words("casinobread") == ["casino", "bread"]
-    assert s.words("xqzfreexq") == ["xqz", "free", "xq"] and s.words("") == []
+    counts = {"free": 50, "bet": 20, "bets": 30, "the": 200, "re": 90, "f": 2, "bread": 9, "casino": 30}
+    s = urls.Segmenter(sum(counts.values()))
+    cost = {w: s.total - math.log(n) for w, n in counts.items()}
+    assert s.words("freebets", counts) == ["free", "bets"] and s.words("casinobread", counts) == ["casino", "bread"]
+    assert s.words("xqzfreexq", counts) == ["xqz", "free", "xq"] and s.words("", counts) == []
     for _ in range(200):
         run = "".join(RNG.choices("freebtsx", k=RNG.randrange(1, 14)))
-        words = s.words(run)
+        words = s.words(run, {w: n for w, n in counts.items() if w in run})
         assert "".join(words) == run
-        assert sum(s.cost.get(w, s.unknown * len(w)) for w in words) == pytest.approx(brute_split(run, s.cost, s.unknown))
+        assert sum(cost.get(w, s.unknown * len(w)) for w in words) == pytest.approx(brute_split(run, cost, s.unknown))
+
+
+def test_segments_use_every_word(spark, monkeypatch):
+    """Words of any length and any count are in the model, those beyond the prefix too."""
+    monkeypatch.setattr(urls, "PREFIX", 4)
+    counts = {"free": 50, "bets": 30, "freebet": 400, "hapaxlegomenon": 1, "a": 5, "hapax": 3, "xyz": 1}
+    model = spark.createDataFrame(list(counts.items()), "word string, n long")
+    runs = ["freebets", "hapaxlegomenon", "ahapaxlegomenonfree", "xyz", "freehapaxlegomeno", "q"]
+    got = {r.run: r.words for r in urls.segmented(spark.createDataFrame([(r,) for r in runs], "run string"), model, ("casino", "xyz")).collect()}
+    counts |= {"casino": 5, "xyz": 5}  # the middle count
+    s = urls.Segmenter(sum(counts.values()))
+    assert got == {r: s.words(r, {w: n for w, n in counts.items() if w in r}) for r in runs}
+    assert got["hapaxlegomenon"] == ["hapaxlegomenon"] and got["ahapaxlegomenonfree"] == ["a", "hapaxlegomenon", "free"]
+
+
+def test_all_words_of_the_pages_count(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    want = Counter()
+    for r in pages.collect():
+        text = re.sub(r"(?is)<(script|style)\b.*?</\1>|<[^>]*>", " ", r.html or "").lower()
+        want.update(re.findall("[a-z]+", text))
+    assert {r.word: r.n for r in urls.unigrams(pages).collect()} == dict(want)
+
+
+def test_bayes_by_definition(spark):
+    hosts = [("freebets.org", "/a/b"), ("greenstory.org", "/a"), ("greenstory.org", "/a"), ("casino.net", ""), ("storybets.org", "/b"), ("", "")]
+    pages = spark.createDataFrame([(k, f"http://{h}{p}" if h else None, "<p>green story green a b org net free</p>") for k, (h, p) in enumerate(hosts)], "page_id long, url string, html string")
+    got = {r.page_id: r.log_odds for r in urls.judged(pages).collect()}
+    tokens = [["free", "bets", "org", "/a", "/b"], ["green", "story", "org", "/a"], ["green", "story", "org", "/a"], ["casino", "net"], ["story", "bets", "org", "/b"], []]
+    bad = [bool({t.strip("/") for t in own} & set(urls.BLOCK_WORDS)) for own in tokens]
+    n = Counter(t for own in tokens for t in own)
+    of_bad = Counter(t for own, b in zip(tokens, bad, strict=True) if b for t in own)
+    total, all_bad, s = sum(n.values()), sum(of_bad.values()), urls.SMOOTHING
+
+    def odds(t):
+        share = lambda own, of: math.log((own + s * n[t] / total) / (of + s))
+        return share(of_bad[t], all_bad) - share(n[t] - of_bad[t], total - all_bad)
+
+    prior = math.log(sum(bad) + 0.5) - math.log(len(bad) - sum(bad) + 0.5)
+    assert got == pytest.approx({k: prior + sum(odds(t) for t in own) for k, own in enumerate(tokens)})
 
 
 # sharding
