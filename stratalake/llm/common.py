@@ -37,6 +37,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows travel to Python 1,000 at a time in this session, unless it sets another number: texts are long rows.
+
+    At Spark's default of 10,000 rows a batch of ordinary pages takes tens of megabytes in the JVM and again in Python,
+    for each task, and one of long texts any amount.
+    """
+    if spark.conf.get(_BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
+
+
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now: it does so once the driver's JVM has collected their plans.
 

@@ -1,10 +1,13 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-A training text meets a test item where they share a seed, any n-gram of the item however often it occurs. Around the
-seeds a window of the text is aligned with the item; the score counts matching words and charges replaced, missing and
-added ones, so edited copies score below exact ones by their edits. Windows that cannot reach the score, by the words
-and seeds that they share with the item, are told before the alignment. Texts never move: the test items are the stated
-query set, sent to the tasks in blocks of bounded size, and each text is judged where it is read.
+A training text meets a test item where they share a seed. Every place of an item begins one: its word if that is rare
+in the texts, else its word pair if that is rare, else its three words however often they occur. So a seed is as short,
+and as hard to edit away, as its rarity allows, and copies that repeat never lose theirs. Around the seeds a window of
+the text is aligned with the item; the score counts matching words and charges replaced, missing and added ones, so
+edited copies score below exact ones by their edits. Windows that cannot reach the score, by the words and seeds that
+they share with the item, are told before the alignment. Texts never move: the test items are the stated query set, sent
+to the tasks in blocks of bounded size; one pass over the texts counts a block's n-grams, another joins its seeds and
+aligns.
 """
 
 from __future__ import annotations
@@ -19,8 +22,10 @@ from pyspark.sql import types as T
 
 from .common import Words, grams, text_batches
 
-#: Words of a seed.
+#: Words of the longest seeds.
 SEED_WORDS = 3
+#: A shorter seed must occur in the texts at most so many times, as a share of the texts and at least.
+RARE_SHARE, RARE_LEAST = 2e-5, 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: The least score, as a share of that of an exact copy, at which a passage counts as a copy.
 LEAST_SCORE = 0.6
@@ -41,34 +46,47 @@ def normalised(texts: list[bytes]) -> Words:
 
 
 class Items:
-    """A block of test items: their words as numbers and their n-grams in sorted order."""
+    """A block of test items: their words as numbers and their seeds in sorted order."""
 
-    def __init__(self, ids: list, texts: list[bytes], n: int):
+    def __init__(self, ids: list, texts: list[bytes], n: int, frequent: dict[int, np.ndarray] | None = None):
+        """``frequent``: for each length below ``n`` the n-grams that are no seeds; without it all n-grams are listed, to be counted."""
         w = normalised(texts)
         self.ids, self.hashes, self.first, self.n = ids, w.hashes(), w.first, n
         self.size = np.diff(self.first)
-        # an item shorter than a seed is its own n-gram; one without words has none
-        starts = [np.arange(a, max(b - n, a) + 1) if b > a else np.zeros(0, np.int64) for a, b in zip(self.first, self.first[1:], strict=False)]
-        width = [np.full(len(s), min(n, b - a)) for s, a, b in zip(starts, self.first, self.first[1:], strict=False)]
-        item = np.repeat(np.arange(len(ids)), [len(s) for s in starts])
-        place = np.concatenate([*starts, np.zeros(0, np.int64)])
-        width = np.concatenate([*width, np.zeros(0, np.int64)])
-        gram = np.zeros(len(place), np.uint64)
-        for k in range(1, n + 1):
-            of = width == k
-            if of.any():
-                gram[of] = grams(self.hashes, k)[place[of]]
-        order = np.argsort(gram, kind="stable")
-        self.seed, self.seed_item = gram[order], item[order]
+        item = np.repeat(np.arange(len(ids)), self.size)
+        place = np.arange(len(item))
+        room = self.first[item + 1] - place
+        gram = {k: np.append(grams(self.hashes, k), np.zeros(k - 1, np.uint64))[:len(place)] for k in range(1, n + 1)}
+        short = self.size[item] < n  # an item shorter than a seed is its own n-gram
+        chosen: list[tuple[int, np.ndarray]] = []
+        if frequent is None:
+            chosen = [(k, np.flatnonzero((room >= k) & ~short)) for k in range(1, n)]
+        else:
+            left = ~short
+            for k in range(1, n + 1):
+                fits = left & (room >= k)
+                if k < n:
+                    fits &= ~np.isin(gram[k], frequent.get(k, np.zeros(0, np.uint64)))
+                chosen.append((k, np.flatnonzero(fits)))
+                left &= ~fits
+        for k in range(1, n):
+            chosen.append((k, np.flatnonzero(short & (room == self.size[item]) & (room == k))) if frequent is not None else (k, np.zeros(0, np.int64)))
+        self.keys = {}
+        for k, at in chosen:
+            if len(at):
+                self.keys[k] = np.union1d(self.keys.get(k, np.zeros(0, np.uint64)), gram[k][at])
+        place = np.concatenate([at for _, at in chosen])
+        seed = np.concatenate([gram[k][at] for k, at in chosen])
+        order = np.argsort(seed, kind="stable")
+        self.seed, self.seed_item = seed[order], item[place[order]]
         self.seed_place = place[order] - self.first[self.seed_item]
-        self.keys = {int(k): np.unique(gram[width == k]) for k in np.unique(width)}
         self._sieves, self._words = {}, {}
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_sieves": {}, "_words": {}}  # tasks make their own: they are larger than all else
 
     def sieve(self, k: int) -> np.ndarray:
-        """Which leading 24 bits the seeds of ``k`` words have."""
+        """Which leading bits the seeds of ``k`` words have."""
         if k not in self._sieves:
             self._sieves[k] = _sieve(self.keys[k])
         return self._sieves[k]
@@ -76,7 +94,7 @@ class Items:
     def bound(self, own: int, passage: np.ndarray, hits: int) -> float:
         """A score that no alignment of an item with a passage exceeds, where they share at most ``hits`` seeds.
 
-        Of m matched words, in runs that an edit parts, all but n - 1 a run begin a shared seed.
+        Of m matched words, in runs that an edit parts, all but n - 1 a run begin a shared seed of up to n words.
         """
         if own not in self._words:
             self._words[own] = np.unique(self.hashes[self.first[own]:self.first[own + 1]], return_counts=True)
@@ -91,7 +109,7 @@ class Items:
         found = []
         for k, keys in self.keys.items():
             g = grams(hashes, k)
-            at = np.flatnonzero(self.sieve(k)[(g >> np.uint64(40)).astype(np.int64)])
+            at = np.flatnonzero(self.sieve(k)[(g >> _SIEVE).astype(np.int64)])
             at = at[keys[np.minimum(np.searchsorted(keys, g[at]), len(keys) - 1)] == g[at]]
             found.append((at, g[at]))
         if not found:
@@ -99,9 +117,12 @@ class Items:
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+_SIEVE = np.uint64(64 - 22)
+
+
 def _sieve(keys: np.ndarray) -> np.ndarray:
-    out = np.zeros(1 << 24, bool)
-    out[(keys >> np.uint64(40)).astype(np.int64)] = True
+    out = np.zeros(1 << 22, bool)
+    out[(keys >> _SIEVE).astype(np.int64)] = True
     return out
 
 
@@ -150,15 +171,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     ``score`` is the alignment's share of an exact copy's, ``least`` or more. Words have no case and no ASCII
     punctuation; words are numbered from 0, ``end`` is past the last. Null and empty texts and items without words
     match nothing. Items with equal words are each reported; rows that repeat an id each report their own. Test items
-    are sent to the tasks in blocks of about ``block_words`` words, one pass over the texts for each block, so any number of
-    items is judged.
+    are sent to the tasks in blocks of about ``block_words`` words, two passes over the texts for each block, so any number
+    of items is judged.
     """
     name = id
     schema = T.StructType([docs.schema[id], benchmark.schema[item], *T._parse_datatype_string("score double, begin long, end long").fields])
     source = docs.select(F.col(id), F.col(text).alias("_text"))
-    found = []
+    found, limit = [], max(RARE_LEAST, int(RARE_SHARE * docs.count()))
     for ids, texts in _blocks(benchmark.select(F.col(item).alias("id"), F.col(item_text).alias("text")), block_words):
-        items = Items(ids, texts, seed_words)
+        items = Items(ids, texts, seed_words, _frequent(source.select("_text"), Items(ids, texts, seed_words), limit))
         if not len(items.seed):
             continue
         found.append(source.mapInArrow(_aligner(items, name, "_text", item, least), schema))
@@ -170,6 +191,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     return out
 
 
+def _frequent(source: DataFrame, items: Items, limit: int) -> dict[int, np.ndarray]:
+    """By length, the listed n-grams that occur over ``limit`` times in the texts; counts are over all texts."""
+
+    def count(batches):
+        for _, texts in text_batches(batches, "_text"):
+            w = normalised(texts)
+            hashes = w.hashes()
+            for k, keys in items.keys.items():
+                g = grams(hashes, k)
+                at = np.flatnonzero(items.sieve(k)[(g >> _SIEVE).astype(np.int64)])
+                at = at[keys[np.minimum(np.searchsorted(keys, g[at]), len(keys) - 1)] == g[at]]
+                at = at[at + k <= w.first[np.searchsorted(w.first, at, side="right")]]  # within one text
+                value, n = np.unique(g[at], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), k, np.int32)), pa.array(value.view(np.int64)), pa.array(n)], names=["k", "gram", "n"])
+
+    if not items.keys:
+        return {}
+    counted = source.mapInArrow(count, "k int, gram long, n long").groupBy("k", "gram").agg(F.sum("n").alias("n")).where(F.col("n") > limit)
+    told: dict[int, list[int]] = {}
+    for r in counted.select("k", "gram").collect():  # at most the block's n-grams
+        told.setdefault(r["k"], []).append(r["gram"])
+    return {k: np.sort(np.array(own, np.int64).view(np.uint64)) for k, own in told.items()}
+
+
 def _blocks(items: DataFrame, block_words: int):
     """The test items in blocks; rows come to the driver one partition at a time."""
     ids, texts, size = [], [], 0

@@ -11,7 +11,7 @@ from stratalake.operators.joins import attach
 from stratalake.sources.shared import new_folder
 
 from . import caps, cascade, decontaminate, interactions, licenses, packing, quality, runs, sharding, simhash, substrings, urls, warc
-from .common import stored
+from .common import small_batches, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -5,9 +5,11 @@ it; consecutive windows with the same minimiser travel as one packed string to t
 brings equal windows together. Equal windows have equal minimisers, so a bucket decides its windows alone.
 
 A minimiser that many super-k-mers share (a passage in a third of all texts, a phrase that is everywhere) would fill
-one bucket. Exact counts over all texts find those above a share of all super-k-mers; their windows travel singly,
-to the bucket of the whole window, and each batch of texts first drops its own repeats of such a window, so what many
-texts share reaches its bucket once a batch.
+one bucket. Exact counts over all texts find those above a share of all super-k-mers, or above a fixed number; their
+windows travel singly, to the bucket of the whole window. Repeats within a batch of texts are judged there and then:
+they travel without words and to any bucket, so that a window that many texts share reaches its own bucket once a batch.
+Rows of a bucket arrive in the order of id and start, so the first to hold a window is its origin, and a task keeps only
+rows that held a window first, however many follow.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, grams, plain_names, release_shuffles, stored, text_batches, trim
+from .common import Words, grams, mixed, plain_names, release_shuffles, stored, text_batches, trim
 
 WINDOW = 20
 #: Words of the n-grams that minimisers are taken from.
@@ -30,9 +32,10 @@ RUN = 64
 SHARE = 2e-4
 #: Super-k-mers below this number in a batch cannot matter to the share: a batch holds some thousands.
 _LOCAL = 3
-#: No bucket of fewer super-k-mers is dealt by windows.
-FLOOR = 1000
-_CHUNK = 16_000
+#: No bucket of fewer super-k-mers is dealt by windows, and every bucket of more than the most is.
+FLOOR, MOST = 1000, 1_000_000
+#: Rows that a task settles at a time.
+_CHUNK = 8_000
 
 
 class Packing:
@@ -74,6 +77,8 @@ def _windows(w: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray,
 
 def _runs(first: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last window of each super-k-mer."""
+    if not len(first):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     new = np.ones(len(first), bool)
     new[1:] = (least[1:] != least[:-1]) | (first[1:] != first[:-1] + 1)
     begin = np.flatnonzero(new)
@@ -108,8 +113,8 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     counted = source.select("text").mapInArrow(common, "least long, n long, rows long")
     counted = stored(counted.groupBy("least").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")), "minimisers")
     total = counted.agg(F.sum("rows")).first()[0] or 0
-    hot = np.array([r[0] for r in counted.where(F.col("n") > max(share * total, FLOOR)).select("least").collect()], np.int64)
-    hot = np.sort(hot.view(np.uint64))  # at most 1 / share numbers
+    hot = np.array([r[0] for r in counted.where(F.col("n") > max(min(share * total, MOST), FLOOR)).select("least").collect()], np.int64)
+    hot = np.sort(hot.view(np.uint64))  # at most 1 / share numbers, or one for each MOST super-k-mers
 
     packing = Packing([r[0].encode() for r in source.select(F.substring("text", 1, 8000)).where("text is not null").limit(300).collect()])
 
@@ -119,7 +124,7 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
             yield from _super_kmers(batch, texts, window, gram, hot, pack)
 
     moved = source.mapInArrow(cut, "key long, id long, place long, words binary")
-    dealt = moved.repartition("key").sortWithinPartitions("key")
+    dealt = moved.repartition("key").sortWithinPartitions("key", "id", "place")
 
     def settle(batches):
         yield from _settled(batches, window, packing.unpacker())
@@ -152,6 +157,7 @@ def _super_kmers(batch: pa.RecordBatch, texts: list[bytes], window: int, gram: i
     spans = zip(w.start[firsts].tolist(), w.end[firsts + counts + window - 2].tolist(), known.tolist(), strict=True)
     packed = [None if k else pack(view[a:b]) for a, b, k in spans]
     place = (firsts - w.first[owner] << 32) + (tags[owner].astype(np.int64) & 0xFFFFFFFF)
+    keys[known] = mixed(place[known].view(np.uint64) ^ mixed(ids[owner[known]].view(np.uint64)))  # judged: any bucket will do
     yield pa.RecordBatch.from_arrays(
         [pa.array(keys.view(np.int64)), batch.column("id").take(pa.array(owner)), pa.array(place), pa.array(packed, pa.binary())],
         names=["key", "id", "place", "words"])
@@ -181,34 +187,39 @@ def _repeats(w: Words, first: np.ndarray, number: np.ndarray, ids: np.ndarray, s
 
 
 def _settled(batches, window: int, unpack):
-    """Spans of repeated windows from rows that come sorted by key; whole keys are settled together."""
-    held, size = [], 0
+    """Spans of repeated windows from rows that come sorted by key, id and place.
+
+    Of a key that goes on beyond a chunk the rows that held a window first are kept to judge those that follow.
+    """
+    held, size, kept = [], 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
         size += batch.num_rows
-        if size < _CHUNK:
+        if size < max(_CHUNK, 2 * kept):
             continue
         rows = pa.Table.from_batches(held)
-        keys = rows.column("key").to_numpy()
-        cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
-        if cut:
-            yield from _chunk_spans(rows.slice(0, cut), window, unpack)
-            rows = rows.slice(cut)
-        held, size = rows.to_batches(), rows.num_rows
+        spans, first = _chunk_spans(rows, kept, window, unpack)
+        yield from spans
+        first &= rows.column("key").to_numpy() == rows.column("key")[-1].as_py()
+        left = rows.filter(pa.array(first)).combine_chunks()
+        held, kept = left.to_batches(), left.num_rows
+        size = kept
     if held:
-        yield from _chunk_spans(pa.Table.from_batches(held), window, unpack)
+        yield from _chunk_spans(pa.Table.from_batches(held), kept, window, unpack)[0]
     trim()
 
 
-def _chunk_spans(rows: pa.Table, window: int, unpack):
+def _chunk_spans(rows: pa.Table, kept: int, window: int, unpack) -> tuple[list[pa.RecordBatch], np.ndarray]:
+    """Spans of the rows but the first ``kept``, and which rows hold a window first."""
     rows = rows.combine_chunks()
     known = rows.column("words").is_null().to_numpy()
     ids, place = _ids(rows.column("id").combine_chunks()), rows.column("place").to_numpy()
     start, tags = place >> 32, (place & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
     fresh = np.flatnonzero(~known)
     parts = [(known.nonzero()[0], start[known], start[known])]  # rows, first and last repeated window
+    first_here = np.zeros(rows.num_rows, bool)
     if len(fresh):
         w = Words([unpack(x) for x in rows.column("words").take(pa.array(fresh)).to_pylist()])
         count = np.diff(w.first) - window + 1
@@ -217,6 +228,8 @@ def _chunk_spans(rows: pa.Table, window: int, unpack):
         number = grams(w.hashes(), window)[first]
         at = start[owner] + within
         again = _repeats(w, first, number, ids[owner], at, window)
+        first_here[owner[~again]] = True
+        again &= owner >= kept
         if again.any():
             rank = np.flatnonzero(again)
             row, at = owner[rank], at[rank]
@@ -225,10 +238,12 @@ def _chunk_spans(rows: pa.Table, window: int, unpack):
             begin = np.flatnonzero(new)
             parts.append((row[begin], at[begin], at[np.append(begin[1:], len(at)) - 1]))
     row, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
-    if len(row):
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("id").take(pa.array(row)).combine_chunks(), pa.array(tags[row]), pa.array(low.astype(np.int32)),
-             pa.array((high + window).astype(np.int32))], names=["id", "tag", "begin", "end"])
+    if not len(row):
+        return [], first_here
+    out = pa.RecordBatch.from_arrays(
+        [rows.column("id").take(pa.array(row)).combine_chunks(), pa.array(tags[row]), pa.array(low.astype(np.int32)),
+         pa.array((high + window).astype(np.int32))], names=["id", "tag", "begin", "end"])
+    return [out], first_here
 
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM,

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,38 @@ def test_words_have_equal_numbers_whatever_their_place(monkeypatch):
     assert grams(w.hashes()[:2], 3).tolist() == []
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 50])
+def test_keys_that_go_on_beyond_a_chunk(monkeypatch, repeats, chunk):
+    """Spans do not depend on where chunks of a bucket are cut; every minimiser is dealt by windows and by super-k-mers."""
+    texts = [(t or "").encode() for t in repeats]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(range(len(texts)))), pa.array([0] * len(texts), pa.int32())], names=["id", "tag"])
+    w = Words(texts)
+    _, least, _ = substrings._windows(w, 20, 3)
+    packing_ = substrings.Packing([])
+    for hot in (np.zeros(0, np.uint64), np.unique(least)):
+        parts = []
+        for i in range(len(texts)):  # every text a batch, so nothing is judged before the buckets
+            parts += substrings._super_kmers(batch.slice(i, 1), texts[i:i + 1], 20, 3, hot, packing_.packer())
+        rows = pa.Table.from_batches(parts).sort_by([("key", "ascending"), ("id", "ascending"), ("place", "ascending")]).combine_chunks()
+        spans = []
+        for size in (10**9, chunk):
+            monkeypatch.setattr(substrings, "_CHUNK", size)
+            found = [tuple(x.values()) for b in substrings._settled(iter(rows.to_batches(max_chunksize=7)), 20, packing_.unpacker()) for x in b.to_pylist()]
+            covered = {(i, k) for i, _, a, b in found for k in range(a, b)}
+            spans.append(covered)
+        assert spans[0] == spans[1] and spans[0]
+
+
+def test_judged_rows_go_to_any_bucket():
+    shared = prose(20).encode()
+    texts = [shared] * 300
+    batch = pa.RecordBatch.from_arrays([pa.array(list(range(300))), pa.array([0] * 300, pa.int32())], names=["id", "tag"])
+    _, least, _ = substrings._windows(Words(texts), 20, 3)
+    rows = pa.Table.from_batches(list(substrings._super_kmers(batch, texts, 20, 3, np.unique(least), substrings.Packing([]).packer())))
+    assert rows.num_rows == 300 and rows.column("words").null_count == 299
+    assert max(Counter(rows.column("key").to_pylist()).values()) == 1
+
+
 # packing
 
 def test_packing(spark):
@@ -274,6 +307,43 @@ def test_decontamination_of_repeated_edited_and_partial_copies(spark):
     assert len(wanted) == 603 and got == pytest.approx(wanted)
 
 
+def _inserted(words):
+    return [x for k, w in enumerate(words) for x in ([w, f"added{k}"] if k % 2 else [w])]
+
+
+def _replaced(words):
+    return [f"other{k}" if k % 5 == 2 else w for k, w in enumerate(words)]
+
+
+def _dropped(words):
+    return [w for k, w in enumerate(words) if k % 6 != 3]
+
+
+@pytest.mark.parametrize("edit", [_inserted, _replaced, _dropped, lambda w: w[:int(0.65 * len(w))], lambda w: w])
+def test_recall_of_edited_copies(spark, edit):
+    """Copies with a word added after every second one, a fifth replaced, a sixth dropped, or cut, in many documents each."""
+    rng = random.Random(9)
+    items = [prose(rng.randrange(24, 60)) for _ in range(20)]
+    texts = [f"{prose(30)} {' '.join(edit(items[k % 20].split()))} {prose(30)}" for k in range(400)] + [prose(80) for _ in range(100)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(frame(spark, texts), benchmark).collect()}
+    wanted = set()
+    for d, t in enumerate(texts[:400]):
+        own = items[d % 20].split()
+        if brute_align(own, t.split()) >= 0.6 * 2 * len(own):
+            wanted.add((d, d % 20))
+    assert len(wanted) >= 300 and len(wanted & got) >= 0.99 * len(wanted)
+
+
+def test_rare_words_and_pairs_are_seeds():
+    items = decontaminate.Items([0, 1], [b"aa bb cc dd", b"aa bb"], 3, {})
+    assert sorted(items.keys) == [1, 2] and len(items.keys[1]) == 4 and len(items.seed) == 5
+    h = decontaminate.normalised([b"aa bb cc dd"]).hashes()
+    common = {1: np.sort(grams(h, 1)[[0, 1]]), 2: np.sort(grams(h, 2)[[0]])}
+    items = decontaminate.Items([0], [b"aa bb cc dd"], 3, common)
+    assert {k: len(v) for k, v in items.keys.items()} == {1: 2, 2: 1, 3: 1}
+
+
 # licences
 
 def brute_dice(text, template):
