@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import decontaminate, packing, quality, simhash, substrings
-from stratalake.llm.common import plain_names, stored
+from stratalake.llm.common import plain_names, small_batches, stored
 from stratalake.operators.joins import attach
 
 #: SQL cannot express the ranking, the fingerprints or the packing: the tests hold each stage against brute force.
@@ -21,6 +21,7 @@ ORACLE_SQL = None
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, str, str]:
     """``docs`` with names that no operator uses, and those of doc_id and text."""
+    small_batches(docs.sparkSession)
     names = [c.lower() for c in docs.columns]
     return plain_names(docs), f"c{names.index('doc_id')}", f"c{names.index('text')}"
 
@@ -35,13 +36,14 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the ranking learned from ``labels`` does not reject."""
-    ranking = quality.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet").select("doc_id", "quality"))
     plain, _, text = _plain(docs)
+    ranking = quality.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet").select("doc_id", "quality"))
     return quality.scored(plain, ranking, text).where("predicted = 1").drop("score", "predicted").toDF(*docs.columns)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each component of documents whose fingerprints differ in few bits the one with the smallest id."""
+    small_batches(spark)
     found = simhash.near_duplicates(docs.select("doc_id", "text"))
     return _without(docs, found.where("doc_id != component_id").select("doc_id"))
 
@@ -60,6 +62,7 @@ def no_repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> D
 
 def no_test_items(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no copy of a benchmark item."""
+    small_batches(spark)
     items = spark.read.parquet(f"{folder.rstrip('/')}/benchmark.parquet").select("item_id", "text")
     found = decontaminate.contaminated(docs.select("doc_id", "text"), items)
     return _without(docs, found.select("doc_id"))
@@ -67,6 +70,7 @@ def no_test_items(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The place of every piece of every document's tokens, with a checksum of its ids."""
+    small_batches(spark)
     pieces = packing.token_pieces(docs.select("doc_id", "text"))
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
