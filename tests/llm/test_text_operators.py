@@ -355,23 +355,68 @@ def brute_dice(text, template):
     return 2 * (a & b).total() / (a.total() + b.total())
 
 
+def plain_words(text):
+    return "".join(c.lower() if c.isalnum() or ord(c) > 127 else " " for c in text or "").split()
+
+
+def brute_passages(text, templates, least):
+    """By looking at every passage: the best from each place for each template, then the best ones that do not overlap."""
+    words, found = plain_words(text), []
+    for t, (name, template) in enumerate([(n, x) for n, own in templates.items() for x in own]):
+        b = Counter(zip(plain_words(template), plain_words(template)[1:], strict=False))
+        for i in range(len(words)):
+            best = (0.0, 0)
+            for j in range(i + 2, len(words) + 1):
+                a = Counter(zip(words[i:j], words[i + 1:j], strict=False))
+                dice = 2 * (a & b).total() / (a.total() + b.total())
+                if dice > best[0] + 1e-12:
+                    best = (dice, j)
+            if best[0] >= least and (words[i], words[i + 1]) in b:
+                found.append((-best[0], i, -best[1], t, name))
+    out, taken = [], []
+    for dice, i, j, _, name in sorted(found):
+        j = -j
+        if all(j <= x or i >= y for x, y in taken):
+            taken.append((i, j))
+            out.append((name, pytest.approx(-dice), i, j))
+    return out
+
+
+def test_licence_passages_by_brute_force(spark):
+    templates = {"one": ("aa bb cc dd ee ff", "aa bb aa bb gg hh"), "two": ("cc dd ee gg hh aa bb",)}
+    texts = [" ".join(RNG.choices(["aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh", "zz", "aa bb", "cc dd ee"], k=RNG.randrange(0, 16))) for _ in range(60)]
+    texts += ["aa bb cc dd ee ff. AA bb, cc dd ee ff", "zz aa bb cc dd zz ee ff", None, ""]
+    got = {}
+    for r in licenses.scan(frame(spark, texts), templates=templates, least=0.7).collect():
+        got.setdefault(r.doc_id, []).append((r.license, r.dice, r.begin, r.end))
+    for d, text in enumerate(texts):
+        want = brute_passages(text, templates, 0.7)
+        assert sorted(got.get(d, []), key=lambda x: x[2]) == sorted(want, key=lambda x: x[2])
+    assert len(got) > 10
+
+
 def test_licence_scan(spark):
     mit = licenses.TEMPLATES["MIT"][1]
     words = mit.split()
     wrapped = "\n".join(" ".join(words[i:i + 9]) for i in range(0, len(words), 9))
     changed = wrapped.replace("Software", "Program", 3)
+    bsd = licenses.TEMPLATES["BSD-2-Clause"][0]
     texts = [f"{prose(40)}\n{wrapped}\n{prose(30)}", changed, "Licensed under CC BY-NC 4.0.", "licensed under the apache license version 2.0", prose(500), None, "",
-             "Licensed to you\nby nobody", "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.\n" + prose(9)]
+             "Licensed to you\nby nobody", "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.\n" + prose(9),
+             f"{prose(250)} {mit} {prose(250)}", f"{prose(100)} Licensed under the Apache License, Version 2.0. {prose(100)}", f"{prose(60)} {bsd}", prose(30_000) + " " + mit]
     got = {}
     for r in licenses.scan(frame(spark, texts)).collect():
         got.setdefault(r.doc_id, []).append((r.license, r.dice, r.begin, r.end))
     assert {d: sorted(x[0] for x in v) for d, v in got.items()} == {
-        0: ["MIT"], 1: ["MIT"], 2: ["CC-BY-NC-4.0"], 3: ["Apache-2.0"], 8: ["CC-BY-NC-4.0", "MIT"]}
-    assert got[0][0][1] == 1.0 and got[0][0][2] == 40
-    assert got[1][0][1] == pytest.approx(brute_dice(changed, mit))
+        0: ["MIT"], 1: ["MIT"], 2: ["CC-BY-NC-4.0"], 3: ["Apache-2.0"], 8: ["CC-BY-NC-4.0", "MIT"], 9: ["MIT"], 10: ["Apache-2.0"], 11: ["BSD-2-Clause"], 12: ["MIT"]}
+    n = len(plain_words(mit))
+    assert got[0][0][1:] == (1.0, 40, 40 + n) and got[9][0][1:] == (1.0, 250, 250 + n) and got[12][0][1:] == (1.0, 30_000, 30_000 + n)
+    assert got[1][0][1] >= brute_dice(changed, mit) - 1e-9
     assert licenses.scan(frame(spark, [])).count() == 0
+    own = {"mine": ("one two three four five six seven",)}
+    assert [r.license for r in licenses.scan(frame(spark, ["x one two three four five six seven y", mit]), templates=own).collect()] == ["mine"]
     with pytest.raises(ValueError):
-        licenses.scan(frame(spark, []), least=0.5)
+        licenses.scan(frame(spark, []), least=0.4)
 
 
 # quality
