@@ -7,7 +7,7 @@ orders consultations. Consultations and reviews land as CSV files and are read b
 from __future__ import annotations
 
 import uuid
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,7 +25,7 @@ from stratalake.plans.registry import Tables, query
 from stratalake.plans.sql_parts import AS_OF
 from stratalake.sources.lake import Lake
 from stratalake.sources.landing import sink_landing
-from stratalake.sources.shared import new_folder
+from stratalake.sources.shared import checkpointed, new_folder
 
 _KINDS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
@@ -106,6 +106,7 @@ def demo(t: Tables) -> Demo:
     state = files.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()  # names and sizes, not content
     key = (t.spark.sparkContext.applicationId, t.folder, tuple(state))
     if key not in _demos:
+        _demos.clear()  # the layers of one folder at a time
         _demos[key] = Demo(t)
     return _demos[key]
 
@@ -182,12 +183,25 @@ def build_review_sample(t: Tables):
     FROM consultas c LEFT JOIN pacientes p USING (id_paciente)""")
 def visit_references(t: Tables):
     """Visits refer to the customers that there are: none to others."""
-    visits, people = consultations(t), patients(t).select("id_paciente")
+    visits, people = checkpointed(consultations(t).select("id_paciente")), patients(t).select("id_paciente")
     audit = orphan_audit(visits, "id_paciente", people, "id_paciente").drop("orphan_keys")
     reached = visits.select("id_paciente").distinct().join(people, "id_paciente", "left_semi").agg(F.count("*").alias("n_reached"))
     return audit.withColumn("n_reached", reached.scalar())
 
 
+@query("report_build", f"""WITH {_VISITS_SQL}, {_REVIEWS_SQL}
+    SELECT 'hospitais' AS layer, count(*) AS n FROM supplier UNION ALL SELECT 'pacientes', count(*) FROM customer UNION ALL
+    SELECT 'consultas', count(*) FROM consultas UNION ALL SELECT 'avaliacoes', count(*) FROM avaliacoes UNION ALL
+    SELECT 'visao', count(*) FROM consultas UNION ALL
+    SELECT 'kpis', count(DISTINCT id_hospital) FROM consultas WHERE id_paciente IS NOT NULL AND status <> '{V.CANCELLED}'""")
+def report_build(t: Tables):
+    """All layers of the demo built from the tables, every time that it is asked for; the reports below read such layers."""
+    d = Demo(t)
+    layers = {"hospitais": d.hospitals, "pacientes": d.patients, "consultas": d.visits, "avaliacoes": d.reviews, "visao": d.view, "kpis": d.gold}
+    counts = [df.agg(F.lit(name).alias("layer"), F.count("*").alias("n")) for name, df in layers.items()]
+    return reduce(DataFrame.unionAll, counts)
+
+
 @query("report_by_hospital", f"""{_VIEW_SQL}
     SELECT id_hospital, nome_hospital, cidade, especialidade, count(id_consulta) AS total_consultas,
       round(avg(tempo_espera_minutos), 4) AS tempo_espera_medio,
