@@ -36,7 +36,7 @@ class ProductCode:
     def __init__(self, dimension: int, vectors: int):
         self.half = dimension // 2
         bits = math.ceil(math.log2(max(vectors, 1) * LISTED / FILL + 1) / 2)
-        self.size = 1 << min(max(bits, 4), 11)
+        self.size = 1 << min(max(bits, 4), 14)
         self.threshold = NormalDist().inv_cdf(1 - min(0.5, LISTED / self.size**2)) / math.sqrt(dimension)
         random = np.random.default_rng(dimension)
         unit = lambda n, d: (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(random.standard_normal((n, d)))
@@ -106,8 +106,9 @@ def linked(vectors: DataFrame, id: str = "vec_id", embedding: str = "embedding",
                 at = pa.array(np.flatnonzero(d == size))
                 own = batch.take(at)
                 codes.setdefault(size, ProductCode(size, total))
-                for k in range(0, own.num_rows, 2048):
-                    part = own.slice(k, 2048)
+                step = max(64, min(2048, (1 << 22) // codes[size].size))  # rows of inner products with all codewords
+                for k in range(0, own.num_rows, step):
+                    part = own.slice(k, step)
                     row, f = codes[size].listed(_vectors(part.column("v")))
                     taken = pa.array(row)
                     yield pa.RecordBatch.from_arrays([*(part.column(c).take(taken) for c in ("rid", "label", "d")), pa.array(f)], names=["rid", "label", "d", "f"])
