@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from stratalake.functions.draws import draw
 from stratalake.operators import lookup as L
 from stratalake.operators import sequence as Q
-from stratalake.operators.generate import inline, load_static
+from stratalake.operators.generate import inline, load_static, pool
 from stratalake.operators.joins import attach
 from stratalake.plans import sql_parts as S
 from stratalake.plans.registry import Tables, query
@@ -48,6 +48,19 @@ def pool_lookup(t: Tables):
     return L.pool_lookup(t.customer.select("c_custkey"), "c_custkey", 31, t.nation, "n_name")
 
 
+_KINDS = ("App", "Kiosk", "SMS", "Site", "WhatsApp")
+
+
+@query("pool_draw", f"""
+    WITH pool AS (SELECT unnest({S.strings(_KINDS)}) AS channel, generate_subscripts({S.strings(_KINDS)}, 1) - 1 AS idx)
+    SELECT channel, count(*) AS n, min(o_orderkey) AS first_key FROM orders JOIN pool ON idx = (o_orderkey * 13) % {len(_KINDS)} GROUP BY 1""")
+def pool_draw(t: Tables):
+    """Each order's channel from a literal pool, by its place in the pool."""
+    listed = pool(t.spark, _KINDS[::-1], "channel", "idx")
+    drawn = t.orders.select("o_orderkey", draw("o_orderkey", 13, len(_KINDS)).cast("int").alias("idx"))
+    return attach(drawn, listed, "idx").groupBy("channel").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"))
+
+
 @query("weighted_draw", """
     WITH bounds AS (SELECT s_suppkey, sum(1 + s_suppkey % 7) OVER (ORDER BY s_suppkey) AS hi,
         sum(1 + s_suppkey % 7) OVER (ORDER BY s_suppkey) - (1 + s_suppkey % 7) AS lo FROM supplier)
