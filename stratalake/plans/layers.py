@@ -6,10 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from stratalake.plans.landing import EVENTS
 from stratalake.plans.registry import Tables, query
 from stratalake.sources import gold as G
 from stratalake.sources.lake import Lake
+from stratalake.sources.landing import sink_landing
 from stratalake.sources.shared import new_folder
+from stratalake.streaming.ingest import IncrementalIngest, follow
 
 
 def _lake(t: Tables, name: str) -> Lake:
@@ -82,3 +85,21 @@ def gold_compacted(t: Tables):
     figures.refresh({str(m): t.orders.where(month == m) for m in (1, 2, 3)})
     figures.compact("first quarter", ["1", "2", "3"])
     return figures.refresh({"rest": t.orders.where(month > 3)})
+
+
+@query("gold_from_deliveries", """
+    SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users, round(avg(value), 4) AS mean_value, min(event_id) AS first_event
+    FROM events WHERE value >= 0 AND event_id % 4 < 3 GROUP BY 1""")
+def gold_from_deliveries(t: Tables):
+    """Four deliveries land one by one; after each the gold table takes the rows of the new batch alone. The last lacks a column."""
+    base = new_folder(t.spark, "follow")
+    ingest = IncrementalIngest(t.spark, f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint", EVENTS)
+    figures = G.IncrementalGold(_lake(t, "followed"), "events_by_type", ["event_type"], {
+        "n": G.rows(), "n_users": G.distinct("user_id"), "mean_value": G.mean(F.col("value").cast("decimal(18,6)")), "first_event": G.least("event_id")})
+    out = None
+    for k in range(4):
+        columns = EVENTS.names if k < 3 else EVENTS.names[:-1]
+        sink_landing(t.events.where(F.col("event_id") % 4 == k).select(*columns), f"{base}/landing", append=True)
+        ingest.run()
+        out = follow(ingest, figures, lambda df: df.where("value >= 0"))
+    return out

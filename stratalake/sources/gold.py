@@ -102,8 +102,10 @@ class IncrementalGold:
         self._tell(told)
 
     def publish(self) -> DataFrame:
-        """Write the gold table from the stored states."""
+        """Write the gold table from the stored states; there must be a batch."""
         folders = list(self.batches().values())
+        if not folders:
+            raise ValueError("no batch has been taken yet")
         merged = self._merged(folders)
         figures = [F.col(k) for k in self.keys]
         for name, m in self.measures.items():

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.sources.contract import REASONS, Contract, judged
+from stratalake.sources.gold import IncrementalGold
 from stratalake.sources.landing import scan_by_name
 
 _CORRUPT = "_corrupt"
@@ -69,9 +72,25 @@ class IncrementalIngest:
             stored = self.spark.createDataFrame([], schema)
         return stored.where(F.col("verdict") == verdict)
 
+    def batch_ids(self) -> list[int]:
+        """The batches that hold accepted rows."""
+        told = self._read("good").select("batch_id").distinct().collect()  # a row per batch; the number is a folder name
+        return sorted(r["batch_id"] for r in told)
+
     def good(self) -> DataFrame:
         return self._read("good").select(*self.contract.names, "batch_id")
 
     def quarantine(self) -> DataFrame:
         """Refused rows with the reasons: the landed fields as JSON, or the line itself if it has other fields."""
         return self._read("quarantine").select("_raw", REASONS, "batch_id")
+
+
+def follow(ingest: IncrementalIngest, figures: IncrementalGold, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Bring a gold table up to the batches that an ingest has taken: only rows of new batches are read.
+
+    ``prepare`` makes the rows that figures are computed from, say by joining dimensions. Repeated after a failure it
+    leaves the same figures, as a batch's states replace themselves.
+    """
+    new = [b for b in ingest.batch_ids() if str(b) not in figures.batches()]
+    rows = ingest.good()
+    return figures.refresh({str(b): prepare(rows.where(F.col("batch_id") == b)) for b in new})

@@ -20,7 +20,7 @@ def lake(spark):
     made.drop()
 
 
-@pytest.mark.parametrize("name", ["table_replaced_whole", "gold_incremental", "gold_compacted", "landing_inventory", "ingest_drift"])
+@pytest.mark.parametrize("name", ["table_replaced_whole", "gold_incremental", "gold_compacted", "gold_from_deliveries", "landing_inventory", "ingest_drift"])
 def test_sql(spark, name):
     assert compare(registered.queries()[name](spark, FOLDER), duck(FOLDER), registered.oracle_sql()[name]) is None
 
