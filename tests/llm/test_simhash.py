@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from stratalake.llm import simhash
+from stratalake.llm.common import components
 
 SCHEMA = "doc_id long, text string, fp string, key string"
 
@@ -102,3 +103,27 @@ def test_stars_hold_for_numbers_of_both_signs():
     fp = np.array([1, 3, 1 - (1 << 63), 12345678901234567], np.int64)
     u, v = simhash._stars(fp, 4)
     assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {1: 1 - (1 << 63), 3: 1 - (1 << 63)}
+
+
+@pytest.mark.parametrize("limit", ["67108864", "0"])
+def test_components_of_hubs(spark, limit):
+    """A hub with most links, chains and loose pairs, by broadcast and by spread joins."""
+    links = [(1, k) for k in range(100, 700)] + [(k, k + 1) for k in range(1000, 1030)] + [(5000, 100), (7001, 7000), (8, 8)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in links:
+        a, b = sorted((root(u), root(v)))
+        parent[b] = a
+    spark.conf.set("spark.stratalake.broadcastBytes", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.node: r.root for r in components(spark.createDataFrame(links * 2, "u long, v long")).collect()}
+    finally:
+        spark.conf.unset("spark.stratalake.broadcastBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {x: root(x) for x in parent if x != 8}

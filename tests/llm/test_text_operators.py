@@ -449,6 +449,36 @@ def test_quality_sample_is_bounded_whatever_repeats(spark, monkeypatch):
     assert sizes[2] <= 200
 
 
+def test_ranking_by_definition():
+    """The weights are where the mean logistic loss of pairs, with its penalty, has no slope; the cut is the quantile of label 0."""
+    random_ = np.random.default_rng(1)
+    y = (np.arange(400) % 4 > 0).astype(int)
+    x = random_.standard_normal((400, quality.N_FEATURES)) + y[:, None] * random_.standard_normal(quality.N_FEATURES) * 0.4
+    r = quality.Ranking(x, y, pairs=5000)
+    z = (x - r.mean) / r.scale
+    again = np.random.default_rng(7)
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    difference = z[again.choice(good, 5000)] - z[again.choice(bad, 5000)]
+    loss = lambda w: np.mean(np.log1p(np.exp(-difference @ w))) + 1e-3 / 2 * w @ w
+    for k in range(quality.N_FEATURES):
+        step = np.zeros(quality.N_FEATURES)
+        step[k] = 1e-3
+        assert abs(loss(r.weights + step) - loss(r.weights - step)) / 2e-3 < 1e-4
+    assert (z @ r.weights < r.cut).sum() == (y == 0).sum()
+
+
+def test_features_by_definition():
+    text = "Ab, c! 12 | ## x_y\nab é\nab é"
+    raw = text.encode()
+    out = quality.features([raw, b""])
+    shares = [sum(c in g for c in raw) / len(raw) for g in quality._GROUPS]
+    words = raw.split()
+    assert out[0, :len(shares)] == pytest.approx(shares)
+    assert out[0, len(shares):] == pytest.approx([sum(w[-1] in b"!|#$%&*@^~+=<>" for w in words) / len(words), len(set(words)) / len(words), 2 / 3,
+                                                  np.log1p(len(words)), len(raw) / len(words) / 10, 0])
+    assert out[1].tolist() == [0.0] * len(shares) + [0, 0, 0, 0, 0, 1]
+
+
 @pytest.mark.parametrize(("values", "score"), [([], 1.0), ([1, 1], 1.0), ([0, 0], 0.0)])
 def test_quality_without_two_classes(spark, values, score):
     docs = frame(spark, ["a b", "c d", None])
