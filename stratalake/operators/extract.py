@@ -8,13 +8,13 @@ sequences of the phrases' lengths.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.functions.draws import col
 from stratalake.operators.joins import attach, broadcast_limit, measured_bytes
+from stratalake.sources.shared import checkpointed
 
 #: Words that negate a phrase which begins within ``REACH`` words behind them.
 NEGATIONS = ("no", "not", "without", "never", "kein", "keine", "nicht", "ohne", "sin", "nunca", "sans", "pas", "sem", "não")
@@ -39,7 +39,7 @@ def extract_phrases(
     ones of a category count once. Rows that repeat a key each report their own.
     """
     listed = phrases.select(F.col(category).alias("category"), F.array_join(text_words(phrase), " ").alias("phrase"))
-    listed = listed.where("phrase != '' and category is not null").distinct()
+    listed = checkpointed(listed.where("phrase != '' and category is not null").distinct())  # it is measured, then read
     words = texts.select(F.col(key), text_words(text).alias("words"))
     if measured_bytes(listed)[0] <= broadcast_limit(texts, broadcast_bytes):
         found = _by_automaton(words, key, listed, reach)
@@ -89,16 +89,15 @@ def _by_automaton(words: DataFrame, key: str, listed: DataFrame, reach: int) ->
 
 def _by_join(words: DataFrame, key: str, listed: DataFrame, reach: int) -> DataFrame:
     """Occurrences with the ``reach`` words before each."""
-    size = F.size(F.split("phrase", " "))
-    found = []
-    for n in [r[0] for r in listed.select(size).distinct().collect()]:  # lengths in words
-        at = F.col("at")
-        before = F.slice("words", F.greatest(at - reach, F.lit(1)), F.least(at - 1, F.lit(reach)))
-        placed = words.where(F.size("words") >= n).withColumn("at", F.explode(F.sequence(F.lit(1), F.size("words") - n + 1)))
-        grams = placed.select(key, F.array_join(F.slice("words", at, F.lit(n)), " ").alias("phrase"), (at - 1).cast("bigint").alias("begin"), before.alias("before"))
-        part = attach(grams, listed.where(size == n), "phrase")
-        found.append(part.select(key, "before", "category", "phrase", "begin", (F.col("begin") + n).alias("end")))
-    if not found:
-        nothing = ("cast(null as array<string>) before", "'' category", "'' phrase", "0L begin", "0L end")
-        return words.where("false").selectExpr(key, *nothing)
-    return reduce(DataFrame.unionAll, found)
+
+    def sequences(n: int) -> Column:
+        """All sequences of n words: what they say, where they begin and the words before."""
+        return F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda i: F.struct(
+            F.array_join(F.slice("words", i + 1, F.lit(n)), " ").alias("phrase"), i.cast("bigint").alias("begin"), (i + n).cast("bigint").alias("end"),
+            F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach))).alias("before")))
+
+    nothing = F.array().cast("array<struct<phrase: string, begin: bigint, end: bigint, before: array<string>>>")
+    sizes = [r[0] for r in listed.select(F.size(F.split("phrase", " "))).distinct().collect()]  # lengths in words
+    grams = F.concat(nothing, *[F.when(F.size("words") >= n, sequences(n)).otherwise(nothing) for n in sizes])
+    placed = words.select(key, F.explode(grams).alias("g")).select(key, "g.phrase", "g.begin", "g.end", "g.before")
+    return attach(placed, listed, "phrase").select(key, "before", "category", "phrase", "begin", "end")

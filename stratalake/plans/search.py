@@ -87,10 +87,9 @@ _DOC_WORDS = "list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), l
 def _phrases(t: Tables):
     """What texts begin with: their first two and first three words, and single words that end in -tion, by language."""
     words = t.documents.select("lang", extract.text_words("text").alias("w"))
-    starts = words.select("lang", F.explode(F.array(*[
-        F.when(F.size("w") >= n, F.array_join(F.slice("w", 1, n), " ")) for n in (2, 3)])).alias("phrase"))
-    firsts = words.select("lang", F.get("w", F.lit(0)).alias("phrase")).where("phrase like '%tion'")
-    return starts.unionAll(firsts).where("phrase is not null").distinct().select(F.col("lang").alias("category"), "phrase")
+    first = F.get("w", F.lit(0))
+    starts = [F.when(F.size("w") >= n, F.array_join(F.slice("w", 1, n), " ")) for n in (2, 3)] + [F.when(first.like("%tion"), first)]
+    return words.select(F.col("lang").alias("category"), F.explode(F.array(*starts)).alias("phrase")).where("phrase is not null").distinct()
 
 
 _EXTRACT_SQL = f"""
