@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.joins import attach
+from stratalake.operators.joins import attach_all
 
 from .common import stored
 
@@ -48,16 +48,13 @@ def mask_of(filters: list[Column]) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0))
 
 
-def later_copies(rows: DataFrame, id: str, digest: str, flag: str) -> DataFrame:
-    """``rows`` with a boolean ``flag``: an equal ``digest`` stands in a row with a smaller id. ``rows`` should be stored.
+def first_copies(rows: DataFrame, id: str, digest: str) -> DataFrame:
+    """Stored rows (digest, first): the smallest id of each digest that stands in rows with different ids.
 
-    The smallest id of each repeated digest comes from an aggregation that combines before its shuffle and is stored;
-    it is broadcast where it measures small, else joined with the hot digests spread. A null id is never smaller than
-    another and never a later copy; rows that repeat the smallest id are no later copies.
+    The aggregation combines before its shuffle, so a digest of many rows is one row from each task. Null ids do not count.
     """
-    first = rows.groupBy(digest).agg(F.min(id).alias("_first"), F.max(id).alias("_last")).where("_first < _last").select(digest, "_first")
-    found = attach(rows, stored(first, "first-copies"), digest, "left")
-    return found.withColumn(flag, F.coalesce(F.col(id) > F.col("_first"), F.lit(False))).drop("_first")
+    ends = rows.groupBy(digest).agg(F.min(id).alias("first"), F.max(id).alias("last"))
+    return stored(ends.where("first < last").select(digest, "first"), "first-copies")
 
 
 def mask_counts(rows: DataFrame, part: str, mask: str, outcomes: dict[str, Column]) -> DataFrame:
@@ -141,15 +138,16 @@ def audit_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
 
     ``labels`` has columns ``quality`` and ``toxic`` by id; an id is good or toxic if any of its rows says 1. A null
     text is empty, a null part the empty string; a null id has no labels and is no copy. Every row counts, rows that
-    repeat an id as well. Texts are read once and never shuffled: a stored row of id, part, mask and SHA-256 stands
+    repeat an id as well, and of those with the smallest id of a text none is a copy. First copies and outcomes are joined by
+    broadcast where they measure small, else with hot digests and ids spread. Texts are read once and never shuffled: a stored row of id, part, mask and SHA-256 stands
     for each. Other columns are not read.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     facts = docs.select(F.col(id).alias("id"), F.coalesce(F.col(part), F.lit("")).alias("part"),
                         mask_of(list(document_filters(F.col(text)).values())).alias("mask"), F.unhex(F.sha2(whole, 256)).alias("digest"))
-    facts = later_copies(stored(facts, "filter-masks"), "id", "digest", "copy")
+    facts = stored(facts, "filter-masks")
     says = labels.select(F.col(id).alias("id"), F.expr("coalesce(quality = 1, false)").alias("good"), F.expr("coalesce(toxic = 1, false)").alias("toxic"))
     says = says.where("id is not null and (good or toxic)").groupBy("id").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
-    rows = attach(facts, stored(says, "outcomes"), "id", "left", derived=True)
-    rows = rows.withColumn("mask", F.col("mask").bitwiseOR(F.when(F.col("copy"), F.lit(16)).otherwise(F.lit(0))))
+    rows = attach_all(facts, [(first_copies(facts, "id", "digest"), "digest", "left"), (stored(says, "outcomes"), "id", "left")])
+    rows = rows.withColumn("mask", F.col("mask").bitwiseOR(F.when(F.col("id") > F.col("first"), F.lit(16)).otherwise(F.lit(0))))
     return audit(mask_counts(rows, "part", "mask", {"good": F.col("good"), "toxic": F.col("toxic")}), "ABCDE", ["good", "toxic"])
