@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import plain_names
+
 #: A prime; the table has so many rows and is broadcast (about 1 MB).
 SLOTS = 65_537
 MOST_SLOTS = 1_000_003
@@ -44,16 +46,18 @@ def lookup_table(shards: list[str], slots: int = SLOTS) -> np.ndarray:
 def assign(df: DataFrame, keys: list[str], shards: list[str], slots: int = SLOTS) -> DataFrame:
     """``df`` with ``slot`` (int) and ``shard`` (a name): equal keys share a shard, and no row is shuffled.
 
-    A null key counts as a value of its own; all columns travel along and repeated rows stay.
+    A null key counts as a value of its own; all columns travel along and repeated rows stay. Columns named like a result
+    are replaced by it; they may be keys all the same.
     """
-    if {"slot", "shard"} & set(df.columns):
-        raise ValueError("slot and shard are names of this operator")
     if not keys:
         raise ValueError("no key given")
+    names, plain = [c.lower() for c in df.columns], plain_names(df)
+    kept = [k for k, c in enumerate(names) if c not in ("slot", "shard")]
     table = [(k, shards[s]) for k, s in enumerate(lookup_table(shards, slots).tolist())]
     table = F.broadcast(df.sparkSession.createDataFrame(table, "slot int, shard string"))  # `slots` rows
-    slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(slots)).cast("int")
-    return df.withColumn("slot", slot).join(table, "slot").select(*df.columns, "slot", "shard")
+    slot = F.pmod(F.xxhash64(*[F.col(f"c{names.index(k.lower())}") for k in keys]), F.lit(slots)).cast("int")
+    found = plain.withColumn("slot", slot).join(table, "slot").select(*[f"c{k}" for k in kept], "slot", "shard")
+    return found.toDF(*[df.columns[k] for k in kept], "slot", "shard")
 
 
 def write_shards(assigned: DataFrame, folder: str, rows_a_file: int = 1_000_000) -> None:

@@ -296,6 +296,8 @@ def test_assign_and_write(spark):
     assert len(out) == 503 and len({r.shard for r in out if r.doc_id == 1}) == 1
     table = sharding.lookup_table(names, 101)
     assert all(r.shard == names[table[r.slot]] for r in out)
+    clash = sharding.assign(rows.withColumnRenamed("key", "slot"), ["doc_id", "slot"], names, 101)
+    assert clash.columns == ["doc_id", "slot", "shard"] and clash.count() == 503 and clash.where("slot < 0 or slot > 100").count() == 0
     folder = new_folder(spark, "test-shards")
     sharding.write_shards(sharding.assign(rows, ["doc_id"], names, 101), folder)
     assert spark.read.parquet(folder).groupBy("shard").count().collect() and spark.read.parquet(folder).count() == 503
