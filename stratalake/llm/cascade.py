@@ -73,14 +73,6 @@ class Texts:
     def n_dup_lines(self) -> np.ndarray:
         return self._lines[:, 1]
 
-    @cached_property
-    def word_ids(self) -> np.ndarray:
-        """A number for each word of the batch, equal for equal words."""
-        w = self.words
-        ends = np.append(w.start, len(w.buffer)).astype(np.int64)
-        column = pa.Array.from_buffers(pa.large_binary(), len(w.start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(w.buffer))])
-        return column.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-
     @cached_property
     def n_repeat_words(self) -> np.ndarray:
         """Words in windows of ``WINDOW`` words that the text holds twice or more, the first included.
@@ -88,7 +80,7 @@ class Texts:
         Pairs of words are numbered exactly within their text. A window whose pairs do not all repeat cannot repeat, so
         whole windows are compared only where they do.
         """
-        first, ids = self.words.first, self.word_ids
+        first, ids = self.words.first, self.words.numbered()[0]
         long = np.flatnonzero(self.n_words >= WINDOW)
         covered = np.zeros(len(ids) + 1, np.int64)
         if len(long):

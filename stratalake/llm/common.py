@@ -116,6 +116,13 @@ class Words:
         offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
         self.first = np.searchsorted(begin, offsets)
 
+    def numbered(self) -> tuple[np.ndarray, pa.Array]:
+        """A number from 0 for each word, equal exactly for equal words, and the words by number, each followed by a space."""
+        ends = np.append(self.start, len(self.buffer)).astype(np.int64)
+        column = pa.Array.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(self.buffer))])
+        found = column.dictionary_encode()
+        return found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary
+
     def hashes(self) -> np.ndarray:
         """A 64-bit number for each word, the same for equal words."""
         out = np.empty(len(self.start), np.uint64)

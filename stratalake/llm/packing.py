@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import struct
 from collections import defaultdict
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 
 from stratalake.operators.joins import attach
 
-from .common import stored, text_batches
+from .common import Words, stored, text_batches
 
 CAPACITY = 4096
 END_ID = 1
@@ -36,6 +37,17 @@ END_ID = 1
 WORDS_KEPT = 350_000
 
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_MARK_CODES = frozenset(_MARKS)
+#: Letters below this code point have one form, and the same small letter everywhere.
+_LATIN_END = "\u0250"
+#: Byte-level models write a byte as a letter: printable ones as they are, the others in order from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def default_tokenizer() -> str:
@@ -48,8 +60,9 @@ class WordIds:
     """Ids of a text by a tokenizer that lower-cases, drops white space and takes no context across it.
 
     The tokenizer encodes every run of bytes between ASCII white space once; a run's trailing ASCII marks are a token
-    group of their own after a letter or digit, so they are encoded apart. Runs that may hold one of the tokenizer's
-    special strings (``<|...``) are encoded as they stand.
+    group of their own after a letter or digit, so they are encoded apart. Runs of Latin letters go to its model without
+    normalising, if the tokenizer treats them as one group. Runs that may hold one of the tokenizer's special strings
+    (``<|...``) are encoded as they stand.
     """
 
     def __init__(self, path: str):
@@ -57,28 +70,60 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.model, self.words, self.cores = Tokenizer.from_file(path), {}, {}
+        # whether a run of letters is one group, whose bytes the model takes as letters
+        encode = lambda x: self.model.encode(x, add_special_tokens=False).ids
+        self.runs = all([t.id for t in self.model.model.tokenize(self._letters(x.encode()))] == encode(x) for x in ("word", "éÀß", "ñandú", "Straße"))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        fresh = set().union(*split).difference(self.words)
+        w = Words([t if b"<|" in t else t.lower() for t in texts])
+        number, different = w.numbered()
+        different = different.to_pylist()
+        fresh = [x for x in different if x not in self.words]
         if len(self.words) + len(fresh) > WORDS_KEPT:
             self.words.clear()
-            fresh = set().union(*split)
-        parts = {w: self._parts(w) for w in fresh}
-        new = {p for own in parts.values() for p in own}.difference(self.cores)
-        if len(self.cores) + len(new) > WORDS_KEPT:
+            fresh = different
+        if fresh:
+            self._learn(fresh)
+        found = [self.words[x] for x in different]
+        size = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        flat, begin = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        many = size[number]
+        place = np.cumsum(many) - many
+        ids = flat[np.repeat(begin[number] - place, many) + np.arange(int(many.sum()))].tobytes()
+        at = (np.append(place, int(many.sum()))[w.first] * 4).tolist()
+        return [ids[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        """Encode words, each followed by a space."""
+        words = [x[:-1] for x in fresh]
+        marked = {x: self._parts(x) for x in words if x[-1] in _MARK_CODES}  # other words are a part of their own
+        new = {p for own in marked.values() for p in own}
+        new.update(x for x in words if x not in marked)
+        unseen = new.difference(self.cores)
+        if len(self.cores) + len(unseen) > WORDS_KEPT:
             self.cores.clear()
-            new = {p for own in parts.values() for p in own}
-        plain = [p for p in new if p.isalpha() and p.islower()]  # ASCII letters: one run that needs no normalising
-        for p in plain:
-            self.cores[p] = np.array([t.id for t in self.model.model.tokenize(p.decode())], "<u4").tobytes()
-        other = list(new.difference(plain))
+            unseen = new
+        tokenize, cores, other = self.model.model.tokenize, self.cores, []
+        for p in unseen:
+            letters = self._letters(p) if self.runs else None
+            if letters is None:
+                other.append(p)
+            else:
+                cores[p] = _packed([t.id for t in tokenize(letters)])
         for p, e in zip(other, self.model.encode_batch_fast([p.decode("utf-8", "replace") for p in other], add_special_tokens=False), strict=True):
-            self.cores[p] = np.array(e.ids, "<u4").tobytes()
-        for w, own in parts.items():
-            self.words[w] = b"".join([self.cores[p] for p in own])
-        return [b"".join([self.words[w] for w in own]) for own in split]
+            cores[p] = _packed(e.ids)
+        for x, key in zip(words, fresh, strict=True):
+            own = marked.get(x)
+            self.words[key] = cores[x] if own is None else b"".join([cores[p] for p in own])
+
+    @staticmethod
+    def _letters(word: bytes) -> str | None:
+        """A run of Latin letters as the tokenizer's model takes it, a letter for each byte; None for other words."""
+        if word.isalpha() and word.islower():
+            return word.decode()
+        low = word.decode("utf-8", "replace").lower()
+        return low.encode().decode("latin-1").translate(_BYTE_LETTERS) if low.isalpha() and max(low) < _LATIN_END else None
 
     def _parts(self, word: bytes) -> tuple[bytes, ...]:
         core = word.rstrip(_MARKS)

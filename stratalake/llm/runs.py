@@ -30,13 +30,6 @@ LONG_TEXT = 1 << 21
 _CHUNK = 1 << 20
 
 
-def word_ids(words: Words) -> np.ndarray:
-    """A number from 0 for each word, equal exactly for equal words."""
-    ends = np.append(words.start, len(words.buffer)).astype(np.int64)
-    column = pa.Array.from_buffers(pa.large_binary(), len(words.start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(words.buffer))])
-    return column.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 class Extensions:
     """Longest common extensions to the right within a sequence of numbers.
 
@@ -258,7 +251,7 @@ def collapsed(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     def run(batches):
         for batch, texts in text_batches(batches, text):
             w = Words(texts)
-            found = find_runs(word_ids(w), w.first)
+            found = find_runs(w.numbered()[0], w.first)
             begin = w.first[found[:, 0]] + found[:, 1]
             change = np.zeros(len(w.start) + 1, np.int64)
             np.add.at(change, begin + found[:, 3], 1)
