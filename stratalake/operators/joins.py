@@ -27,6 +27,10 @@ _SURELY_LARGE = 64
 
 _SPREAD = "__spread"
 
+#: Joins that can be spread; those of them that bring in no columns.
+_FILTERS = ("left_semi", "left_anti")
+_SPREADABLE = ("inner", "left", *_FILTERS)
+
 
 def _row_bytes(field: T.StructField) -> Column:
     """Bytes of a column's values in one row; strings and arrays are measured, the rest is fixed."""
@@ -150,7 +154,7 @@ def spread_join(
     ``how`` is one of inner, left, left_semi, left_anti. ``probe`` is a frame with the left side's keys that
     is cheaper to look through for hot keys than the left side itself.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    if how not in _SPREADABLE:
         raise ValueError(f"cannot spread a {how!r} join")
     keys = _key_list(on)
     share = _share_limit(left) if share is None else share
@@ -172,27 +176,59 @@ def attach_all(
 ) -> DataFrame:
     """Join the left side with several ``(frame, key columns, how)`` lookups.
 
-    All lookups are measured in one job. Of those whose key is at hand, small ones come first: they are
-    broadcast and do not move the left rows. The others are spread joins. A lookup may be keyed on a column
-    that another one brings in; its hot keys are then looked for in that other frame, and no join runs before
-    the result is asked for. Keys that come from several frames are left to Spark's adaptive skew split.
+    All lookups are measured in one job. Large ones are spread joins, small ones are broadcast. A large lookup may be
+    keyed on a column that another one brings in: it is joined with that other frame, so that the left rows do not move
+    for it; where this would not give the same rows, its hot keys are looked for in that frame. Left rows move while they
+    are narrow: what only drops rows comes first, then large lookups, those of few columns first, and small ones last. No
+    join runs before the result is asked for. Keys that come from several frames are left to Spark's adaptive skew split.
     """
     limit = broadcast_limit(left, broadcast_bytes)
     sizes = measured_bytes(*[frame for frame, _, _ in lookups], limit=limit)
     remaining = [(size > limit, frame, _key_list(on), how) for (frame, on, how), size in zip(lookups, sizes)]
-    out, joined = left, [left]
+    steps, names = [], left.columns
     while remaining:
-        ready = [i for i, (_, _, keys, _) in enumerate(remaining) if set(keys) <= set(out.columns)]
+        ready = [i for i, (_, _, keys, _) in enumerate(remaining) if set(keys) <= set(names)]
         if not ready:
             raise ValueError(f"no lookup brings in the keys of {[keys for _, _, keys, _ in remaining]}")
-        large, frame, keys, how = remaining.pop(min(ready, key=lambda i: remaining[i][0]))
+        step = remaining.pop(min(ready, key=lambda i: remaining[i][0]))
+        _, frame, keys, how = step
+        names = keys + [c for c in names + ([] if how in _FILTERS else frame.columns) if c not in keys]
+        steps.append(step)
+    # any order gives the same rows if all keep to the left side's; a name that comes twice tells columns by their place
+    free = len(set(names)) == len(names) and all(how in _SPREADABLE for _, _, _, how in steps)
+    steps = _joined_lookups(left, steps) if free else steps
+    out, joined = left, [left]
+    while steps:
+        ready = [i for i, (_, _, keys, _) in enumerate(steps) if set(keys) <= set(out.columns)]
+        large, frame, keys, how = steps.pop(min(ready, key=lambda i: _moved(*steps[i])) if free else 0)
         if large:
             source = next((f for f in joined if set(keys) <= set(f.columns)), None)
             out = out.join(frame, keys, how) if source is None else spread_join(out, frame, keys, how, probe=source)
         else:
             out = out.join(F.broadcast(frame), keys, how)
         joined.append(frame)
-    return out
+    return out.select(names) if free else out
+
+
+def _joined_lookups(left: DataFrame, steps: Sequence[tuple]) -> list[tuple]:
+    """The steps, with large lookups joined to the large ones that bring in their keys, where that gives the same rows."""
+    frames, merged = [frame for _, frame, _, _ in steps], set()
+    for i in reversed(range(len(steps))):  # what others bring in comes before what needs it
+        large, _, keys, how = steps[i]
+        if not large or set(keys) <= set(left.columns):
+            continue
+        for j, (source_large, source, _, source_how) in enumerate(steps[:i]):
+            if source_large and set(keys) <= set(source.columns) and (source_how == "inner" or source_how == how == "left"):
+                frames[j] = spread_join(frames[j], frames[i], keys, how, probe=source)
+                merged.add(i)
+                break
+    return [(large, frames[i], keys, how) for i, (large, _, keys, how) in enumerate(steps) if i not in merged]
+
+
+def _moved(large: bool, frame: DataFrame, keys: Sequence[str], how: str) -> tuple[int, int]:
+    """Place of a lookup among those at hand, so that what moves for the large ones is small."""
+    brought = 0 if how in _FILTERS else len(frame.columns) - len(keys)
+    return (1 if large else 2 if brought else 0), brought
 
 
 def attach(

@@ -101,6 +101,38 @@ def test_attach_all_joins_a_chain_of_any_sizes(spark, fact, dim, rows):
         J.attach_all(fact, [(groups, "name", "left")])
 
 
+@pytest.fixture()
+def chain(spark, fact):
+    """Lookups by the fact's key k, by its key v, and by columns that those bring in; the first two and the last are large."""
+    by_k = spark.range(450).select(F.col("id").cast("int").alias("k"), F.when(F.col("id") % 9 > 0, F.col("id") % 40).alias("a"), F.repeat(F.lit("x"), 300).alias("note"))
+    by_v = spark.range(11).select(F.col("id").alias("v"), F.lit("some").alias("small"))
+    by_w = spark.range(9000).where("id % 4 != 1").select(F.col("id").alias("row"), F.repeat(F.lit("z"), 30).alias("own"))
+    by_a = spark.range(30).select(F.col("id").alias("a"), F.repeat(F.lit("y"), 3000).alias("text"))
+    return by_k, by_v, by_w, by_a
+
+
+def test_left_rows_do_not_move_for_a_lookup_of_a_lookup(chain, fact, rows, monkeypatch):
+    """A large lookup keyed on a column of another is joined there; columns of small lookups come in after the rows have moved."""
+    by_k, by_v, by_w, by_a = chain
+    seen = []
+    monkeypatch.setattr(J, "spread_join", lambda left, right, on, how="inner", f=J.spread_join, **more: seen.append((left.columns, on)) or f(left, right, on, how, **more))
+    plain = fact.join(by_v, "v").join(by_k, "k").join(by_w, "row").join(by_a, "a", "left")
+    found = J.attach_all(fact, [(by_a, "a", "left"), (by_k, "k", "inner"), (by_v, "v", "inner"), (by_w, "row", "inner")], broadcast_bytes=2000)
+    assert seen == [(by_k.columns, ["a"]), (fact.columns, ["row"]), (["row", "k", "v", "own"], ["k"])]
+    assert rows(found) == rows(plain) and found.columns == ["row", "a", "k", "v", "small", "note", "text", "own"]
+
+
+@pytest.mark.parametrize("first", ["inner", "left"])
+@pytest.mark.parametrize("then", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("limit", [0, 2000, 1 << 30])
+def test_lookups_of_lookups_give_what_plain_joins_give(chain, fact, rows, first, then, limit):
+    by_k, by_v, _, by_a = chain
+    by_k, by_a = by_k.unionAll(by_k.where("k < 50")), by_a.unionAll(by_a.where("a = 3"))  # keys that repeat
+    plain = fact.join(by_v, "v", "left_semi").join(by_k, "k", first).join(by_a, "a", then)
+    found = J.attach_all(fact, [(by_v, "v", "left_semi"), (by_k, "k", first), (by_a, "a", then)], broadcast_bytes=limit)
+    assert rows(found) == rows(plain) and found.columns == plain.columns
+
+
 def test_large_files_are_not_measured(spark, tmp_path):
     path = str(tmp_path / "wide")
     spark.range(50_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).write.parquet(path)
