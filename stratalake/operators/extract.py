@@ -1,15 +1,18 @@
 """Extraction of listed phrases from texts: what occurs, where, and whether a word before it negates it.
 
 Words are runs of letters and digits of any script in lower case. A phrase list that measures small travels to the
-tasks, which find all phrases of a text in one pass of an automaton. A longer list is joined with the texts' word
-sequences of the phrases' lengths.
+tasks, which find all phrases of a text in one pass of an automaton. A longer list is joined with those of the texts'
+word sequences that a bit filter of the list lets through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratalake.functions.draws import col
@@ -19,8 +22,16 @@ from stratalake.sources.shared import checkpointed
 #: Words that negate a phrase which begins within ``REACH`` words behind them.
 NEGATIONS = ("no", "not", "without", "never", "kein", "keine", "nicht", "ohne", "sin", "nunca", "sans", "pas", "sem", "não")
 REACH = 3
+#: Most bits of the filter of a longer list.
+MOST_BITS = 1 << 28
+#: Words that a task turns into arrays at a time.
+SLICE_WORDS = 1 << 18
 _BETWEEN = r"[^\p{L}\p{N}]+"
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x94D049BB133111EB)
+
 
 def text_words(text: Column | str) -> Column:
     """The words of a text; none for a NULL text."""
@@ -41,20 +52,19 @@ def extract_phrases(
     listed = phrases.select(F.col(category).alias("category"), F.array_join(text_words(phrase), " ").alias("phrase"))
     listed = checkpointed(listed.where("phrase != '' and category is not null").distinct())  # it is measured, then read
     words = texts.select(F.col(key), text_words(text).alias("words"))
-    if measured_bytes(listed)[0] <= broadcast_limit(texts, broadcast_bytes):
-        found = _by_automaton(words, key, listed, reach)
+    size = measured_bytes(listed)[0]
+    if size <= broadcast_limit(texts, broadcast_bytes):
+        found = _by_automaton(words, key, listed, negations, reach)
     else:
-        found = _by_join(words, key, listed, reach)
-    said = F.array(*[F.lit(w) for w in negations]) if negations else F.array().cast("array<string>")
-    return found.select(key, "category", "phrase", "begin", "end", F.arrays_overlap("before", said).alias("negated"))
+        found = _by_join(words, key, listed, size, negations, reach)
+    return found.select(key, "category", "phrase", "begin", "end", "negated")
 
 
-def _by_automaton(words: DataFrame, key: str, listed: DataFrame, reach: int) -> DataFrame:
-    """Occurrences with the ``reach`` words before each."""
-    entries = sorted((r["phrase"], r["category"]) for r in listed.collect())  # measured against the broadcast limit
+def _by_automaton(words: DataFrame, key: str, listed: DataFrame, said: Sequence[str], reach: int) -> DataFrame:
+    """Occurrences by one pass over each text."""
+    entries = sorted((r["phrase"], r["category"]) for r in listed.collect())  # measured against the limit
     handle = words.sparkSession.sparkContext.broadcast(entries)
-    schema = T.StructType([words.schema[key], T.StructField("before", T.ArrayType(T.StringType())),
-                           *T._parse_datatype_string("category string, phrase string, begin long, end long").fields])
+    schema = T.StructType([words.schema[key], *T._parse_datatype_string("category string, phrase string, begin long, end long, negated boolean").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
@@ -67,37 +77,106 @@ def _by_automaton(words: DataFrame, key: str, listed: DataFrame, reach: int) ->
             automaton.add_word(f" {phrase} ", (phrase, categories))
         if by_phrase:
             automaton.make_automaton()
+
+        def made(batch, rows, out):
+            columns = [pa.array([x[c] for x in out], kind) for c, kind in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()))]
+            return pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(rows, pa.int64())), *columns], names=schema.names)
+
         for batch in batches if by_phrase else ():
-            rows, before, out = [], [], []
+            rows, out = [], []
             for i, own in enumerate(batch.column("words").to_pylist()):
-                joined, number, at = f" {' '.join(own)} ", {}, 0
+                number, at = {}, 0
                 for n, w in enumerate(own):  # where each word begins
                     number[at] = n
                     at += len(w) + 1
-                for end, (phrase, categories) in automaton.iter(joined):
+                for end, (phrase, categories) in automaton.iter(f" {' '.join(own)} "):
                     begin = number[end - len(phrase) - 1]
+                    negated = any(w in said for w in own[max(begin - reach, 0):begin])
                     for category in categories:
                         rows.append(i)
-                        before.append(own[max(begin - reach, 0):begin])
-                        out.append((category, phrase, begin, begin + phrase.count(" ") + 1))
-            columns = [pa.array([x[c] for x in out], kind) for c, kind in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(rows, pa.int64())), pa.array(before, pa.list_(pa.string())), *columns],
-                                             names=[key, "before", "category", "phrase", "begin", "end"])
+                        out.append((category, phrase, begin, begin + phrase.count(" ") + 1, negated))
+            yield made(batch, rows, out)
 
     return words.mapInArrow(run, schema)
 
 
-def _by_join(words: DataFrame, key: str, listed: DataFrame, reach: int) -> DataFrame:
-    """Occurrences with the ``reach`` words before each."""
+def _by_join(words: DataFrame, key: str, listed: DataFrame, size: int, said: Sequence[str], reach: int) -> DataFrame:
+    """Occurrences by a join of word sequences with the list; sequences that a bit filter of the list does not know stay out.
 
-    def sequences(n: int) -> Column:
-        """All sequences of n words: what they say, where they begin and the words before."""
-        return F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda i: F.struct(
-            F.array_join(F.slice("words", i + 1, F.lit(n)), " ").alias("phrase"), i.cast("bigint").alias("begin"), (i + n).cast("bigint").alias("end"),
-            F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach))).alias("before")))
+    The filter has 16 to 32 bits a phrase, up to ``MOST_BITS``: what it lets through by chance, the join drops.
+    """
+    counts = {r["n"]: r["count"] for r in listed.groupBy(F.size(F.split("phrase", " ")).alias("n")).count().collect()}  # lengths in words
+    width = min(max(sum(counts.values()) * 16, 1 << 10).bit_length(), MOST_BITS.bit_length() - 1)
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, flat, starts in _slices(batch.column("words")):
+                marks = _sequence_marks(_word_marks(flat))
+                for n in np.unique(lengths := np.diff(starts)):
+                    hashes = marks(int(n))[starts[:-1][lengths == n]]
+                    at = np.concatenate([_place(hashes, width, k) for k in range(len(_MIX))])
+                    yield pa.RecordBatch.from_arrays([pa.array((at >> 6).astype(np.int64)), pa.array((np.uint64(1) << (at & 63)).view(np.int64))], names=["at", "bits"])
+
+    told = listed.select(F.split("phrase", " ").alias("words")).mapInArrow(slots, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    known = np.zeros(1 << width - 6, np.uint64)
+    known[told.column("at").to_numpy()] = told.column("bits").to_numpy().view(np.uint64)
+    handle = words.sparkSession.sparkContext.broadcast(known)
+    schema = T.StructType([words.schema[key], *T._parse_datatype_string("phrase string, begin long, end long, negated boolean").fields])
 
-    nothing = F.array().cast("array<struct<phrase: string, begin: bigint, end: bigint, before: array<string>>>")
-    sizes = [r[0] for r in listed.select(F.size(F.split("phrase", " "))).distinct().collect()]  # lengths in words
-    grams = F.concat(nothing, *[F.when(F.size("words") >= n, sequences(n)).otherwise(nothing) for n in sizes])
-    placed = words.select(key, F.explode(grams).alias("g")).select(key, "g.phrase", "g.begin", "g.end", "g.before")
-    return attach(placed, listed, "phrase").select(key, "before", "category", "phrase", "begin", "end")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = handle.value
+        for batch in batches if counts else ():
+            for first, flat, starts in _slices(batch.column("words")):
+                marks = _sequence_marks(_word_marks(flat))
+                ends = np.repeat(starts[1:], np.diff(starts))
+                denied = np.concatenate([[0], np.cumsum(pc.is_in(flat, pa.array(said, pa.string())).to_numpy(zero_copy_only=False))])
+                for n in counts:
+                    hashes = marks(n)
+                    begin = np.flatnonzero(ends[:len(hashes)] - np.arange(len(hashes)) >= n)
+                    hashes = hashes[begin]
+                    for k in range(len(_MIX)):
+                        at = _place(hashes, width, k)
+                        held = bits[at >> 6] >> (at & 63) & 1 == 1
+                        begin, hashes = begin[held], hashes[held]
+                    if not len(begin):
+                        continue
+                    row = np.searchsorted(starts, begin, "right") - 1
+                    own = flat.take(pa.array((begin[:, None] + np.arange(n)).ravel()))
+                    phrase = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.arange(0, len(own) + 1, n), pa.int32()), own.cast(pa.string())), " ")
+                    place = begin - starts[row]
+                    negated = denied[begin] > denied[np.maximum(begin - reach, starts[row])]
+                    yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(first + row)), phrase, pa.array(place), pa.array(place + n), pa.array(negated)],
+                                                     names=[key, "phrase", "begin", "end", "negated"])
+
+    placed = words.mapInArrow(run, schema)
+    return attach(placed, listed, "phrase", size=size, derived=True)
+
+
+def _slices(words: pa.ListArray) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """Rows in slices of about ``SLICE_WORDS`` words: number of the first row, all words, where each row begins and the last ends."""
+    starts = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64))])
+    a = 0
+    while a < len(words):
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + SLICE_WORDS, "right")) - 1)
+        if starts[b] > starts[a]:
+            yield a, words.slice(a, b - a).flatten(), starts[a:b + 1] - starts[a]
+        a = b
+
+
+def _word_marks(flat: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    coded = pc.dictionary_encode(flat)
+    return pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False)[coded.indices.to_numpy()]
+
+
+def _sequence_marks(marks: np.ndarray) -> Callable[[int], np.ndarray]:
+    """Hashes of all sequences of n words, for any n, from sums of the words' hashes by place."""
+    powers, inverse = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(marks) - 1, x)])) for x in (_BASE, _INVERSE))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(marks * powers)])
+    return lambda n: (sums[n:] - sums[:max(len(sums) - n, 0)]) * inverse[:max(len(sums) - n, 0)]
+
+
+def _place(hashes: np.ndarray, width: int, k: int) -> np.ndarray:
+    """The k-th place of each hash among 2 ** width bits."""
+    mixed = (hashes ^ hashes >> np.uint64(32)) * np.uint64(_MIX[k])
+    return (mixed ^ mixed >> np.uint64(29)) * np.uint64(_MIX[0]) >> np.uint64(64 - width)

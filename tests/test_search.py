@@ -116,6 +116,27 @@ def test_fifty_thousand_phrases(spark):
     assert got.count() == alone.count() > 0
 
 
+def test_sequences_that_no_phrase_holds_are_not_joined(spark, monkeypatch):
+    """Phrases of any lengths, also longer than all texts; what reaches the join is little more than what is found."""
+    texts = [(i, " ".join(RNG.choices([f"w{x}" for x in range(400)] + ["not"], k=RNG.choice([0, 1, 5, 60, 700])))) for i in range(80)] + [(90, None)]
+    phrases = [("a", " ".join(split(t)[3:3 + n])) for n, (_, t) in zip([1, 2, 5, 40, 600] * 16, texts)] + [("b", "w1"), ("b", "w2 w3"), ("c", "x " * 60_000)]
+    seen = []
+    monkeypatch.setattr(extract, "attach", lambda left, *more, f=extract.attach, **named: seen.append(left.count()) or f(left, *more, **named))
+    monkeypatch.setattr(extract, "SLICE_WORDS", 500)
+    got = extract.extract_phrases(spark.createDataFrame(texts, "id long, text string"), "id", "text", spark.createDataFrame(phrases, "category string, phrase string"), broadcast_bytes=0)
+    want = brute_extract(texts, phrases)
+    assert sorted(tuple(r) for r in got.collect()) == want and any(r[5] for r in want)
+    assert len(want) / 2 <= seen[0] <= len(want) + sum(len(split(t)) for _, t in texts) / 20
+
+
+def test_a_crowded_filter_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(extract, "MOST_BITS", 1 << 7)
+    texts = [(i, " ".join(RNG.choices("abcdefgh", k=30))) for i in range(40)]
+    phrases = [("a", " ".join(RNG.choices("abcdefgh", k=3))) for _ in range(200)]
+    got = extract.extract_phrases(spark.createDataFrame(texts, "id long, text string"), "id", "text", spark.createDataFrame(phrases, "category string, phrase string"), broadcast_bytes=0)
+    assert sorted(tuple(r) for r in got.collect()) == brute_extract(texts, phrases)
+
+
 def test_learned_class_by_definition(spark):
     texts = [(1, "good good day"), (2, "bad day"), (3, "bad bad"), (4, "new good"), (5, None), (6, "zzz"), (7, "bad good")]
     labels = [(1, "p"), (2, "n"), (3, "n"), (None, "p"), (4, None)]
