@@ -22,10 +22,12 @@ from stratalake.sources.shared import checkpointed
 #: Words that negate a phrase which begins within ``REACH`` words behind them.
 NEGATIONS = ("no", "not", "without", "never", "kein", "keine", "nicht", "ohne", "sin", "nunca", "sans", "pas", "sem", "não")
 REACH = 3
+#: Largest measured phrase list of an automaton: each worker holds the list and one, together about ten times that size.
+AUTOMATON_BYTES = 4 << 20
 #: Most bits of the filter of a longer list.
 MOST_BITS = 1 << 28
-#: Words that a task turns into arrays at a time.
-SLICE_WORDS = 1 << 18
+#: Words that a task turns into arrays, and occurrences that it turns into a batch, at a time.
+SLICE_WORDS, SLICE_FOUND = 1 << 18, 1 << 14
 _BETWEEN = r"[^\p{L}\p{N}]+"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -53,7 +55,7 @@ def extract_phrases(
     listed = checkpointed(listed.where("phrase != '' and category is not null").distinct())  # it is measured, then read
     words = texts.select(F.col(key), text_words(text).alias("words"))
     size = measured_bytes(listed)[0]
-    if size <= broadcast_limit(texts, broadcast_bytes):
+    if size <= min(broadcast_limit(texts, broadcast_bytes), AUTOMATON_BYTES):
         found = _by_automaton(words, key, listed, negations, reach)
     else:
         found = _by_join(words, key, listed, size, negations, reach)
@@ -84,8 +86,8 @@ def _by_automaton(words: DataFrame, key: str, listed: DataFrame, said: Sequence[
 
         for batch in batches if by_phrase else ():
             rows, out = [], []
-            for i, own in enumerate(batch.column("words").to_pylist()):
-                number, at = {}, 0
+            for i, own in enumerate(batch.column("words")):
+                own, number, at = own.as_py(), {}, 0
                 for n, w in enumerate(own):  # where each word begins
                     number[at] = n
                     at += len(w) + 1
@@ -95,6 +97,9 @@ def _by_automaton(words: DataFrame, key: str, listed: DataFrame, said: Sequence[
                     for category in categories:
                         rows.append(i)
                         out.append((category, phrase, begin, begin + phrase.count(" ") + 1, negated))
+                if len(out) >= SLICE_FOUND:
+                    yield made(batch, rows, out)
+                    rows, out = [], []
             yield made(batch, rows, out)
 
     return words.mapInArrow(run, schema)

@@ -137,6 +137,18 @@ def test_a_crowded_filter_loses_nothing(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == brute_extract(texts, phrases)
 
 
+def test_long_lists_make_no_automaton(spark, monkeypatch):
+    """Lists far below the broadcast limit would fill a worker as an automaton; occurrences leave a task in parts."""
+    texts = spark.createDataFrame([(i, "not one two " * 50) for i in range(40)], "id long, text string")
+    long = spark.range(70_000).select(F.lit("a").alias("category"), F.concat(F.lit("two not one two "), F.col("id").cast("string")).alias("phrase"))
+    short = spark.createDataFrame([("a", "one two"), ("b", "one two"), ("b", "two")], "category string, phrase string")
+    used = []
+    monkeypatch.setattr(extract, "_by_automaton", lambda *more, f=extract._by_automaton: used.append(True) or f(*more))
+    monkeypatch.setattr(extract, "SLICE_FOUND", 70)
+    got = extract.extract_phrases(texts, "id", "text", long.unionAll(short))
+    assert not used and sorted(got.collect()) == sorted(extract.extract_phrases(texts, "id", "text", short).collect()) and used
+
+
 def test_learned_class_by_definition(spark):
     texts = [(1, "good good day"), (2, "bad day"), (3, "bad bad"), (4, "new good"), (5, None), (6, "zzz"), (7, "bad good")]
     labels = [(1, "p"), (2, "n"), (3, "n"), (None, "p"), (4, None)]
